@@ -21,6 +21,8 @@ from cellgrid.llm.packed import column
 KEY = 40
 #: Stands for a null id; any real id is larger.
 NO_ID = -(2**63)
+#: Rows that one shard stands for at most, so that an index stays small however large the table.
+SHARD_ROWS = 500_000
 
 
 class CuckooIndex:
@@ -150,7 +152,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
     alike. An empty table gives no rows; other columns of docs play no part, whatever their names.
     """
     spark = docs.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // SHARD_ROWS))
     text = F.coalesce(column(docs, text_col), F.lit(""))
     keyed = docs.select(
         column(docs, id_col).cast("long").alias("id"),

@@ -9,9 +9,10 @@ more than once a chunk, and nothing passes through the driver.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +25,47 @@ def column(df: DataFrame, name: str) -> Column:
     return df[f"`{name}`"]
 
 
+def id_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Columns id (long) and text (null as empty) only, so that other columns cannot clash."""
+    text = F.coalesce(column(docs, text_col).cast("string"), F.lit(""))
+    return docs.select(column(docs, id_col).cast("long").alias("id"), text.alias("text"))
+
+
+def slices(texts: list[str], chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about so many characters, so that a batch of very long texts is worked off in parts."""
+    start = size = 0
+    for k, text in enumerate(texts):
+        size += len(text)
+        if size >= chars:
+            yield start, k + 1
+            start, size = k + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def map_texts(docs: DataFrame, make: Callable, schema: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id_col and the columns of schema, one row for each row of docs: make() gives a task its function from a list of
+    texts to a list of Arrow arrays. Runs where the rows lie, without a shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in batches:
+            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            for lo, hi in slices(texts):
+                made = work(texts[lo:hi])
+                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), *made], names)
+
+    names = [id_col, *(part.split()[0] for part in schema.split(", "))]
+    return id_text(docs, id_col, text_col).mapInArrow(run, f"`{id_col}` long, {schema}")
+
+
+def list_array(parts: list[np.ndarray], dtype) -> pa.Array:
+    """One Arrow list for each numpy array."""
+    offsets = np.concatenate(([0], np.cumsum([len(p) for p in parts], dtype=np.int64))).astype(np.int32)
+    flat = np.concatenate(parts) if parts else np.empty(0, dtype)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(dtype, copy=False)))
+
+
 def text_chars(docs: DataFrame, text_col: str = "text") -> int:
     """Characters in the whole column; one scan, one number to the driver."""
     return docs.agg(F.sum(F.length(column(docs, text_col))).alias("n")).first()["n"] or 0
