@@ -7,7 +7,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellgrid.llm import byte_bpe, exact_dedup, line_dedup, packing
+from cellgrid.llm import byte_bpe, exact_dedup, line_dedup, packing, pii, secrets, toxicity
 from cellgrid.session import read_table
 
 
@@ -23,6 +23,29 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
+@cache
+def tagger() -> pii.Tagger:
+    """The personal-data tagger, trained once a driver from generated labelled spans."""
+    return pii.fit(pii.labelled_examples())
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(_documents(spark, sf_dir), tagger())
+
+    def text(spans: str):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(text("base"), 256).alias("base_sha256"), text("spans").alias("spans"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return toxicity.classify(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(_documents(spark, sf_dir).select("doc_id", "text"))
 
@@ -38,12 +61,16 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.scan(_documents(spark, sf_dir)))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(tokenizer_path("word_bpe_49k.json"), encoding="utf-8") as f:
         return packing.pack(_documents(spark, sf_dir), f.read())
 
 
-QUERIES = {q.__name__: q for q in (op3_exact_dedup, op4_byte_bpe, op6_line_dedup, op9_packing)}
+QUERIES = {q.__name__: q for q in (op1_pii, op2_toxicity, op3_exact_dedup, op4_byte_bpe, op6_line_dedup, op7_secrets, op9_packing)}
 
 ORACLE_SQL = {
     "op3_exact_dedup": """
