@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellgrid.llm import byte_bpe, exact_dedup, line_dedup, packing, pii, secrets, toxicity
+from cellgrid.llm import byte_bpe, exact_dedup, line_dedup, ngram_join, packing, pii, secrets, toxicity
 from cellgrid.session import read_table
 
 
@@ -70,7 +71,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         return packing.pack(_documents(spark, sf_dir), f.read())
 
 
-QUERIES = {q.__name__: q for q in (op1_pii, op2_toxicity, op3_exact_dedup, op4_byte_bpe, op6_line_dedup, op7_secrets, op9_packing)}
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(_documents(spark, sf_dir), words=4, threshold=Fraction(85, 100))
+
+
+QUERIES = {q.__name__: q for q in (op1_pii, op2_toxicity, op3_exact_dedup, op4_byte_bpe, op6_line_dedup, op7_secrets, op9_packing, op10_ngram_join)}
 
 ORACLE_SQL = {
     "op3_exact_dedup": """
