@@ -8,7 +8,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellgrid.llm import byte_bpe, exact_dedup, line_dedup, ngram_join, packing, pii, secrets, toxicity
+from cellgrid.llm import byte_bpe, exact_dedup, line_dedup, lm_score, ngram_join, packing, pii, secrets, toxicity, vector_tree
 from cellgrid.session import read_table
 
 
@@ -57,6 +57,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.decode(encoded, ranks))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = read_table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return lm_score.score(_documents(spark, sf_dir), target)
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_dedup.dedup_lines(_documents(spark, sf_dir).select("doc_id", "text"))
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -66,6 +71,11 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(_documents(spark, sf_dir)))
 
 
+def op8_vector_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return vector_tree.search(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(tokenizer_path("word_bpe_49k.json"), encoding="utf-8") as f:
         return packing.pack(_documents(spark, sf_dir), f.read())
@@ -75,7 +85,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_documents(spark, sf_dir), words=4, threshold=Fraction(85, 100))
 
 
-QUERIES = {q.__name__: q for q in (op1_pii, op2_toxicity, op3_exact_dedup, op4_byte_bpe, op6_line_dedup, op7_secrets, op9_packing, op10_ngram_join)}
+QUERIES = {q.__name__: q for q in (op1_pii, op2_toxicity, op3_exact_dedup, op4_byte_bpe, op5_lm_scoring, op6_line_dedup, op7_secrets, op8_vector_tree, op9_packing, op10_ngram_join)}
 
 ORACLE_SQL = {
     "op3_exact_dedup": """
