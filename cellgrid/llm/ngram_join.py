@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellgrid.llm.packed import CHUNK_CHARS, id_text, list_array, mix, text_chars
+from cellgrid.llm.packed import CHUNK_CHARS, column, id_text, list_array, mix, text_chars
 
 NO_ID = -(2**63)
 PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -338,6 +338,15 @@ def jaccard_components(
     )
 
 
+def keep_one(docs: DataFrame, words: int = 5, threshold: Fraction = Fraction(4, 5), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, that are alone or have the smallest id of their component.
+
+    Rows of one id go or stay together; of rows without an id, those linked with an id go."""
+    found = jaccard_components(docs, words, threshold, id_col, text_col)
+    stays = found.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_stays")).distinct()
+    return docs.join(stays, column(docs, id_col).cast("long").eqNullSafe(F.col("_stays")), "left_semi")
+
+
 def _groups(heads: DataFrame, most_rounds: int = 60) -> DataFrame:
     """node, label: classes connected through the n-grams of their prefixes get one label, the least node."""
     heads = heads.checkpoint()

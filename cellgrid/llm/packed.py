@@ -59,6 +59,27 @@ def map_texts(docs: DataFrame, make: Callable, schema: str, id_col: str = "doc_i
     return id_text(docs, id_col, text_col).mapInArrow(run, f"`{id_col}` long, {schema}")
 
 
+def map_columns(docs: DataFrame, make: Callable, schema: str, text_col: str = "text") -> DataFrame:
+    """All columns of docs and those of schema, which replace columns of their names: make() gives a task its function
+    from a list of texts (null as empty) to a list of Arrow arrays. Runs where the rows lie, without a shuffle."""
+    new = [part.split()[0] for part in schema.split(", ")]
+    rest = [f for f in docs.schema.fields if f.name not in new]
+    order = [f.name for f in docs.schema.fields] + [n for n in new if n not in docs.columns]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in batches:
+            texts = batch.column(len(rest)).to_pylist()
+            for lo, hi in slices(texts):
+                kept = [batch.column(k).slice(lo, hi - lo) for k in range(len(rest))]
+                yield pa.RecordBatch.from_arrays([*kept, *work(texts[lo:hi])], [*(f.name for f in rest), *new])
+
+    text = F.coalesce(column(docs, text_col).cast("string"), F.lit("")).alias("_text_")
+    fields = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest), schema])
+    made = docs.select(*[column(docs, f.name) for f in rest], text).mapInArrow(run, fields)
+    return made.select(*[f"`{c}`" for c in order])
+
+
 def list_array(parts: list[np.ndarray], dtype) -> pa.Array:
     """One Arrow list for each numpy array."""
     offsets = np.concatenate(([0], np.cumsum([len(p) for p in parts], dtype=np.int64))).astype(np.int32)

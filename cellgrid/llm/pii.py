@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from cellgrid.llm.packed import map_texts
+from cellgrid.llm.packed import map_columns, map_texts
 
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns (fixed values).
@@ -450,3 +450,35 @@ def find_pii(docs: DataFrame, model: Tagger, id_col: str = "doc_id", text_col: s
 
     span = "array<struct<start:int,end:int,kind:string>>"
     return map_texts(docs, make, f"base {span}, spans {span}", id_col, text_col)
+
+
+def mask(text: str, spans: list[Span]) -> str:
+    """The text with each span replaced by its kind; of spans that overlap, the first gives the kind of the whole."""
+    out, at = [], 0
+    for start, end, kind in spans:
+        if start >= at:
+            out += [text[at:start], f"[{kind.upper()}]"]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
+
+
+def redact(docs: DataFrame, model: Tagger, text_col: str = "text") -> DataFrame:
+    """All rows and columns of docs, personal data in the texts masked. A null text becomes empty; see find_pii."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def make():
+        find = finder(shared.value)
+
+        def work(texts: list[str]) -> list[pa.Array]:
+            out, part, size = [], [], 0
+            for k, t in enumerate(texts, 1):
+                part.append(t)
+                size += len(t)
+                if size >= TASK_CHARS or k == len(texts):
+                    out += [mask(x, spans) for x, spans in zip(part, find(part), strict=True)]
+                    part, size = [], 0
+            return [pa.array(out, pa.string())]
+
+        return work
+
+    return map_columns(docs, make, f"{text_col} string", text_col)

@@ -16,12 +16,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellgrid.llm.packed import column, id_text, list_array, map_texts
+from cellgrid.llm.packed import column, id_text, list_array, map_columns, map_texts
 
 #: Hashed features: a word, and the first letters of longer ones.
 BITS = 18
 PREFIXES = (3, 4, 5, 7)
 FOLDS = 3
+#: Bounds of the decision threshold, whatever the out-of-fold probabilities say.
+THRESHOLDS = (0.33, 0.9)
 #: Bound of a task's memory of words.
 CACHED, CACHED_CHARS = 200_000, 40
 #: Signs that are dropped at the ends of words.
@@ -75,7 +77,7 @@ def _linear(docs: list[np.ndarray], more: np.ndarray, y: np.ndarray, rounds: int
     w, m, v = (np.zeros(len(used) + more.shape[1] + 1) for _ in range(3))
     starts = np.concatenate(([0], np.cumsum(sizes)))[:-1]
     n = len(used)
-    share = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, len(y) - y.sum()))
+    share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
     for step in range(1, rounds + 1):
         p = _logistic(np.add.reduceat(w[flat] * scale, starts) + more @ w[n:-1] + w[-1])
         err = (p - y) * share
@@ -99,7 +101,7 @@ def fit(
     With no rows, or rows of one class only, a category's probability stays on one side and nothing is rejected."""
     names = tuple(labels)
     rows = len(docs)
-    fold = np.arange(rows) % folds
+    fold = np.random.default_rng(7).permutation(rows) % folds
     chain = Chain(names, np.zeros((len(names), 1 << BITS), np.float32), np.full(len(names), -30.0), np.zeros((len(names),) * 2), 1.1)
     earlier = np.zeros((rows, 0))
     for k, name in enumerate(names):
@@ -113,7 +115,7 @@ def fit(
             w, bias, own = _linear(docs, earlier, y, rounds, l2)
             chain.weights[k], chain.bias[k], chain.earlier[k, :k] = w, bias, own
             if name == target:
-                chain.threshold = best_threshold(held, y)
+                chain.threshold = float(np.clip(best_threshold(held, y), *THRESHOLDS))
         chain.out_of_fold[name] = held
         earlier = np.column_stack((earlier, held))
     return chain
@@ -170,9 +172,21 @@ def train(
 def classify(docs: DataFrame, chain: Chain, target: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, p_<category> for each category, and rejected, one row for each row: the whole text counts.
 
-    A null or empty text has no features; null and repeated ids and repeated rows stay as they are; an empty table gives
+    A text without features that training has seen, such as a null or empty one, is not rejected; null and repeated ids and repeated rows stay as they are; an empty table gives
     no rows; other columns play no part. The chain has a fixed size, so it is broadcast.
     """
+    return map_texts(docs, *_classifier(docs, chain, target), id_col, text_col)
+
+
+def accept(docs: DataFrame, chain: Chain, target: str = "toxic", text_col: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, that the chain doesn't reject."""
+    names = [f"p_{c}" for c in chain.categories]
+    make, schema = _classifier(docs, chain, target, "_rejected_")
+    judged = map_columns(docs, make, schema.replace("p_", "_p_"), text_col)
+    return judged.filter(~F.col("_rejected_")).drop("_rejected_", *(f"_{n}" for n in names))
+
+
+def _classifier(docs: DataFrame, chain: Chain, target: str, flag: str = "rejected") -> tuple[Callable, str]:
     shared = docs.sparkSession.sparkContext.broadcast(chain)
     at = chain.categories.index(target)
 
@@ -180,14 +194,14 @@ def classify(docs: DataFrame, chain: Chain, target: str = "toxic", id_col: str =
         model, known = shared.value, _Features()
 
         def work(texts: list[str]) -> list[pa.Array]:
-            sums = np.zeros((len(texts), len(model.categories)))
+            sums, some = np.zeros((len(texts), len(model.categories))), np.zeros(len(texts), dtype=bool)
             for k, text in enumerate(texts):
                 found = doc_features(text, known.__getitem__)
+                some[k] = model.weights[at, found].any()
                 sums[k] = model.weights[:, found].sum(1, dtype=np.float64) / np.sqrt(max(1, len(found)))
             p = model.probabilities(sums)
-            return [*(pa.array(p[:, k]) for k in range(p.shape[1])), pa.array(p[:, at] >= model.threshold)]
+            return [*(pa.array(p[:, k]) for k in range(p.shape[1])), pa.array((p[:, at] >= model.threshold) & some)]
 
         return work
 
-    schema = ", ".join([*(f"p_{c} double" for c in chain.categories), "rejected boolean"])
-    return map_texts(docs, make, schema, id_col, text_col)
+    return make, ", ".join([*(f"p_{c} double" for c in chain.categories), f"{flag} boolean"])
