@@ -17,7 +17,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellgrid.llm.packed import CHUNK_CHARS, chunk_count, column, id_text, mix, text_chars
+from cellgrid.llm.packed import (
+    CHUNK_CHARS,
+    chunk_count,
+    column,
+    expand,
+    expand_sorted,
+    id_text,
+    mix,
+    squeeze,
+    squeeze_sorted,
+    text_chars,
+)
 
 NO_ID = -(2**63)
 PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -78,7 +89,7 @@ def _asked(shards: int):
         owner = (keys >> np.uint64(32)).astype(np.int64)
         cuts = np.searchsorted(owner, np.arange(shards + 1))
         rest, chunk = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32), int(docs["chunk"].iloc[0])
-        rows = [(s, chunk, rest[a:b].tobytes(), np.ascontiguousarray(counts[:, a:b]).tobytes()) for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+        rows = [(s, chunk, squeeze_sorted(rest[a:b]), squeeze(counts[:, a:b].ravel())) for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
         return pd.DataFrame(rows, columns=["shard", "chunk", "keys", "counts"])
 
     return run
@@ -88,15 +99,15 @@ def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
     """Sums the counts of each key over chunks and answers each chunk in the order of its question.
 
     One row has the shard's totals instead: distinct unigrams, their target and background counts."""
-    asked = [np.frombuffer(k, np.uint32) for k in pdf["keys"]]
-    counts = [np.frombuffer(c, np.uint32).reshape(2, -1) for c in pdf["counts"]]
+    asked = [expand_sorted(k) for k in pdf["keys"]]
+    counts = [expand(c).reshape(2, -1) for c in pdf["counts"]]
     keys, place = np.unique(np.concatenate(asked), return_inverse=True)
     total = np.stack([np.bincount(place, weights=np.concatenate([c[k] for c in counts]), minlength=len(keys)) for k in range(2)])
     rows, at, shard = [], 0, int(pdf["shard"].iloc[0])
     for chunk, k in zip(pdf["chunk"], asked, strict=True):
         own = place[at : at + len(k)]
         at += len(k)
-        rows.append((int(chunk), shard, total[:, own].astype(np.uint32).tobytes(), None))
+        rows.append((int(chunk), shard, squeeze(total[:, own].ravel()), None))
     uni = keys & np.uint32(1) == 1
     rows.append((-1, shard, None, [float(uni.sum()), *total[:, uni].sum(1).tolist()]))
     return pd.DataFrame(rows, columns=["chunk", "shard", "counts", "totals"])
@@ -106,7 +117,7 @@ def _scored(shards: int, words: float, tokens: tuple[float, float]):
     def run(docs: pd.DataFrame, answers: pd.DataFrame, target: set[int]) -> Iterator[tuple]:
         uni, bi, sizes = _keys(_texts(docs), shards, _Words())
         keys, place = np.unique(np.concatenate((uni, bi)), return_inverse=True)
-        parts = [np.frombuffer(c, np.uint32).reshape(2, -1) for c in answers.sort_values("shard")["counts"]]
+        parts = [expand(c).reshape(2, -1) for c in answers.sort_values("shard")["counts"]]
         counts = np.concatenate(parts, axis=1).astype(np.float64)
         assert counts.shape[1] == len(keys)
         at_uni, at_bi = place[: len(uni)], place[len(uni) :]

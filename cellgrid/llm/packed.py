@@ -121,6 +121,30 @@ def by_shard(h: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
         yield int(owner[part[0]]), part
 
 
+def squeeze(values: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers in few bytes: the bytes of one weight stand together, then zstd."""
+    import zstandard
+
+    planes = np.ascontiguousarray(values, dtype="<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.compress(np.ascontiguousarray(planes).tobytes(), 1)
+
+
+def expand(packed: bytes) -> np.ndarray:
+    import zstandard
+
+    planes = np.frombuffer(zstandard.decompress(packed), dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
+def squeeze_sorted(values: np.ndarray) -> bytes:
+    """Ascending unsigned 32-bit numbers, by their differences."""
+    return squeeze(np.diff(values, prepend=np.zeros(1, values.dtype)))
+
+
+def expand_sorted(packed: bytes) -> np.ndarray:
+    return np.cumsum(expand(packed), dtype=np.uint64).astype(np.uint32)
+
+
 def unpack(values, dtype) -> np.ndarray:
     """The arrays of several rows as one."""
     parts = [np.frombuffer(v, dtype=dtype) for v in values]
