@@ -24,8 +24,9 @@ from cellgrid.llm.packed import column, list_array
 
 #: Bounds of the sample that fits the tree and of the queries that calibrate the search.
 SAMPLE_ROWS, CALIBRATION_QUERIES = 20_000, 200
-#: Children of a node, vectors that a leaf should hold, leaves at most, vectors of one task's part of a leaf.
-BRANCHES, LEAF_ROWS, MOST_LEAVES, PART_ROWS = 8, 256, 4096, 4096
+#: Children of a node, vectors that a leaf should hold at least, leaves at most, vectors of one task's part of a leaf.
+#: Few leaves keep a query's partial results few: vectors without much structure make it visit many of them.
+BRANCHES, LEAF_ROWS, MOST_LEAVES, PART_ROWS = 8, 256, 48, 4096
 
 
 @dataclass
@@ -130,6 +131,19 @@ def _top(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return keep[np.lexsort((ids[keep], -scores[keep]))][:k]
 
 
+def _best_rows(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and place of the k best finite scores of each row, ties at the end to the smallest id; in no order."""
+    if scores.shape[1] > k:
+        keep = scores >= np.partition(scores, scores.shape[1] - k, axis=1)[:, [scores.shape[1] - k]]
+    else:
+        keep = np.ones(scores.shape, dtype=bool)
+    keep &= np.isfinite(scores)
+    for r in np.flatnonzero(keep.sum(1) > k):
+        keep[r] = False
+        keep[r, _top(scores[r], ids, k)] = True
+    return np.nonzero(keep)
+
+
 def _dims(rows: DataFrame) -> tuple[int, int, float]:
     """Rows, length of the vectors (all must have one length) and the longest norm."""
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, v: a + v * v))
@@ -190,7 +204,7 @@ def calibrate(tree: Tree, queries: np.ndarray, leaves: list[list[int]], recall:
 
 
 def search(
-    vectors: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.97, id_col: str = "vec_id", vec_col: str = "embedding",
+    vectors: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding",
     sample_rows: int = SAMPLE_ROWS, leaf_rows: int = LEAF_ROWS,
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for each query the k found vectors of largest inner product, ties to the
@@ -247,11 +261,11 @@ def search(
         found = []
         for lo in range(0, len(asks), 256):
             some = asks.iloc[lo : lo + 256]
+            q = some["query_id"].to_numpy()
             scores = np.stack(some["q"].to_numpy()) @ x.T
-            for q, s in zip(some["query_id"].to_numpy(), scores, strict=True):
-                other = np.flatnonzero(ids != q)
-                at = other[_top(s[other], ids[other], k)]
-                found.append(pd.DataFrame({"query_id": q, "vec_id": ids[at], "score": s[at]}))
+            scores[q[:, None] == ids[None]] = -np.inf
+            row, at = _best_rows(scores, ids, k)
+            found.append(pd.DataFrame({"query_id": q[row], "vec_id": ids[at], "score": scores[row, at]}))
         return pd.concat(found)
 
     pairs = asking.groupBy("leaf", "part").cogroup(dealt.groupBy("leaf", "part")).applyInPandas(best, "query_id long, vec_id long, score double")
