@@ -10,14 +10,17 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Callable, Iterator
+from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from cellgrid.llm.packed import id_text
+from cellgrid.llm.packed import id_text, slices
 
 #: Penalties of a cut, in ids of padding: between documents, after a sentence, elsewhere.
 AT_DOCUMENT, AT_SENTENCE, AT_ID = 0, 2, 24
@@ -27,51 +30,103 @@ PER_WINDOW = 6
 STRIDE = 32
 #: Ids of a block, which is planned as a whole, and how near its end windows of a power of two are considered.
 BLOCK_IDS, TAIL_WINDOWS = 2_000_000, 3
-CACHED, CACHED_CHARS = 200_000, 40
+#: Characters of texts whose words are encoded together.
+SLICE_CHARS = 1_000_000
+#: Bounds of a task's memory of words; signs that a word may end in (no apostrophe: it makes pieces of its own).
+CACHED, CACHED_CHARS = 300_000, 40
+SIGNS = "!#$%&()*+,-./:;<=>?@[]^_`{|}~\""
 
 
-def word_encoder(spec: str, end_id: int) -> tuple[Callable[[str], np.ndarray], np.ndarray]:
-    """A function from a text to its ids and end_id, and a table that marks ids ending a sentence.
+def _byte_table() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: its own sign where that is visible, else the next
+    code point from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(b) if b in seen else chr(next(rest)) for b in range(256)]
+
+
+BYTE_LETTERS = str.maketrans(dict(enumerate(_byte_table())))
+
+
+def byte_letters(text: str) -> str:
+    return text.encode().decode("latin-1").translate(BYTE_LETTERS)
+
+
+@lru_cache(maxsize=1)
+def word_encoder(spec: str, end_id: int) -> tuple[Callable[[list[str]], list[np.ndarray]], np.ndarray]:
+    """A function from texts to their ids, each with end_id, and a table that marks ids ending a sentence.
 
     The vocabulary drops white space and never joins over it, so the words between blanks are encoded one by one and
-    remembered."""
+    remembered. A new word of letters and then signs is two pieces, which go to the vocabulary's merges directly."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_str(spec)
     vocab = model.get_vocab()
-    ends = np.zeros(max([*vocab.values(), end_id]) + 1, dtype=bool)
-    ends[[i for token, i in vocab.items() if token.removesuffix("</w>")[-1:] in (".", "!", "?") and token.endswith("</w>")]] = True
+    size = max([*vocab.values(), end_id]) + 1
+    ends = np.zeros(size, dtype=bool)
+    ends[[i for token, i in vocab.items() if token.endswith("</w>") and token[:-4][-1:] in (".", "!", "?")]] = True
     last = np.array([end_id], dtype="<u4").tobytes()
-
-    class Known(dict):
-        def __missing__(self, word: str) -> bytes:
-            ids = np.array(model.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-            if len(word) <= CACHED_CHARS:
-                if len(self) >= CACHED:
-                    self.clear()
-                self[word] = ids
-            return ids
-
-    get = Known({"": b""}).__getitem__
-    return lambda text: np.frombuffer(b"".join(map(get, text.replace("\n", " ").split(" "))) + last, dtype="<u4"), ends
+    known: dict[str, bytes] = {"": b""}
+    letters: dict[str, bytes] = {"": b""}
+
+    merged = model.model.tokenize
+
+    def alone(word: str) -> bytes:
+        return array("I", model.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def piece(text: str) -> bytes:
+        return array("I", [t.id for t in merged(text if text.isascii() else byte_letters(text))]).tobytes()
+
+    def learn(words: set[str]) -> None:
+        for word in words:
+            core = word.rstrip(SIGNS)
+            # Capitals beyond ASCII, marks and digits are left to the whole tokenizer.
+            if core.isascii():
+                plain = core.isalpha() or not core
+                core = core.lower()
+            else:
+                plain = core.isalpha() and core == core.lower() and is_normalized("NFC", core)
+            if not plain or len(word) > CACHED_CHARS:
+                known[word] = alone(word)
+                continue
+            ids = letters.get(core)
+            if ids is None:
+                ids = letters[core] = piece(core)
+            signs = word[len(core) :]
+            if signs:
+                if signs not in letters:
+                    letters[signs] = piece(signs)
+                ids += letters[signs]
+            known[word] = ids
+
+    def encode(texts: list[str]) -> list[np.ndarray]:
+        if len(known) > CACHED:
+            known.clear()
+            letters.clear()
+            known[""] = letters[""] = b""
+        split = [text.replace("\n", " ").split(" ") for text in texts]
+        learn(set().union(*split).difference(known))
+        return [np.frombuffer(b"".join(map(known.__getitem__, words)) + last, dtype="<u4") for words in split]
+
+    return encode, ends
 
 
 def places(sizes: np.ndarray, sentence_ends: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray]:
     """Places where windows may end, ascending from 0, and the penalty of each: documents of these sizes lie end to end;
     sentence_ends are positions in the whole."""
     total = int(sizes.sum())
-    doc_ends = np.cumsum(sizes)
-    soft = np.unique(np.concatenate(([0], doc_ends, sentence_ends)))
-    gaps = np.diff(soft)
-    wide = np.flatnonzero(gaps > stride)
-    inner = [np.arange(soft[k] + stride, soft[k + 1], stride) for k in wide]
-    at = np.unique(np.concatenate([soft, *inner])).astype(np.int64)
-    penalty = np.full(len(at), AT_ID, dtype=np.int64)
-    penalty[np.isin(at, sentence_ends)] = AT_SENTENCE
-    penalty[np.isin(at, doc_ends)] = AT_DOCUMENT
+    kind = np.zeros(total + 1, dtype=np.int8)
+    kind[sentence_ends] = 2
+    kind[np.cumsum(sizes)] = 1
+    kind[0] = 1
+    soft = np.flatnonzero(kind)
+    more = np.maximum(0, (np.diff(soft) - 1) // stride)
+    step = np.arange(int(more.sum())) - np.repeat(np.cumsum(more) - more, more) + 1
+    kind[np.repeat(soft[:-1], more) + step * stride] = 3
+    at = np.flatnonzero(kind)
+    penalty = np.array([0, AT_DOCUMENT, AT_SENTENCE, AT_ID])[kind[at]]
     penalty[0] = 0
-    assert at[-1] == total
     return at, penalty
 
 
@@ -173,15 +228,17 @@ def pack(
         first = TaskContext.get().partitionId() << 40
         ids, held, size = [], [], 0
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids.append(doc)
-                held.append(encode(text))
-                size += len(held[-1])
-                if size >= block_ids:
-                    made, windows = _planned(ids, held, ends, window, first)
-                    first += windows
-                    yield made
-                    ids, held, size = [], [], 0
+            texts, names = batch.column(1).to_pylist(), batch.column(0).to_pylist()
+            for lo, hi in slices(texts, SLICE_CHARS):
+                for doc, one in zip(names[lo:hi], encode(texts[lo:hi]), strict=True):
+                    ids.append(doc)
+                    held.append(one)
+                    size += len(one)
+                    if size >= block_ids:
+                        made, windows = _planned(ids, held, ends, window, first)
+                        first += windows
+                        yield made
+                        ids, held, size = [], [], 0
         if ids:
             yield _planned(ids, held, ends, window, first)[0]
 

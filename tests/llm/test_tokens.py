@@ -38,8 +38,9 @@ def test_words_encode_as_whole_texts():
     with open(public_tokenizers.path("word_bpe_49k.json")) as f:
         spec = f.read()
     model, (encode, _) = Tokenizer.from_str(spec), packing.word_encoder(spec, 2)
-    for text in [*(t or "" for t in AWKWARD), *_texts(1500, 6)]:
-        assert encode(text).tolist() == [*model.encode(text, add_special_tokens=False).ids, 2], repr(text[:80])
+    texts = [*(t or "" for t in AWKWARD), *_texts(1500, 6), "The THE the. the.. È été ÉTÉ. naïve! n\u0303. ok.' it's' a.b (x) x) <|endoftext|>. ˈa ªb"]
+    for text, ids in zip(texts, encode(texts), strict=True):
+        assert ids.tolist() == [*model.encode(text, add_special_tokens=False).ids, 2], repr(text[:80])
 
 
 def _least(at, penalty, window):
