@@ -34,6 +34,26 @@ def test_byte_bpe_equals_tiktoken_and_round_trips(spark):
     assert sorted(r.doc_id or 0 for r in byte_bpe.encode(docs(spark, ["a", "a"], [None, 7]), ranks).collect()) == [0, 7]
 
 
+def test_many_trees_at_once_equal_one():
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    rng = random.Random(12)
+    pieces = [bytes(rng.choices(b"abcdehilnorst \xc3\xa9ABC", k=rng.randint(1, 64))) for _ in range(800)] + [b"a" * k for k in range(1, 65)]
+    table, byte_ids = byte_bpe.PairTable(ranks), np.array([ranks[bytes([b])] for b in range(256)])
+    many = byte_bpe.merge_many(pieces, ranks, table, byte_ids)
+    assert [np.frombuffer(m, np.int32).tolist() for m in many] == [_plain(p, ranks) for p in pieces]
+
+
+def _plain(piece, ranks):
+    """Byte-pair merging by search: the leftmost pair of least rank, again and again."""
+    parts = [piece[k : k + 1] for k in range(len(piece))]
+    while True:
+        found = [(ranks[a + b], k) for k, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]
+        if not found:
+            return [ranks[p] for p in parts]
+        k = min(found)[1]
+        parts[k : k + 2] = [parts[k] + parts[k + 1]]
+
+
 def test_words_encode_as_whole_texts():
     with open(public_tokenizers.path("word_bpe_49k.json")) as f:
         spec = f.read()
