@@ -76,7 +76,7 @@ def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def catalogue(spark: SparkSession, folder: str, pattern: str = "*.json") -> DataFrame:
     """path, length, title, unit, note of the metadata files under a folder; an unreadable one becomes a note."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(folder)
-    made = F.from_json(F.decode("content", F.lit("UTF-8")), "title string, unit string", {"mode": "PERMISSIVE"})
+    made = F.from_json(F.decode("content", "UTF-8"), "title string, unit string", {"mode": "PERMISSIVE"})
     out = files.select("path", "length", made.alias("m"))
     bad = F.col("m.title").isNull() & F.col("m.unit").isNull()
     return out.select("path", "length", F.col("m.title").alias("title"), F.col("m.unit").alias("unit"), F.when(bad, "unreadable").alias("note"))
