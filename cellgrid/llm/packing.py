@@ -33,7 +33,7 @@ BLOCK_IDS, TAIL_WINDOWS = 2_000_000, 3
 #: Characters of texts whose words are encoded together.
 SLICE_CHARS = 1_000_000
 #: Bounds of a task's memory of words; signs that a word may end in (no apostrophe: it makes pieces of its own).
-CACHED, CACHED_CHARS = 300_000, 40
+CACHED, CACHED_CHARS = 500_000, 40
 SIGNS = "!#$%&()*+,-./:;<=>?@[]^_`{|}~\""
 
 
@@ -101,10 +101,10 @@ def word_encoder(spec: str, end_id: int) -> tuple[Callable[[list[str]], list[np.
             known[word] = ids
 
     def encode(texts: list[str]) -> list[np.ndarray]:
-        if len(known) > CACHED:
-            known.clear()
-            letters.clear()
-            known[""] = letters[""] = b""
+        for memory in (known, letters):
+            if len(memory) > CACHED:
+                memory.clear()
+                memory[""] = b""
         split = [text.replace("\n", " ").split(" ") for text in texts]
         learn(set().union(*split).difference(known))
         return [np.frombuffer(b"".join(map(known.__getitem__, words)) + last, dtype="<u4") for words in split]
