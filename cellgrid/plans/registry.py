@@ -329,10 +329,10 @@ def regime_asof(spark, sf_dir):
     return series.regimes(days, table, "day").select("var", "day", "regime")
 
 
-@query(f"""WITH {D.HOURLY} SELECT var, CAST(ts AS DATE) AS day, round(max(value) - avg(value), 6) AS amplitude, min(hour(ts)) FILTER (value = m) AS peak_hour
+@query(f"""WITH {D.HOURLY} SELECT var, CAST(ts AS DATE) AS day, round(max(value) - avg(value), 9) AS amplitude, min(hour(ts)) FILTER (value = m) AS peak_hour
     FROM (SELECT *, max(value) OVER (PARTITION BY var, CAST(ts AS DATE)) AS m FROM hourly) GROUP BY 1, 2""", dates=("day",))
 def diurnal_cycle(spark, sf_dir):
-    return rounded(series.diurnal(D.hourly(spark, sf_dir), ["var"], "ts", "value"), "amplitude", digits=6)
+    return rounded(series.diurnal(D.hourly(spark, sf_dir), ["var"], "ts", "value"), "amplitude", digits=9)
 
 
 @query(f"""WITH {D.HOURLY}, s AS (SELECT *, epoch(ts) - epoch(lag(ts) OVER (PARTITION BY var ORDER BY ts)) AS step FROM hourly)
