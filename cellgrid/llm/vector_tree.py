@@ -24,9 +24,9 @@ from cellgrid.llm.packed import column, list_array
 
 #: Bounds of the sample that fits the tree and of the queries that calibrate the search.
 SAMPLE_ROWS, CALIBRATION_QUERIES = 20_000, 200
-#: Children of a node, vectors that a leaf should hold at least, leaves at most, vectors of one task's part of a leaf.
-#: Few leaves keep a query's partial results few: vectors without much structure make it visit many of them.
-BRANCHES, LEAF_ROWS, MOST_LEAVES, PART_ROWS = 8, 256, 48, 4096
+#: Children of a node, vectors that a leaf should hold, leaves at most, vectors of one group of leaves (or part of a leaf).
+#: Groups of leaves keep a query's partial results few: vectors without much structure make it visit many leaves.
+BRANCHES, LEAF_ROWS, MOST_LEAVES, PART_ROWS = 8, 256, 4096, 4096
 
 
 @dataclass
@@ -203,8 +203,21 @@ def calibrate(tree: Tree, queries: np.ndarray, leaves: list[list[int]], recall:
     return tree.leaves
 
 
+def grouped(sizes: np.ndarray, most: int = PART_ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """The group of each leaf and the parts of each group: leaves side by side share a group while they hold at most so
+    many vectors; a larger leaf is a group of its own, in parts."""
+    group, held = np.zeros(len(sizes), np.int64), []
+    for leaf, n in enumerate(sizes.tolist()):
+        if held and held[-1] + n <= most:
+            held[-1] += n
+        else:
+            held.append(n)
+        group[leaf] = len(held) - 1
+    return group, np.maximum(1, -(-np.array(held, dtype=np.int64) // most))
+
+
 def search(
-    vectors: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding",
+    vectors: DataFrame, queries: DataFrame, k: int = 20, recall: float = 0.97, id_col: str = "vec_id", vec_col: str = "embedding",
     sample_rows: int = SAMPLE_ROWS, leaf_rows: int = LEAF_ROWS,
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for each query the k found vectors of largest inner product, ties to the
@@ -238,37 +251,53 @@ def search(
             leaf = shared.value.assign(lift(_stacked(batch, "vec"), longest)) if batch.num_rows else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int64()), *batch.columns], ["leaf", "vec_id", "vec"])
 
-    def to_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    dealt = rows.select("vec_id", "vec").mapInArrow(to_leaf, "leaf long, vec_id long, vec array<double>")
+    sizes = np.zeros(tree.leaves, np.int64)
+    for leaf, count in dealt.groupBy("leaf").count().collect():  # one row for each leaf: MOST_LEAVES and a few more at most
+        sizes[leaf] = count
+    group, parts = grouped(sizes)
+    groups = spark.createDataFrame(list(zip(range(len(group)), group.tolist(), parts[group].tolist(), strict=True)), "leaf long, grp long, parts long")
+    part = F.pmod(F.xxhash64("vec_id", "vec"), F.col("parts"))
+    dealt = dealt.join(F.broadcast(groups), "leaf").select("grp", part.alias("part"), "leaf", "vec_id", "vec")
+
+    def to_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _stacked(batch, "vec") if batch.num_rows else np.empty((0, size))
-            ways = [np.fromiter((leaf for leaf, _ in zip(shared.value.visit(np.append(q, 0.0)), range(visits), strict=False)), np.int64) for q in x]
-            yield pa.RecordBatch.from_arrays([*batch.columns, list_array(ways, np.int64)], ["query_id", "q", "leaves"])
-
-    dealt = rows.select("vec_id", "vec").mapInArrow(to_leaf, "leaf long, vec_id long, vec array<double>")
-    sizes = dealt.groupBy("leaf").count().collect()  # one row for each leaf: MOST_LEAVES and a few more at most
-    parts = {leaf: -(-count // PART_ROWS) for leaf, count in sizes}
-    of = F.create_map(*[F.lit(x) for pair in parts.items() for x in pair]) if parts else None
-    part = F.pmod(F.xxhash64("vec_id", "vec"), of[F.col("leaf")]).cast("int")
-    dealt = dealt.withColumn("part", part)
-    asking = asked.select("vec_id", "vec").mapInArrow(to_leaves, "query_id long, q array<double>, leaves array<bigint>")
-    asking = asking.select("query_id", "q", F.explode("leaves").alias("leaf")).filter(of[F.col("leaf")].isNotNull())
-    asking = asking.withColumn("part", F.explode(F.sequence(F.lit(0), of[F.col("leaf")] - 1)))
+            at, grp, ways = [], [], []
+            for k, q in enumerate(x):
+                way = np.fromiter((leaf for leaf, _ in zip(shared.value.visit(np.append(q, 0.0)), range(visits), strict=False)), np.int64)
+                for g in np.unique(group[way]):
+                    at.append(k)
+                    grp.append(g)
+                    ways.append(way[group[way] == g])
+            asked_ = [c.take(pa.array(at, pa.int64())) for c in batch.columns]
+            more = [pa.array(grp, pa.int64()), pa.array(parts[grp] if grp else [], pa.int64()), list_array(ways, np.int64)]
+            yield pa.RecordBatch.from_arrays([*asked_, *more], ["query_id", "q", "grp", "parts", "leaves"])
+
+    asking = asked.select("vec_id", "vec").mapInArrow(to_groups, "query_id long, q array<double>, grp long, parts long, leaves array<bigint>")
+    asking = asking.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
 
     def best(asks: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
         if not len(asks) or not len(have):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        ids, x = have["vec_id"].to_numpy(), np.stack(have["vec"].to_numpy())
+        ids, x, leaf = have["vec_id"].to_numpy(), np.stack(have["vec"].to_numpy()), have["leaf"].to_numpy()
+        own = {n: np.flatnonzero(leaf == n) for n in np.unique(leaf)}
         found = []
         for lo in range(0, len(asks), 256):
             some = asks.iloc[lo : lo + 256]
-            q = some["query_id"].to_numpy()
-            scores = np.stack(some["q"].to_numpy()) @ x.T
+            q, vec = some["query_id"].to_numpy(), np.stack(some["q"].to_numpy())
+            asker, way = np.repeat(np.arange(len(some)), some["leaves"].map(len)), np.concatenate(some["leaves"].to_list())
+            scores = np.full((len(some), len(ids)), -np.inf)
+            for n, at in own.items():
+                row = asker[way == n]
+                if len(row):
+                    scores[row[:, None], at] = vec[row] @ x[at].T
             scores[q[:, None] == ids[None]] = -np.inf
             row, at = _best_rows(scores, ids, k)
             found.append(pd.DataFrame({"query_id": q[row], "vec_id": ids[at], "score": scores[row, at]}))
         return pd.concat(found)
 
-    pairs = asking.groupBy("leaf", "part").cogroup(dealt.groupBy("leaf", "part")).applyInPandas(best, "query_id long, vec_id long, score double")
+    pairs = asking.groupBy("grp", "part").cogroup(dealt.groupBy("grp", "part")).applyInPandas(best, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

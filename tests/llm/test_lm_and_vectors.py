@@ -96,6 +96,22 @@ def test_search_reaches_its_recall_and_scores_are_exact(spark):
     assert hits / total >= 0.9
 
 
+def test_default_recall_without_structure(spark):
+    x = np.random.default_rng(8).normal(size=(4000, 12))
+    table = _table(spark, x)
+    out = vector_tree.search(table, table.filter("vec_id % 5 = 0"), leaf_rows=32).collect()
+    exact = x @ x.T
+    np.fill_diagonal(exact, -np.inf)
+    edge = np.sort(exact, 1)[:, -20]
+    hits = sum(r.score >= edge[r.query_id] - 1e-12 for r in out)
+    assert len(out) == 800 * 20 and hits / len(out) >= 0.96
+
+
+def test_groups_of_leaves():
+    group, parts = vector_tree.grouped(np.array([3, 2, 0, 6, 25, 1]), most=10)
+    assert group.tolist() == [0, 0, 0, 1, 2, 3] and parts.tolist() == [1, 1, 3, 1]
+
+
 def test_awkward_vectors(spark):
     bad = [None, [0.0] * 3, [1.0, None, 2.0], [float("nan"), 1, 2], [float("inf"), 0, 0]]
     table = _table(spark, [*bad, [1, 2, 3], [1, 2, 3], [3, 2, 1], [1, 0, 0]], [1, 2, 3, 4, 5, 20, 7, 8, None])
