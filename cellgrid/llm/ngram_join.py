@@ -163,9 +163,11 @@ def _unite(count: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The least member of the component of each of count nodes."""
     label = np.arange(count)
     while len(left):
-        low = np.minimum(label[left], label[right])
-        np.minimum.at(label, left, low)
-        np.minimum.at(label, right, low)
+        # Roots are hooked, not the nodes: edges settled before hold their ends by the root.
+        a, b = label[left], label[right]
+        low = np.minimum(a, b)
+        np.minimum.at(label, a, low)
+        np.minimum.at(label, b, low)
         label = _roots(label)
         open_ = label[left] != label[right]
         left, right = left[open_], right[open_]
@@ -249,19 +251,26 @@ def _joined(num: int, den: int):
     return run
 
 
-def components(edges: DataFrame, names: tuple[str, str] = ("a", "b"), most_rounds: int = 60) -> DataFrame:
-    """node, label: the least node of each component of an edge table that holds each edge both ways."""
+def components(edges: DataFrame, names: tuple[str, str] = ("a", "b")) -> DataFrame:
+    """node, label: the least node of each component of an edge table; an edge may stand either way round, or as a loop.
+
+    Large star and small star in turn: each node first hands the least of its neighbours to the higher ones, then to the
+    lower ones, until every node hangs on the least of its component. Rounds grow with the logarithm of a chain (the
+    proven bound is its square), so there is no cap."""
     a, b = names
-    edges = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).distinct().checkpoint()
-    label = edges.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("label")).checkpoint()
-    for _ in range(most_rounds):
-        low = edges.join(label.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("label").alias("low"))
-        new = label.join(low, "a").select("a", F.least("label", "low").alias("label"), (F.col("low") < F.col("label")).alias("moved"))
-        new = new.checkpoint()
-        label = new.select("a", "label")
-        if not new.filter("moved").limit(1).count():
-            return label.withColumnRenamed("a", "node")
-    raise RuntimeError(f"no fixpoint of labels after {most_rounds} rounds")
+    nodes = edges.select(F.explode(F.array(a, b)).alias("node")).distinct()
+    edges = edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("high"), F.least(a, b).alias("low")).distinct().checkpoint()
+    while True:
+        around = edges.select("high", "low").unionByName(edges.select(F.col("low").alias("high"), F.col("high").alias("low")))
+        least = around.groupBy(F.col("high").alias("_u")).agg(F.least("_u", F.min("low")).alias("_m"))
+        large = edges.join(least, F.col("low") == F.col("_u")).select("high", F.col("_m").alias("low")).distinct().checkpoint()
+        least = large.groupBy(F.col("high").alias("_u")).agg(F.min("low").alias("_m"))
+        down = large.join(least, F.col("high") == F.col("_u")).filter("low <> _m").select(F.col("low").alias("high"), F.col("_m").alias("low"))
+        edges = down.unionByName(least.select(F.col("_u").alias("high"), F.col("_m").alias("low"))).distinct().checkpoint()
+        ends = edges.select(F.explode(F.array(F.struct(F.col("high").alias("node"), F.lit(1).alias("up")), F.struct(F.col("low").alias("node"), F.lit(0).alias("up")))).alias("e"))
+        open_ = ends.groupBy("e.node").agg(F.sum("e.up").alias("up"), F.count("*").alias("n")).filter("up > 0 and n > 1")
+        if not open_.limit(1).count():
+            return nodes.join(edges, F.col("node") == F.col("high"), "left").select("node", F.coalesce("low", "node").alias("label"))
 
 
 # --- the operator -----------------------------------------------------------------------------------------------------
@@ -347,20 +356,14 @@ def keep_one(docs: DataFrame, words: int = 5, threshold: Fraction = Fraction(4,
     return docs.join(stays, column(docs, id_col).cast("long").eqNullSafe(F.col("_stays")), "left_semi")
 
 
-def _groups(heads: DataFrame, most_rounds: int = 60) -> DataFrame:
+def _groups(heads: DataFrame) -> DataFrame:
     """node, label: classes connected through the n-grams of their prefixes get one label, the least node."""
     heads = heads.checkpoint()
-    # An n-gram that stands in one prefix only connects nothing.
-    low = heads.groupBy("token").agg(F.min("node").alias("label"), F.count("*").alias("c")).filter("c > 1").select("token", "label")
-    label = heads.select("node").distinct().withColumn("label", F.col("node")).checkpoint()
-    for _ in range(most_rounds):
-        best = heads.join(low, "token").groupBy("node").agg(F.min("label").alias("low"))
-        new = label.join(best, "node", "left").select("node", F.least("label", "low").alias("label"), (F.col("low") < F.col("label")).alias("moved")).checkpoint()
-        label = new.select("node", "label")
-        if not new.filter("moved").limit(1).count():
-            return label
-        low = heads.join(label, "node").groupBy("token").agg(F.min("label").alias("label"), F.count("*").alias("c")).filter("c > 1").select("token", "label")
-    raise RuntimeError(f"no fixpoint of labels after {most_rounds} rounds")
+    # Each n-gram ties its classes to the least of them; one that stands in one prefix only gives a loop.
+    low = heads.groupBy("token").agg(F.min("node").alias("low"), F.count("*").alias("c")).filter("c > 1").select("token", "low")
+    ties = heads.join(low, "token").select("node", "low").filter("node <> low").distinct()
+    label = components(ties, ("node", "low"))
+    return heads.select("node").distinct().join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
 
 
 def _group_links(sets: DataFrame, num: int, den: int, group_classes: int) -> DataFrame:
@@ -410,5 +413,4 @@ def _large_groups(sets: DataFrame, num: int, den: int, group_classes: int) -> Da
     tiles = pairs.withColumn("tile", low * F.lit(1 << 32) + high).withColumn("task", F.xxhash64("label", "tile"))
     links_ = tiles.groupBy("task").applyInPandas(_joined(num, den), "node long, root long")
     edges = linked.unionByName(links_.filter("node <> root"))
-    both_ways = edges.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(edges.select(F.col("root").alias("a"), F.col("node").alias("b")))
-    return components(both_ways).select("node", F.col("label").alias("root"))
+    return components(edges, ("node", "root")).select("node", F.col("label").alias("root"))

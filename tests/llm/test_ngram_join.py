@@ -71,6 +71,24 @@ def test_components_match_brute_force(spark, group_classes):
         assert got == _brute(list(zip(ids, texts, strict=True)), words, threshold)
 
 
+def test_long_chain_of_revisions(spark):
+    # Each text shares two rare words with the one before and two with the next, and those alone stand in the prefixes.
+    common = [f"c{k}" for k in range(20)]
+    texts = [" ".join([f"p{i}", f"q{i}", f"p{i + 1}", f"q{i + 1}", *common]) for i in range(300)]
+    ids = random.Random(7).sample(range(10_000), 300)
+    out = ngram_join.jaccard_components(docs(spark, texts, ids), words=1, threshold=Fraction(84, 100)).collect()
+    assert {(r.n_shingles, r.component_id) for r in out} == {(24, min(ids))} and len(out) == 300
+
+
+def test_components_of_long_chains(spark):
+    names = random.Random(3).sample(range(100_000), 1000)
+    pairs = [(names[k], names[k + 1]) for k in range(799)] + [(k, k + 1) for k in range(200_000, 200_400)] + [(names[900], names[900])]
+    edges = spark.createDataFrame(pairs + [(b, a) for a, b in pairs], "a long, b long")
+    got = {r.node: r.label for r in ngram_join.components(edges).collect()}
+    want = dict.fromkeys(names[:800], min(names[:800])) | dict.fromkeys(range(200_000, 200_401), 200_000) | {names[900]: names[900]}
+    assert got == want
+
+
 def test_overlaps_sum_over_fragments():
     rng = np.random.default_rng(4)
     sets = [np.unique(rng.integers(0, 300, rng.integers(1, 120))) for _ in range(700)]
