@@ -203,6 +203,17 @@ def calibrate(tree: Tree, queries: np.ndarray, leaves: list[list[int]], recall:
     return tree.leaves
 
 
+def taken(tree: Tree, q: np.ndarray, visits: int, sizes: np.ndarray, least: int) -> np.ndarray:
+    """Leaves, best bin first, until there are so many visits and they hold at least so many vectors."""
+    way, held = [], 0
+    for leaf in tree.visit(q):
+        if len(way) >= visits and held >= least:
+            break
+        way.append(leaf)
+        held += int(sizes[leaf])
+    return np.array(way, dtype=np.int64)
+
+
 def grouped(sizes: np.ndarray, most: int = PART_ROWS) -> tuple[np.ndarray, np.ndarray]:
     """The group of each leaf and the parts of each group: leaves side by side share a group while they hold at most so
     many vectors; a larger leaf is a group of its own, in parts."""
@@ -264,17 +275,19 @@ def search(
         for batch in batches:
             x = _stacked(batch, "vec") if batch.num_rows else np.empty((0, size))
             at, grp, ways = [], [], []
-            for k, q in enumerate(x):
-                way = np.fromiter((leaf for leaf, _ in zip(shared.value.visit(np.append(q, 0.0)), range(visits), strict=False)), np.int64)
+            for j, (q, same) in enumerate(zip(x, batch.column(2).to_pylist(), strict=True)):
+                way = taken(shared.value, np.append(q, 0.0), visits, sizes, k + same)
                 for g in np.unique(group[way]):
-                    at.append(k)
+                    at.append(j)
                     grp.append(g)
                     ways.append(way[group[way] == g])
-            asked_ = [c.take(pa.array(at, pa.int64())) for c in batch.columns]
+            asked_ = [c.take(pa.array(at, pa.int64())) for c in batch.columns[:2]]
             more = [pa.array(grp, pa.int64()), pa.array(parts[grp] if grp else [], pa.int64()), list_array(ways, np.int64)]
             yield pa.RecordBatch.from_arrays([*asked_, *more], ["query_id", "q", "grp", "parts", "leaves"])
 
-    asking = asked.select("vec_id", "vec").mapInArrow(to_groups, "query_id long, q array<double>, grp long, parts long, leaves array<bigint>")
+    own = rows.groupBy("vec_id").agg(F.count("*").alias("same"))  # vectors of a query's own id do not count for its k
+    asked = asked.join(own, "vec_id", "left").select("vec_id", "vec", F.coalesce("same", F.lit(0)).alias("same"))
+    asking = asked.mapInArrow(to_groups, "query_id long, q array<double>, grp long, parts long, leaves array<bigint>")
     asking = asking.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
 
     def best(asks: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:

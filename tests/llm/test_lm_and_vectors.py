@@ -107,6 +107,17 @@ def test_default_recall_without_structure(spark):
     assert len(out) == 800 * 20 and hits / len(out) >= 0.96
 
 
+def test_queries_beside_small_leaves_get_all_their_rows(spark, monkeypatch):
+    x = np.repeat(np.eye(3) * 10, (400, 400, 5), axis=0) + 0.01 * np.random.default_rng(1).normal(size=(805, 3))
+    centers = np.vstack((np.zeros(4), np.eye(4)[:3] * 10))
+    none = np.empty(0, np.int64)
+    tree = vector_tree.Tree(centers, [np.array([1, 2, 3]), none, none, none], np.array([-1, 0, 1, 2]))
+    monkeypatch.setattr(vector_tree, "fit", lambda *_: tree)
+    table = _table(spark, x)
+    out = vector_tree.search(table, table.filter("vec_id % 20 = 0")).groupBy("query_id").count().collect()
+    assert {r.query_id: r["count"] for r in out} == dict.fromkeys(range(0, 805, 20), 20)
+
+
 def test_groups_of_leaves():
     group, parts = vector_tree.grouped(np.array([3, 2, 0, 6, 25, 1]), most=10)
     assert group.tolist() == [0, 0, 0, 1, 2, 3] and parts.tolist() == [1, 1, 3, 1]
