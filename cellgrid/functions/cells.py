@@ -66,6 +66,17 @@ def censored_index(near: Column, red: Column, least: int = 1, scale: int = 10_00
     return F.when((near > least) & (red > least) & value.isNotNull(), F.bround(clipped * scale).cast("int"))
 
 
+def platform_band(platform: Column, newer: Sequence[str], new: tuple[str, int], old: tuple[str, int]) -> tuple[Column, Column]:
+    """Name of the thermal band and quality mask of an item, by the set of platforms it belongs to."""
+    is_new = platform.isin(*newer)
+    return F.when(is_new, new[0]).otherwise(old[0]), F.when(is_new, new[1]).otherwise(old[1])
+
+
+def item_used(tier: Column, wanted: str, platform: Column, without: Sequence[str], day: Column, since: str) -> Column:
+    """Items of one tier, not of some platforms, from a day on."""
+    return (tier == wanted) & ~platform.isin(*without) & (day >= F.lit(since).cast("timestamp_ntz"))
+
+
 def hazard_class(height: Column, height_major: Column, distance: Column, low: float, mid: float, high: float, reach: float, near: float) -> Column:
     """0 to 3; the last rule that holds wins: low, then middle height, then a floor near the river, then the major river."""
     return (

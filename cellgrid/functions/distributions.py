@@ -1,8 +1,9 @@
-"""Distribution functions that Spark lacks, as plain numbers: normal and Student tails, Student quantiles."""
+"""Distribution functions that Spark lacks, as plain numbers: normal, Student, binomial and Kendall."""
 
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 
 def normal_two_sided(z: float) -> float:
@@ -45,3 +46,29 @@ def t_quantile(p: float, df: float) -> float:
         else:
             high = mid
     return (low + high) / 2
+
+
+def binomial_pmf(k: int, n: int, p: float) -> float:
+    return math.comb(n, k) * p**k * (1 - p) ** (n - k)
+
+
+@lru_cache(maxsize=64)
+def inversions(n: int) -> tuple[int, ...]:
+    """How many orders of n values have 0, 1, ... inversions."""
+    ways = [1]
+    for k in range(2, n + 1):
+        longer = [0] * (len(ways) + k - 1)
+        for at, w in enumerate(ways):
+            for more in range(k):
+                longer[at + more] += w
+        ways = longer
+    return tuple(ways)
+
+
+def kendall_exact(n: int, s: int) -> float:
+    """Probability of a sum of signs at least as far from zero, over all orders of n different values."""
+    if n < 2:
+        return 1.0
+    pairs = n * (n - 1) // 2
+    few = (pairs - abs(s)) // 2
+    return min(1.0, 2 * sum(inversions(n)[: few + 1]) / math.factorial(n))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,3 +83,51 @@ def flatten(df: DataFrame, sep: str = "_") -> DataFrame:
 def round_all(values: Column, digits: int) -> Column:
     """Rounds an array's numbers; NaN becomes null."""
     return F.transform(values, lambda v: F.when(~F.isnan(v), F.round(v, digits)))
+
+
+#: Month names by which dates in texts are found, and what they are shortened to (fixed values).
+MONTHS = {
+    "enero": "ene", "febrero": "feb", "marzo": "mar", "abril": "abr", "mayo": "may", "junio": "jun",
+    "julio": "jul", "agosto": "ago", "septiembre": "sep", "octubre": "oct", "noviembre": "nov", "diciembre": "dic",
+}
+
+
+def short_date(text: Column) -> Column:
+    """day-mon-year of the first date written out (5 de marzo de 2024); null without one."""
+    low = F.lower(text)
+    part = lambda k: F.regexp_extract(low, r"(\d{1,2}) de ([a-z]+) de (\d{4})", k)
+    table = F.create_map(*[F.lit(x) for pair in MONTHS.items() for x in pair])
+    month = F.try_element_at(table, part(2))
+    return F.when(month.isNotNull(), F.concat_ws("-", part(1), month, part(3)))
+
+
+def by_unit(value: Column, unit: Column) -> Column:
+    """A figure's text as its unit asks for: no decimals for people and hectares, two for degrees, one for percent."""
+    digits = F.when(unit.rlike("(?i)^(hab|people|ha)"), 0).when(unit.rlike("°|deg"), 2).otherwise(1)
+    shown = F.when(digits == 0, F.format_number(value, 0)).when(digits == 2, F.format_number(value, 2)).otherwise(F.format_number(value, 1))
+    return F.concat_ws(" ", shown, unit)
+
+
+def first_key(values: Column, names: Sequence[str]) -> Column:
+    """The first key of a map that has a value."""
+    return F.coalesce(*[F.try_element_at(values, F.lit(n)) for n in names])
+
+
+def access_class(tags: Column, excluded: Sequence[str], restricted: Sequence[str], inside: Column) -> Column:
+    """none for excluded kinds; private by tag, or where half of it or more lies inside an institution; restricted kinds;
+    public by tag, and where nothing is said."""
+    kind, access = F.try_element_at(tags, F.lit("kind")), F.try_element_at(tags, F.lit("access"))
+    return (
+        F.when(kind.isin(*excluded), "none")
+        .when(access.isin("private", "no") | (inside >= 0.5), "private")
+        .when(kind.isin(*restricted), "restricted")
+        .when(access.isNotNull(), "public")
+        .otherwise("undeclared")
+    )
+
+
+def without_empty(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Drops columns that have no value in any row; one aggregate tells which."""
+    rest = [c for c in df.columns if c not in keys]
+    seen = df.agg(*[F.count(c).alias(c) for c in rest]).first()
+    return df.select(*keys, *[c for c in rest if seen[c]])

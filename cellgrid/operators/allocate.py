@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,9 +26,9 @@ def residual(cells: DataFrame, block: str, total: str, known: str, margin: float
 
 def anchor(cells: DataFrame, targets: DataFrame, kind: str, value: str) -> DataFrame:
     """Scales the values of each class so that they sum to the class's target; targets is a small table of classes."""
-    sums = cells.groupBy(kind).agg(F.sum(value).alias("_s")).join(F.broadcast(targets), kind)
+    sums = cells.groupBy(kind).agg(F.sum(value).alias("_s")).join(targets, kind)
     factors = sums.select(kind, F.try_divide("target", "_s").alias("_f"))
-    return cells.join(F.broadcast(factors), kind, "left").withColumn("anchored", F.col(value) * F.coalesce("_f", F.lit(1.0))).drop("_f")
+    return cells.join(factors, kind, "left").withColumn("anchored", F.col(value) * F.coalesce("_f", F.lit(1.0))).drop("_f")
 
 
 def around(cells: DataFrame, row: int, col: int, radius: float, value: str, cell_m: float = 1.0) -> DataFrame:
@@ -42,3 +42,26 @@ def around(cells: DataFrame, row: int, col: int, radius: float, value: str, cell
 def inspect(cells: DataFrame, row: int, col: int, columns: Sequence[str]) -> DataFrame:
     """The values at one cell."""
     return cells.filter((F.col("row") == row) & (F.col("col") == col)).select("row", "col", *columns)
+
+
+def redistribute(cells: DataFrame, block: str, truth: str, weight: Column) -> DataFrame:
+    """Adds allocated: what a block truly holds in all, dealt out anew by a weight (evenly where a block has none)."""
+    return spread(cells.withColumn("_t", F.sum(truth).over(Window.partitionBy(block))), block, "_t", weight).drop("_t")
+
+
+def scale_dissimilarity(cells: DataFrame, a: str, b: str, sizes: Sequence[int]) -> DataFrame:
+    """size, dissimilarity: half the summed differences of two distributions, over blocks of each size (1: cells)."""
+    from cellgrid.operators.aggregate import dissimilarity
+
+    at = F.explode(F.array(*map(F.lit, sizes))).alias("size")
+    blocks = cells.select("row", "col", a, b, at).groupBy("size", F.floor(F.col("row") / F.col("size")).alias("_r"), F.floor(F.col("col") / F.col("size")).alias("_c"))
+    return dissimilarity(blocks.agg(F.sum(a).alias(a), F.sum(b).alias(b)), ["size"], a, b)
+
+
+def held_out(cells: DataFrame, block: str, truth: str, weights: Mapping[str, Column], sizes: Sequence[int]) -> DataFrame:
+    """method, size, dissimilarity: how far known counts, dealt out again within blocks by each weight, lie from the truth."""
+    out = None
+    for name, weight in weights.items():
+        made = scale_dissimilarity(redistribute(cells, block, truth, weight), truth, "allocated", sizes).withColumn("method", F.lit(name))
+        out = made if out is None else out.unionByName(made)
+    return out

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellgrid.functions.cells import inside_ring
+from cellgrid.functions.cells import inside_ring, segment_distance
 
 
 def points_in_zones(points: DataFrame, zones: DataFrame, x: str, y: str, size: float, order: str = "zone_idx") -> DataFrame:
@@ -38,20 +39,63 @@ def within(left: DataFrame, right: DataFrame, a: tuple[str, str], b: tuple[str,
     return pairs.filter(F.col("distance") <= radius).drop("_bx", "_by")
 
 
-def nearest(left: DataFrame, right: DataFrame, key: str, target: str, a: tuple[str, str], b: tuple[str, str], radius: float, tries: int = 6) -> DataFrame:
-    """For each left row the nearest right row (ties: least target): bins of growing size, only for rows still without one.
+def extent(points: DataFrame, xy: tuple[str, str]) -> tuple[float, float, float, float] | None:
+    """Least and largest x and y; None without points."""
+    low_x, high_x, low_y, high_y = points.agg(F.min(xy[0]), F.max(xy[0]), F.min(xy[1]), F.max(xy[1])).first()
+    return None if low_x is None or low_y is None else (low_x, high_x, low_y, high_y)
 
-    After the last try the rows without a partner within radius * 2**(tries - 1) have none."""
+
+def nearest(
+    left: DataFrame, right: DataFrame, key: str, target: str, a: tuple[str, str], b: tuple[str, str], radius: float, others: bool = False
+) -> DataFrame:
+    """For each left row the nearest right row (ties: least target); others: a row's own key is no target for it.
+
+    Bins grow twofold, only for rows still without a partner, until they span both sides: no row that has a partner at any
+    distance goes without one. radius should be near the usual distance; it changes the work, not the result."""
+    sides = [extent(left, a), extent(right, b)]
     found, rest = None, left
-    for k in range(tries):
-        pairs = within(rest, right, a, b, radius * 2**k)
+    if None in sides:
+        span = 0.0
+    else:
+        (x0, x1, y0, y1), (u0, u1, v0, v1) = sides
+        span = max(x1, u1) - min(x0, u0) + max(y1, v1) - min(y0, v0)
+    while True:
+        pairs = within(rest, right, a, b, radius)
+        if others:
+            pairs = pairs.filter(F.col(key) != F.col(target))
         best = pairs.groupBy(key).agg(F.min(F.struct("distance", target)).alias("_m")).select(key, F.col(f"_m.{target}").alias(target), F.col("_m.distance").alias("distance"))
         best = best.checkpoint()
         found = best if found is None else found.unionByName(best)
-        rest = rest.join(best, key, "left_anti")
-        if k + 1 < tries and not rest.limit(1).count():
-            break
-    return found
+        if radius >= span:
+            return found
+        rest = rest.join(best, key, "left_anti").checkpoint()
+        if not rest.limit(1).count():
+            return found
+        radius *= 2
+
+
+def nearest_segment(points: DataFrame, segments: DataFrame, key: str, xy: tuple[str, str], name: str, radius: float) -> DataFrame:
+    """key, name, distance: the nearest segment (columns x1, y1, x2, y2; ties: least name) of each point, at any distance.
+
+    A segment stands in all bins that its box, widened by the radius, covers; bins grow as in nearest()."""
+    ends = segments.select("x1", "y1").unionByName(segments.select(F.col("x2").alias("x1"), F.col("y2").alias("y1")))
+    sides = [extent(points, xy), extent(ends, ("x1", "y1"))]
+    span = 0.0 if None in sides else max(s[1] for s in sides) - min(s[0] for s in sides) + max(s[3] for s in sides) - min(s[2] for s in sides)
+    found, rest = None, points.select(key, F.col(xy[0]).alias("_x"), F.col(xy[1]).alias("_y"))
+    while True:
+        bins = lambda lo, hi: F.explode(F.sequence(F.floor((F.least(lo, hi) - radius) / radius), F.floor((F.greatest(lo, hi) + radius) / radius)))  # noqa: E731, B023
+        near = segments.withColumn("_bx", bins("x1", "x2")).withColumn("_by", bins("y1", "y2"))
+        keyed = rest.withColumns({"_bx": F.floor(F.col("_x") / radius), "_by": F.floor(F.col("_y") / radius)})
+        d = segment_distance(*[F.col(c) for c in ("_x", "_y", "x1", "y1", "x2", "y2")])
+        pairs = keyed.join(near, ["_bx", "_by"]).select(key, name, d.alias("distance")).filter(F.col("distance") <= radius)
+        best = pairs.groupBy(key).agg(F.min(F.struct("distance", name)).alias("_m")).select(key, F.col(f"_m.{name}").alias(name), F.col("_m.distance").alias("distance")).checkpoint()
+        found = best if found is None else found.unionByName(best)
+        if radius >= span:
+            return found
+        rest = rest.join(best, key, "left_anti").checkpoint()
+        if not rest.limit(1).count():
+            return found
+        radius *= 2
 
 
 def first_source(rows: DataFrame, keys: Sequence[str], value: str, order: Sequence[Column]) -> DataFrame:
@@ -60,56 +104,110 @@ def first_source(rows: DataFrame, keys: Sequence[str], value: str, order: Sequen
     return rows.filter(F.col(value).isNotNull()).withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
 
 
-def keyed_or_nearest(left: DataFrame, right: DataFrame, key: str, other: str, order: Column) -> DataFrame:
-    """Joins by key; rows without a partner get the best row of the right side's few rows by the given order.
-
-    The right side is a dimension (sections, stations): it is broadcast."""
-    w = Window.partitionBy(key).orderBy(order, other)
-    direct = left.join(F.broadcast(right), F.col(key) == F.col(other)).withColumn("matched", F.lit("key"))
-    rest = left.join(F.broadcast(right.select(other)), F.col(key) == F.col(other), "left_anti").join(F.broadcast(right))
-    rest = rest.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r").withColumn("matched", F.lit("nearest"))
-    return direct.unionByName(rest)
+def keyed_or_nearest(left: DataFrame, right: DataFrame, key: str, other: str, ident: str, a: tuple[str, str], b: tuple[str, str], radius: float) -> DataFrame:
+    """ident, other, matched: right rows by key; left rows (named by ident) whose key has no partner get the nearest one."""
+    direct = left.join(right.select(other), F.col(key) == F.col(other)).select(ident, other, F.lit("key").alias("matched"))
+    rest = left.join(right.select(other), F.col(key) == F.col(other), "left_anti").checkpoint()
+    return direct.unionByName(nearest(rest, right, ident, other, a, b, radius).select(ident, other, F.lit("nearest").alias("matched")))
 
 
 def overlap_shares(source: DataFrame, target: DataFrame, lo: str = "lo", hi: str = "hi") -> DataFrame:
     """source, target, share: the part of each source interval in each target interval; both are edges of one axis."""
     s, t = source.select("source", F.col(lo).alias("_a"), F.col(hi).alias("_b")), target.select("target", F.col(lo).alias("_c"), F.col(hi).alias("_d"))
     both = F.least("_b", "_d") - F.greatest("_a", "_c")
-    return s.join(F.broadcast(t), (F.col("_a") < F.col("_d")) & (F.col("_c") < F.col("_b"))).select("source", "target", (both / (F.col("_b") - F.col("_a"))).alias("share"))
+    return s.join(t, (F.col("_a") < F.col("_d")) & (F.col("_c") < F.col("_b"))).select("source", "target", (both / (F.col("_b") - F.col("_a"))).alias("share"))
 
 
 def regrid(cells: DataFrame, rows: DataFrame, cols: DataFrame, value: str) -> DataFrame:
     """Sums kept: cells (row, col, value) to (row, col) of the target axes by the shares of each axis."""
     r, c = rows.withColumnsRenamed({"source": "row", "target": "_row", "share": "_rs"}), cols.withColumnsRenamed({"source": "col", "target": "_col", "share": "_cs"})
-    joined = cells.join(F.broadcast(r), "row").join(F.broadcast(c), "col")
+    joined = cells.join(r, "row").join(c, "col")
     return joined.groupBy(F.col("_row").alias("row"), F.col("_col").alias("col")).agg(F.sum(F.col(value) * F.col("_rs") * F.col("_cs")).alias(value))
 
 
 def merge_names(places: DataFrame, keys: Sequence[str], order: Sequence[Column], x: str, y: str, key: str, radius: float) -> DataFrame:
     """Places of one category and name closer than radius merge into the first kept, greedily in the order given.
 
-    Adds kept_key: the row's own key if it stays. One group holds the places of one name, which order makes sequential."""
-    schema = places.select(*places.columns, F.col(key).alias("kept_key")).schema
-    ranked = places.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-
-    def run(pdf):
-        import numpy as np
-
-        pdf = pdf.sort_values("_r")
-        xy, names = pdf[[x, y]].to_numpy(float), pdf[key].to_numpy()
-        kept, at = [], np.empty(len(pdf), dtype=names.dtype)
-        for k in range(len(pdf)):
-            if kept:
-                d = np.hypot(*(xy[kept] - xy[k]).T)
-                hit = np.flatnonzero(d < radius)
-                if len(hit):
-                    at[k] = names[kept[hit[0]]]
-                    continue
-            kept.append(k)
-            at[k] = names[k]
-        return pdf.drop(columns="_r").assign(kept_key=at)
-
-    return ranked.groupBy(*keys).applyInPandas(run, schema)
+    Adds kept_key: the row's own key if it stays. A place stays once no earlier one near it can stay, and goes once one
+    does; every round settles the first open place of each neighbourhood, all over the table at once. Places meet in bins
+    of the radius, so that a frequent name is no hot group; rounds are as many as the longest run of places that hang on
+    each other."""
+    bins = places.select(*keys, key, F.col(x).alias("_x"), F.col(y).alias("_y"), F.struct(*[_sortable(o, k) for k, o in enumerate(order)], F.col(key).alias("_last")).alias("_o"))
+    far = bins.select(*[F.col(k).alias(f"_k{n}") for n, k in enumerate(keys)], F.col(key).alias("_b"), F.col("_x").alias("_x2"), F.col("_y").alias("_y2"), F.col("_o").alias("_o2"))
+    pairs = within(bins, far, ("_x", "_y"), ("_x2", "_y2"), radius).filter(F.col("distance") < radius)
+    same = [F.col(k).eqNullSafe(F.col(f"_k{n}")) for n, k in enumerate(keys)]
+    for c in same:
+        pairs = pairs.filter(c)
+    # Each place with the earlier ones near it; _o2 orders those.
+    earlier = pairs.filter(F.col("_o2") < F.col("_o")).select(F.col(key).alias("_a"), "_b", "_o2").checkpoint()
+    open_ = earlier.select(F.col("_a").alias("_n")).distinct().checkpoint()
+    kept = bins.select(F.col(key).alias("_n")).join(open_, "_n", "left_anti").checkpoint()
+    while open_.limit(1).count():
+        hit = earlier.join(kept, F.col("_b") == F.col("_n")).select(F.col("_a").alias("_n")).distinct()
+        left = open_.join(hit, "_n", "left_anti").checkpoint()
+        waits = earlier.join(left, F.col("_b") == F.col("_n")).select(F.col("_a").alias("_n")).distinct()
+        kept = kept.unionByName(left.join(waits, "_n", "left_anti")).checkpoint()
+        open_ = left.join(waits, "_n", "left_semi").checkpoint()
+    into = earlier.join(kept, F.col("_b") == F.col("_n")).groupBy("_a").agg(F.min_by("_b", "_o2").alias("_into"))
+    return places.join(into, F.col(key) == F.col("_a"), "left").withColumn("kept_key", F.coalesce("_into", key)).drop("_a", "_into")
+
+
+def _sortable(order: Column | str, k: int) -> Column:
+    """A sort key as a column that ascends: descending keys must be numbers."""
+    return (F.col(order) if isinstance(order, str) else order).alias(f"_s{k}")
+
+
+def antiparallel(samples: DataFrame, ident: str, way: str, kind: str, reach: float = 40.0, turn: float = 0.5, neighbours: int = 8, weight: float = 100.0) -> DataFrame:
+    """ident, other, distance: of the nearest samples by place and reversed heading, the first of another way and the same
+    class that lies within reach and points back. Columns x, y, ux, uy (unit heading).
+
+    Whoever is nearer than a sample that is accepted lies within hypot(reach, weight * turn) in the plane."""
+    far = samples.select(*[F.col(c).alias(f"{c}_2") for c in ("x", "y", "ux", "uy", way, kind)], F.col(ident).alias("other"))
+    pairs = within(samples.select(ident, "x", "y", "ux", "uy", way, kind), far, ("x", "y"), ("x_2", "y_2"), math.hypot(reach, weight * turn) * 1.0001)
+    pairs = pairs.filter(F.col(ident) != F.col("other"))
+    bend = F.hypot(F.col("ux") + F.col("ux_2"), F.col("uy") + F.col("uy_2"))
+    pairs = pairs.withColumns({"_bend": bend, "_d4": F.hypot("distance", weight * bend)})
+    ranked = pairs.withColumn("_r", F.row_number().over(Window.partitionBy(ident).orderBy("_d4", "other"))).filter(F.col("_r") <= neighbours)
+    good = ranked.filter((F.col(way) != F.col(f"{way}_2")) & (F.col(kind) == F.col(f"{kind}_2")) & (F.col("distance") <= reach) & (F.col("_bend") <= turn))
+    return good.groupBy(ident).agg(F.min_by(F.struct("other", "distance"), "_r").alias("_m")).select(ident, "_m.other", "_m.distance")
+
+
+def merge_contained(areas: DataFrame, points: DataFrame, ident: str, kind: str, area: str, x: str, y: str, size: float) -> DataFrame:
+    """ident, into: smaller elements (points with an area) that lie in a larger one of their kind, and the largest such.
+
+    areas: ident, kind, area and ring; points: ident, kind, area, x, y. Points meet the boxes of rings in bins."""
+    xs, ys = F.transform("ring", lambda p: p["x"]), F.transform("ring", lambda p: p["y"])
+    step = lambda f, v: F.floor(f(v) / size)
+    boxes = areas.select(F.col(ident).alias("into"), F.col(kind).alias("_kind"), F.col(area).alias("_area"), "ring",
+                         F.explode(F.sequence(step(F.array_min, xs), step(F.array_max, xs))).alias("_bx"), step(F.array_min, ys).alias("_y0"), step(F.array_max, ys).alias("_y1"))
+    boxes = boxes.withColumn("_by", F.explode(F.sequence("_y0", "_y1")))
+    keyed = points.select(ident, kind, area, F.col(x).alias("_x"), F.col(y).alias("_y"), F.floor(F.col(x) / size).alias("_bx"), F.floor(F.col(y) / size).alias("_by"))
+    hits = keyed.join(boxes, ["_bx", "_by"]).filter((F.col(kind) == F.col("_kind")) & (F.col(area) < F.col("_area")) & inside_ring(F.col("_x"), F.col("_y"), F.col("ring")))
+    return hits.groupBy(ident).agg(F.max_by("into", F.struct("_area", "into")).alias("into"))
+
+
+def inherited(links: DataFrame, decided: DataFrame, ident: str, ends: Sequence[str], verdict: str) -> DataFrame:
+    """ident, accepted: a link is accepted if every decided line that shares an endpoint with it is; null without any."""
+    at = lambda df, *more: df.select(*more, F.explode(F.array(*ends)).alias("_end"))
+    touching = at(links, ident).join(at(decided, verdict), "_end", "left")
+    return touching.groupBy(ident).agg(F.bool_and(verdict).alias("accepted"))
+
+
+def top_names(points: DataFrame, named: DataFrame, ident: str, a: tuple[str, str], b: tuple[str, str], name: str, radius: float, most: int = 3) -> DataFrame:
+    """ident, names: the most frequent names within the radius (ties: by name), up to so many."""
+    near = within(points, named, a, b, radius).groupBy(ident, name).agg(F.count("*").alias("_n"))
+    ranked = near.withColumn("_r", F.row_number().over(Window.partitionBy(ident).orderBy(F.desc("_n"), name))).filter(F.col("_r") <= most)
+    return ranked.groupBy(ident).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_r", name))), lambda p: p[name]), ",").alias("names"))
+
+
+def coarse_neighbours(coarse: DataFrame, row: str, col: str, level: str, value: str) -> DataFrame:
+    """row, col, neighbours, mean: of the four cells beside each coarse cell, those of the same level."""
+    steps = F.explode(F.array(*[F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")) for r, c in ((0, 1), (1, 0), (0, -1), (-1, 0))]))
+    moved = coarse.select(row, col, F.col(level).alias("_l"), F.col(value).alias("_v"), steps.alias("_s"))
+    moved = moved.select((F.col(row) + F.col("_s.r")).alias(row), (F.col(col) + F.col("_s.c")).alias(col), "_l", "_v")
+    joined = coarse.join(moved, [row, col], "left")
+    same = F.col(level) == F.col("_l")
+    return joined.groupBy(row, col).agg(F.count(F.when(same, 1)).alias("neighbours"), F.avg(F.when(same, F.col("_v"))).alias("mean"))
 
 
 def same_day_other_years(days: DataFrame, keys: Sequence[str], day: str, value: str) -> DataFrame:

@@ -3,11 +3,19 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellgrid.operators import graph
+from cellgrid.operators.joins import nearest
+
+#: Row-major numbers: row times this, plus column.
+WIDE = 1 << 31
+
 
 def composite(stack: DataFrame, keys: Sequence[str], value: str, least: int = 3) -> DataFrame:
     """Median and count of the values of each cell; the median is null with fewer values than least."""
@@ -45,33 +53,109 @@ def erode(cells: DataFrame, flag: str, offsets: Sequence[tuple[int, int]]) -> Da
     return focal(cells, flag, offsets, F.count(F.when(F.col(flag), 1)) == len(offsets), "eroded")
 
 
-def components(cells: DataFrame, flag: str, most: int = 200) -> DataFrame:
-    """row, col, label of set cells: 8-neighbours share the least row-major number of their component.
-
-    Labels pass to neighbours and then jump to their label's label, so that rounds grow with the logarithm of a component's
-    length; lineage is cut with checkpoint() each round."""
-    width = 1 << 31
-    at = F.col("row").cast("long") * width + F.col("col")
-    now = cells.filter(F.col(flag)).select("row", "col", at.alias("id"), at.alias("label")).checkpoint()
-    for _ in range(most):
-        low = moved(now, ["label"], square(1)).groupBy("row", "col").agg(F.min("label").alias("_l"))
-        step = now.join(low, ["row", "col"]).select("row", "col", "id", F.col("label").alias("_old"), F.least("label", "_l").alias("label"))
-        jump = step.select(F.col("id").alias("label"), F.col("label").alias("_j"))
-        new = step.join(jump, "label").select("row", "col", "id", F.least("label", "_j").alias("label"), (F.least("label", "_j") < F.col("_old")).alias("moved")).checkpoint()
-        now = new.select("row", "col", "id", "label")
-        if not new.filter("moved").limit(1).count():
-            return now.select("row", "col", "label")
-    raise RuntimeError(f"components not settled after {most} rounds")
-
-
-def distance(cells: DataFrame, flag: str, reach: int, row_m: float = 1.0, col_m: float = 1.0) -> DataFrame:
-    """Adds the distance to the nearest set cell within reach rows and columns, null beyond: first along columns, then
-    across them, so that a cell meets 2 (2 reach + 1) others and not their square."""
-    line = [(r, 0) for r in range(-reach, reach + 1)]
-    down = moved(cells.filter(F.col(flag)), [flag], line).groupBy("row", "col").agg(F.min(F.abs("dr")).alias("_d"))
-    across = moved(down, ["_d"], [(0, c) for c in range(-reach, reach + 1)])
-    best = across.groupBy("row", "col").agg(F.min(F.hypot(F.col("_d") * row_m, F.col("dc") * col_m)).alias("distance"))
-    return cells.join(best, ["row", "col"], "left")
+def components(cells: DataFrame, flag: str) -> DataFrame:
+    """row, col, label of set cells: 8-neighbours share the least row-major number of their component."""
+    at = F.col("row").cast("long") * WIDE + F.col("col")
+    now = cells.filter(F.col(flag)).select("row", "col", at.alias("id")).checkpoint()
+    # Half of the eight neighbours give every edge once.
+    beside = moved(now, ["id"], [(0, 1), (1, -1), (1, 0), (1, 1)]).select("row", "col", F.col("id").alias("other"))
+    edges = now.join(beside, ["row", "col"]).select("id", "other")
+    label = graph.components(edges, "id", "other")
+    return now.join(label, F.col("id") == F.col("node"), "left").select("row", "col", F.coalesce("label", "id").alias("label"))
+
+
+def distance(cells: DataFrame, flag: str, reach: float = 4.0, row_m: float = 1.0, col_m: float = 1.0) -> DataFrame:
+    """Adds the distance to the nearest set cell, however far; null if none is set.
+
+    Set cells have 0. The nearest set cell of another one lies on the rim of the set ones, so only the rim is searched, in
+    bins that start at reach and grow for the cells still without an answer."""
+    x, y = F.col("col") * float(col_m), F.col("row") * float(row_m)
+    on = F.coalesce(F.col(flag), F.lit(False))
+    around = focal(cells.select("row", "col", on.cast("int").alias("_on")), "_on", square(1), F.sum("_on"), "_n")
+    rim = around.filter("_on = 1 and _n < 9").select((F.col("row").cast("long") * WIDE + F.col("col")).alias("_to"), x.alias("_x2"), y.alias("_y2")).checkpoint()
+    off = cells.filter(~on).select((F.col("row").cast("long") * WIDE + F.col("col")).alias("_id"), x.alias("_x"), y.alias("_y"))
+    far = nearest(off, rim, "_id", "_to", ("_x", "_y"), ("_x2", "_y2"), reach * max(row_m, col_m)).select("_id", "distance")
+    keyed = cells.withColumn("_id", F.col("row").cast("long") * WIDE + F.col("col")).join(far, "_id", "left").drop("_id")
+    return keyed.withColumn("distance", F.when(on, 0.0).otherwise(F.col("distance")))
+
+
+def clear_mask(cells: DataFrame, kind: str, keep: Sequence, away: Sequence, radius: int, name: str = "clear") -> DataFrame:
+    """Adds whether a cell's class is one to keep and none of the classes to stay away from lies within the radius."""
+    bad = F.col(kind).isin(*away)
+    near = moved(cells.filter(bad), [], disc(radius)).select("row", "col").distinct().withColumn("_bad", F.lit(True))
+    return cells.join(near, ["row", "col"], "left").withColumn(name, F.col(kind).isin(*keep) & F.col("_bad").isNull()).drop("_bad")
+
+
+def focal_tiles(cells: DataFrame, value: str, radius: int, how: Callable[[np.ndarray], np.ndarray], name: str = "focal", tile: int = 128) -> DataFrame:
+    """row, col and an aggregate over the square of a large radius: how takes windows (cells x values, NaN where there is no
+    cell) and gives a value for each.
+
+    A cell goes to its own tile and to the tiles whose halo it lies in (nine at most), instead of once to every cell that
+    sees it; a tile is a small dense array."""
+
+    def tiles(c: str):
+        return F.explode(F.sequence(F.floor((F.col(c) - radius) / tile), F.floor((F.col(c) + radius) / tile)))
+
+    sent = cells.select("row", "col", F.col(value).cast("double").alias("_v"), tiles("row").alias("_tr"))
+    sent = sent.select("*", tiles("col").alias("_tc"))
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        top, left = int(key[0]) * tile, int(key[1]) * tile
+        wide = np.full((tile + 2 * radius, tile + 2 * radius), np.nan)
+        wide[pdf["row"] - top + radius, pdf["col"] - left + radius] = pdf["_v"]
+        own = pdf[pdf["row"].between(top, top + tile - 1) & pdf["col"].between(left, left + tile - 1)]
+        windows = np.lib.stride_tricks.sliding_window_view(wide, (2 * radius + 1,) * 2)
+        picked = windows[own["row"] - top, own["col"] - left].reshape(len(own), -1) if len(own) else np.empty((0, 1))
+        parts = [how(picked[k : k + 4096]) for k in range(0, len(picked), 4096)]
+        return pd.DataFrame({"row": own["row"], "col": own["col"], name: np.concatenate(parts) if parts else []})
+
+    return sent.groupBy("_tr", "_tc").applyInPandas(run, f"row int, col int, {name} double")
+
+
+def frequency(stack: DataFrame, keys: Sequence[str], flag: Column, valid: Column, least: int = 1) -> DataFrame:
+    """Share of valid observations in which flag holds, and their number; null with fewer than least."""
+    hit = F.when(valid, F.when(flag, 1.0).otherwise(0.0))
+    out = stack.groupBy(*keys).agg(F.avg(hit).alias("_f"), F.count(hit).alias("n"))
+    return out.select(*keys, F.when(F.col("n") >= least, F.col("_f")).alias("share"), "n")
+
+
+def class_fractions(cells: DataFrame, size: int, kind: str, classes: Sequence[str]) -> DataFrame:
+    """Share of each class in blocks of size x size cells; cells without a class do not count."""
+    at = [F.floor(F.col("row") / size).alias("block_row"), F.floor(F.col("col") / size).alias("block_col")]
+    return cells.groupBy(*at).agg(*[F.avg(F.when(F.col(kind).isNotNull(), (F.col(kind) == c).cast("double"))).alias(c) for c in classes])
+
+
+def resample(cells: DataFrame, value: str, scale: float, rows: int, cols: int, how: str = "average") -> DataFrame:
+    """row, col, value of a coarser or finer grid with the same corner, scale source cells to a cell: nearest, bilinear
+    (over the neighbours that have a value), average or sum of the source cells whose centre falls in."""
+    target = cells.sparkSession.range(rows * cols).select(F.floor(F.col("id") / cols).cast("int").alias("row"), (F.col("id") % cols).cast("int").alias("col"))
+    place = lambda c: (F.col(c) + 0.5) * scale - 0.5
+    source = cells.filter(F.col(value).isNotNull())
+    if how in ("average", "sum"):
+        at = [F.floor((F.col(c) + 0.5) / scale).cast("int").alias(c) for c in ("row", "col")]
+        return source.groupBy(*at).agg((F.avg if how == "average" else F.sum)(value).alias(value)).filter(f"row < {rows} and col < {cols}")
+    if how == "nearest":
+        asked = target.select("row", "col", F.floor(place("row") + 0.5).cast("int").alias("_r"), F.floor(place("col") + 0.5).cast("int").alias("_c"))
+        return asked.join(source.select(F.col("row").alias("_r"), F.col("col").alias("_c"), value), ["_r", "_c"]).select("row", "col", value)
+    asked = target.withColumns({"_y": place("row"), "_x": place("col")})
+    corners = F.explode(F.array(*[F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")) for r in (0, 1) for c in (0, 1)]))
+    asked = asked.withColumn("_k", corners).withColumns({"_r": (F.floor("_y") + F.col("_k.r")).cast("int"), "_c": (F.floor("_x") + F.col("_k.c")).cast("int")})
+    asked = asked.withColumn("_w", (1 - F.abs(F.col("_y") - F.col("_r"))) * (1 - F.abs(F.col("_x") - F.col("_c"))))
+    met = asked.join(source.select(F.col("row").alias("_r"), F.col("col").alias("_c"), value), ["_r", "_c"])
+    return met.groupBy("row", "col").agg(F.try_divide(F.sum(F.col(value) * F.col("_w")), F.sum("_w")).alias(value))
+
+
+def bank(x: Column, y: Column, x1: float, y1: float, x2: float, y2: float) -> Column:
+    """1 left of a line's direction, -1 right of it, 0 on it."""
+    return F.signum((x2 - x1) * (y - y1) - (y2 - y1) * (x - x1)).cast("int")
+
+
+def rings(distance_: Column, edges: Sequence[float]) -> Column:
+    """Number of the first edge that a distance does not exceed (from 0); null beyond the last."""
+    out = F.lit(None).cast("int")
+    for k in range(len(edges) - 1, -1, -1):
+        out = F.when(distance_ <= edges[k], k).otherwise(out)
+    return out
 
 
 def smooth(cells: DataFrame, value: str, sigma: float, cut: float = 4.0) -> DataFrame:

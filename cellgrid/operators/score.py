@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellgrid.operators.aggregate import exact_percentile
+
 
 def normalise(long: DataFrame, keys: Sequence[str] = ("component",), raw: str = "raw", direction: str = "direction", floor: str = "floor") -> DataFrame:
     """Adds norm in [0, 1]: the place between a component's least and largest value, turned round where direction is '-';
@@ -41,10 +43,10 @@ def rank_range(scenarios: DataFrame, zone: str) -> DataFrame:
 
 
 def replaced(long: DataFrame, variants: DataFrame, zone: str) -> DataFrame:
-    """One copy of the components for each variant, its own component's norm in place of the base."""
+    """One copy of the components for each variant, its own component's norm in place of the base. Variants are a handful."""
     names = variants.select("variant").distinct()
     own = variants.select("variant", "component", zone, F.col("norm").alias("_n"))
-    every = long.join(F.broadcast(names)).join(own, ["variant", "component", zone], "left")
+    every = long.withColumn("variant", F.explode(F.array(*[F.lit(r[0]) for r in names.collect()]))).join(own, ["variant", "component", zone], "left")
     return every.withColumn("norm", F.coalesce("_n", "norm")).drop("_n")
 
 
@@ -98,17 +100,82 @@ def quota_top(rows: DataFrame, year: str, quarter: str, order: Sequence[Column],
     return ranked.withColumn("_k", outer).filter(F.col("_k") <= most).drop("_q", "_k")
 
 
-def settle(items: DataFrame, key: str, value: str, tolerance: float, most: int = 20) -> DataFrame:
-    """Drops rows below the median of what is kept by more than tolerance until the kept set stays the same."""
-    kept = items
-    count = kept.count()
-    for _ in range(most):
-        middle = kept.agg(F.median(value)).first()[0]
-        if middle is None:
-            return kept
-        kept = items.filter(F.col(value) >= F.lit(middle) - tolerance)
-        now = kept.count()
-        if now == count:
+def settle(items: DataFrame, value: str, tolerance: float) -> DataFrame:
+    """Drops rows below the median of what is kept by more than tolerance until the kept set stays the same.
+
+    The median of all rows is where it starts; a bound that only rises lets nothing come back, so it ends."""
+    low = float("-inf")
+    while True:
+        kept = items.filter(F.col(value) >= low)
+        middle = exact_percentile(kept, value, 0.5)
+        if middle is None or middle - tolerance <= low or not kept.filter(F.col(value) < middle - tolerance).limit(1).count():
             return kept
-        count = now
-    return kept
+        low = middle - tolerance
+
+
+def mean_component(long: DataFrame, zone: str, parts: Sequence[str], name: str, digits: int = 4) -> DataFrame:
+    """One component out of several: the mean of their normalised values takes the place of the parts."""
+    inside = F.col("component").isin(*parts)
+    made = long.filter(inside).groupBy(zone).agg(F.round(F.avg("norm"), digits).alias("norm"))
+    return long.filter(~inside).select(zone, "component", "norm").unionByName(made.select(zone, F.lit(name).alias("component"), "norm"))
+
+
+def limits(zones: DataFrame, zone: str, tree: str, built: str, water: str, road: str, heat: str, heat_floor: float, green: str, green_top: float) -> DataFrame:
+    """What each zone leaves for interventions, in percent: the rest of the surface, roads (not above what is built; all of
+    it where roads are unknown), roofs, and how far heat may sink and green may rise before observed bounds."""
+    roads = F.when(F.col(road).isNotNull(), F.least(road, built))
+    return zones.select(
+        zone, (100 - F.col(tree) - F.col(built) - F.col(water)).alias("open_pp"), F.col(built).alias("built_pp"), F.coalesce(roads, F.col(built)).alias("road_pp"),
+        F.when(roads.isNull(), F.col(built)).otherwise(F.greatest(F.col(built) - roads, F.lit(0.0))).alias("roof_pp"),
+        F.least(F.lit(heat_floor) - F.col(heat), F.lit(0.0)).alias("heat_floor"), F.greatest(F.lit(green_top) - F.col(green), F.lit(0.0)).alias("green_top"),
+    )
+
+
+def catalogue(zones: DataFrame, zone: str, effects: DataFrame) -> DataFrame:
+    """One row for each zone and intervention: effects (option, coef, low, high, predicted_low, predicted_high, base) with the
+    interval to show (the predicted one if there is one, and its kind) and what the zone has available of its base.
+
+    effects is a handful of rows that the caller states."""
+    known = F.col("predicted_low").isNotNull()
+    shown = effects.select(
+        "option", "coef", "base", F.coalesce("predicted_low", "low").alias("low"), F.coalesce("predicted_high", "high").alias("high"),
+        F.when(known, "prediction").otherwise("mean").alias("interval"),
+    )
+    bases = [c.removesuffix("_pp") for c in zones.columns if c.endswith("_pp")]
+    long = zones.select(zone, F.inline(F.array(*[F.struct(F.lit(b).alias("base"), F.col(f"{b}_pp").cast("double").alias("available")) for b in bases])))
+    return long.join(shown, "base").select(zone, "option", "coef", "low", "high", "interval", "available")
+
+
+def sensitivity(cells: DataFrame, keys: Sequence[str], grid: Mapping[str, Column], area: Column) -> DataFrame:
+    """keys, setting, pct: percent of the area in which each setting's condition holds; all settings in one aggregate."""
+    whole = F.sum(area)
+    wide = cells.groupBy(*keys).agg(*[(100 * F.try_divide(F.sum(F.when(c, area).otherwise(0.0)), whole)).alias(f"_{k}") for k, c in enumerate(grid.values())])
+    rows = F.array(*[F.struct(F.lit(name).alias("setting"), F.col(f"_{k}").alias("pct")) for k, name in enumerate(grid)])
+    return wide.select(*keys, F.inline(rows))
+
+
+def stability(scores: DataFrame, zone: str, scenario: str, value: str, base: str) -> DataFrame:
+    """zone, base position, least and largest position over scenarios, and how many scenarios move it."""
+    placed = ranking(scores.filter(F.col(value).isNotNull()), zone, value, [scenario])
+    own = F.max(F.when(F.col(scenario) == base, F.col("position")))
+    first = F.max(F.when(F.col(scenario) == base, F.col("position"))).over(Window.partitionBy(zone))
+    moved = placed.withColumn("_m", (F.col("position") != first).cast("int"))
+    return moved.groupBy(zone).agg(own.alias("base"), F.min("position").alias("best"), F.max("position").alias("worst"), F.sum("_m").alias("moved"))
+
+
+def refilled(scenes: DataFrame, key: str, year: str, quarter: str, order: Sequence[Column], bad: Column, most: int = 6, quota: int = 2) -> DataFrame:
+    """quota_top with rejects: chosen rows that turn out bad are struck out and the choice is made again, until none is."""
+    pool = scenes.withColumn("_bad", F.coalesce(bad, F.lit(False)))
+    struck = pool.filter(F.lit(False)).select(key)
+    while True:
+        chosen = quota_top(pool.join(struck, key, "left_anti"), year, quarter, order, most, quota).checkpoint()
+        new = chosen.filter("_bad").select(key)
+        if not new.limit(1).count():
+            return chosen.drop("_bad")
+        struck = struck.unionByName(new).checkpoint()
+
+
+def sorted_with_total(rows: DataFrame, column: str, total: Column, descending: bool = False) -> DataFrame:
+    """Rows by a column, numbers that are missing lowest; total rows stay last whatever the direction."""
+    at = F.col(column)
+    return rows.orderBy(F.coalesce(total, F.lit(False)), at.desc_nulls_last() if descending else at.asc_nulls_first())

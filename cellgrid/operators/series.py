@@ -63,7 +63,7 @@ def climatology(months: DataFrame, keys: Sequence[str], month: str, value: str,
 
 def anomalies(months: DataFrame, normals: DataFrame, keys: Sequence[str], month: str, value: str) -> DataFrame:
     """Difference and percent difference from the calendar month's normal."""
-    joined = months.withColumn("calendar_month", F.month(month)).join(F.broadcast(normals.drop("n")), [*keys, "calendar_month"])
+    joined = months.withColumn("calendar_month", F.month(month)).join(normals.drop("n"), [*keys, "calendar_month"])
     gap = F.col(value) - F.col("normal")
     return joined.select(*keys, month, gap.alias("anomaly"), (100 * F.try_divide(gap, F.col("normal"))).alias("pct"))
 

@@ -20,9 +20,15 @@ def ols_line(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
     )
 
 
-def _pairs(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
-    """Ordered pairs of a group's points; groups are annual series of some tens of rows."""
+#: Points of a series beyond which its pairs are refused: they grow with the square.
+MOST_POINTS = 20_000
+
+
+def pairs(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
+    """Ordered pairs of a series' points. Meant for annual or monthly series: one of more than MOST_POINTS is an error."""
     a = df.filter(F.col(y).isNotNull()).select(*keys, F.col(x).alias("x1"), F.col(y).alias("y1"))
+    a = a.withColumn("_n", F.count("*").over(Window.partitionBy(*keys)))
+    a = a.filter(F.when(F.col("_n") <= MOST_POINTS, True).otherwise(F.raise_error(F.lit(f"a series has more than {MOST_POINTS} points")))).drop("_n")
     b = a.withColumnsRenamed({"x1": "x2", "y1": "y2"})
     return a.join(b, list(keys)).filter("x1 < x2")
 
@@ -30,12 +36,12 @@ def _pairs(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
 def theil_sen(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
     """Median of the slopes of all pairs of points."""
     slope = (F.col("y2") - F.col("y1")) / (F.col("x2") - F.col("x1"))
-    return _pairs(df, keys, x, y).groupBy(*keys).agg(F.median(slope).alias("slope"), F.count("*").alias("pairs"))
+    return pairs(df, keys, x, y).groupBy(*keys).agg(F.median(slope).alias("slope"), F.count("*").alias("pairs"))
 
 
 def mann_kendall(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
     """n, s, variance, z (continuity-corrected, ties counted) and tau of each series."""
-    s = _pairs(df, keys, x, y).groupBy(*keys).agg(F.sum(F.signum(F.col("y2") - F.col("y1"))).alias("s"))
+    s = pairs(df, keys, x, y).groupBy(*keys).agg(F.sum(F.signum(F.col("y2") - F.col("y1"))).alias("s"))
     ties = df.filter(F.col(y).isNotNull()).groupBy(*keys, y).agg(F.count("*").alias("t"))
     t, n = F.col("t"), F.col("n")
     size = ties.groupBy(*keys).agg(F.sum("t").alias("n"), F.sum(t * (t - 1) * (2 * t + 5)).alias("_t"))

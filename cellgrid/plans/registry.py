@@ -13,6 +13,7 @@ from cellgrid.operators import aggregate as A
 from cellgrid.operators import allocate, flow, joins, raster, score, series, stats
 from cellgrid.plans import adapter as D
 from cellgrid.session import read_table
+from cellgrid.sources import layers
 from cellgrid.streaming.daily import daily_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -296,10 +297,14 @@ def second_difference(spark, sf_dir):
     return hours.select("var", "ts", F.round(series.second_difference(hours, ["var"], "ts", "value"), 6).alias("second"))
 
 
-@query(f"""WITH {D.HOURLY}, s AS (SELECT *, lead(value) OVER w AS b, lag(value) OVER w AS a FROM hourly WINDOW w AS (PARTITION BY var ORDER BY ts))
-    SELECT var, ts, round(CASE WHEN b - 2 * value + a < -40 THEN (a + b) / 2 ELSE value END, 6) AS value, CASE WHEN b - 2 * value + a < -40 THEN 1 ELSE 0 END AS repaired FROM s""")
+_SPIKE = """s{k} AS (SELECT var, ts, CASE WHEN b - 2 * value + a < -40 THEN (a + b) / 2 ELSE value END AS value, CASE WHEN b - 2 * value + a < -40 THEN {k} ELSE repaired END AS repaired
+    FROM (SELECT *, lead(value) OVER w AS b, lag(value) OVER w AS a FROM {src} WINDOW w AS (PARTITION BY var ORDER BY ts)))"""
+SPIKES = f"""{D.HOURLY}, s0 AS (SELECT *, 0 AS repaired FROM hourly), {_SPIKE.format(k=1, src="s0")}, {_SPIKE.format(k=2, src="s1")}, {_SPIKE.format(k=3, src="s2")}"""
+
+
+@query(f"WITH {SPIKES} SELECT var, ts, round(value, 6) AS value, repaired FROM s3")
 def spike_repair(spark, sf_dir):
-    return rounded(series.repair_spikes(D.hourly(spark, sf_dir), ["var"], "ts", "value", 40, passes=1), "value", digits=6)
+    return rounded(series.repair_spikes(D.hourly(spark, sf_dir), ["var"], "ts", "value", 40), "value", digits=6)
 
 
 @query(f"""WITH {D.HOURLY}, s AS (SELECT var, ts AS "at", avg(value) OVER b AS x, count(value) OVER b AS nb, avg(value) OVER a AS y, count(value) OVER a AS na FROM hourly
@@ -452,29 +457,29 @@ def robust_regression(spark, sf_dir):
 @query()
 def block_bootstrap(spark, sf_dir):
     block = F.floor(F.col("row") / 5) * 100 + F.floor(F.col("col") / 5)
-    return rounded(stats.block_bootstrap(D.cells(spark, sf_dir), "value", ["dist", "weight"], block, replicas=200), "coef", "low", "high")
+    return rounded(stats.block_bootstrap(D.cells(spark, sf_dir), "value", ["dist", "weight"], block), "coef", "low", "high")
 
 
 # --- joins ----------------------------------------------------------------------------------------------------------
 
 
-@query(f"""WITH {D.PLACES}, z AS (SELECT n_name, n_nationkey AS k, (n_nationkey % 5) * 200.0 AS x0, (n_nationkey // 5) * 200.0 AS y0 FROM nation)
-    SELECT place, n_name AS zone_id FROM places LEFT JOIN z ON x > x0 + 10 AND x < x0 + 190 AND y > y0 + 10 AND y < y0 + 190 AND (x - x0) + (y - y0) < 290
-    WHERE NOT (x % 200 IN (10, 190) OR y % 200 IN (10, 190) OR (x % 200) + (y % 200) = 290)""")
+#: The zones' edges, and the places that the even-odd rule puts inside.
+EDGES = """edges AS (SELECT n_nationkey AS k, n_name, (n_nationkey % 5) * 200.0 + x1 AS x1, (n_nationkey // 5) * 200.0 + y1 AS y1, (n_nationkey % 5) * 200.0 + x2 AS x2, (n_nationkey // 5) * 200.0 + y2 AS y2
+    FROM nation, (VALUES (10.0, 10.0, 190.0, 10.0), (190.0, 10.0, 190.0, 100.0), (190.0, 100.0, 100.0, 190.0), (100.0, 190.0, 10.0, 190.0), (10.0, 190.0, 10.0, 10.0)) AS e(x1, y1, x2, y2))"""
+INSIDE = f"""{D.PLACES}, {EDGES}, hits AS (SELECT place, k, n_name FROM places JOIN edges ON (y1 > y) <> (y2 > y) AND x < (x2 - x1) * (y - y1) / (y2 - y1) + x1 GROUP BY 1, 2, 3 HAVING count(*) % 2 = 1)"""
+
+
+@query(f"WITH {INSIDE}, one AS (SELECT place, arg_min(n_name, k) AS zone_id FROM hits GROUP BY place) SELECT place, zone_id FROM places LEFT JOIN one USING (place)")
 def point_in_polygon(spark, sf_dir):
-    points = D.places(spark, sf_dir).filter("not (x % 200 in (10, 190) or y % 200 in (10, 190) or (x % 200) + (y % 200) = 290)")
-    return joins.points_in_zones(points, D.zones(spark, sf_dir), "x", "y", 100.0).select("place", "zone_id")
+    return joins.points_in_zones(D.places(spark, sf_dir), D.zones(spark, sf_dir), "x", "y", 100.0).select("place", "zone_id")
 
 
-@query(f"""WITH {D.PLACES}, p AS (SELECT a.place, b.place AS neighbour, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS d FROM places a JOIN places b ON a.place <> b.place AND b.place % 2 = 1),
+@query(f"""WITH {D.PLACES}, p AS (SELECT a.place, b.place AS neighbour, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS d FROM places a JOIN places b ON a.place <> b.place),
     k AS (SELECT *, row_number() OVER (PARTITION BY place ORDER BY d, neighbour) AS k FROM p) SELECT place, neighbour, round(d, 4) AS distance FROM k WHERE k = 1""")
 def nearest_neighbour(spark, sf_dir):
     places = D.places(spark, sf_dir).select("place", "x", "y")
-    others = places.filter("place % 2 = 1").select(F.col("place").alias("neighbour"), F.col("x").alias("x2"), F.col("y").alias("y2"))
-    even = joins.nearest(places.filter("place % 2 = 0"), others, "place", "neighbour", ("x", "y"), ("x2", "y2"), 50.0)
-    pairs = joins.within(places.filter("place % 2 = 1"), others, ("x", "y"), ("x2", "y2"), 1500.0).filter("place <> neighbour")
-    odd = pairs.groupBy("place").agg(F.min(F.struct("distance", "neighbour")).alias("m")).select("place", "m.neighbour", "m.distance")
-    return rounded(even.unionByName(odd), "distance")
+    others = places.select(F.col("place").alias("neighbour"), F.col("x").alias("x2"), F.col("y").alias("y2"))
+    return rounded(joins.nearest(places, others, "place", "neighbour", ("x", "y"), ("x2", "y2"), 30.0, others=True), "distance")
 
 
 @query(f"""WITH {D.PLACES} SELECT a.place, count(*) AS n, round(avg(b.size), 8) AS mean FROM places a JOIN places b ON sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 150 GROUP BY a.place""")
@@ -492,34 +497,37 @@ def mosaic_priority(spark, sf_dir):
     return joins.first_source(items, ["id"], "value", order).select("id", "source", "value")
 
 
-@query(f"""WITH {D.CELLS}, a AS (SELECT * FROM (VALUES (0, 0, 0.6), (0, 1, 0.4)) AS t(s, t, w)), e AS (SELECT g AS target, g * 7.0 AS lo, (g + 1) * 7.0 AS hi FROM range(0, 10) AS r(g)),
-    s AS (SELECT col AS source, target, greatest(0, least(col + 1, hi) - greatest(col, lo)) AS share FROM (SELECT DISTINCT col FROM cells), e WHERE col < hi AND lo < col + 1)
-    SELECT row // 10 AS row, target AS col, round(sum(value * share), 4) AS value FROM cells JOIN s ON s.source = cells.col GROUP BY 1, 2""")
+@query(f"""WITH {D.CELLS}, e AS (SELECT g AS target, g * 7.3 AS lo, (g + 1) * 7.3 AS hi FROM range(0, 7) AS r(g)), f AS (SELECT g AS target, g * 4.6 AS lo, (g + 1) * 4.6 AS hi FROM range(0, 1000) AS r(g)),
+    c AS (SELECT col, target, least(col + 1, hi) - greatest(col, lo) AS share FROM (SELECT DISTINCT col FROM cells), e WHERE col < hi AND lo < col + 1),
+    r AS (SELECT row, target, least(row + 1, hi) - greatest(row, lo) AS share FROM (SELECT DISTINCT row FROM cells), f WHERE row < hi AND lo < row + 1)
+    SELECT r.target AS row, c.target AS col, round(sum(value * r.share * c.share), 4) AS value FROM cells JOIN r USING (row) JOIN c USING (col) GROUP BY 1, 2""")
 def overlap_regrid(spark, sf_dir):
-    cells = D.cells(spark, sf_dir)
-    edges = spark.range(10).select(F.col("id").alias("target"), (F.col("id") * 7.0).alias("lo"), ((F.col("id") + 1) * 7.0).alias("hi"))
-    cols = joins.overlap_shares(spark.range(D.WIDTH).select(F.col("id").alias("source"), F.col("id").cast("double").alias("lo"), (F.col("id") + 1.0).alias("hi")), edges)
-    rows = cells.select(F.col("row").alias("source")).distinct().select("source", F.floor(F.col("source") / 10).alias("target"), F.lit(1.0).alias("share"))
-    return rounded(joins.regrid(cells.select("row", "col", "value"), rows, cols, "value"), "value")
+    cells = D.cells(spark, sf_dir).select("row", "col", "value")
+
+    def shares(axis: str, width: float, count: int):
+        edges = spark.range(count).select(F.col("id").alias("target"), (F.col("id") * width).alias("lo"), ((F.col("id") + 1) * width).alias("hi"))
+        source = cells.select(F.col(axis).alias("source")).distinct().select("source", F.col("source").cast("double").alias("lo"), (F.col("source") + 1.0).alias("hi"))
+        return joins.overlap_shares(source, edges)
+
+    return rounded(joins.regrid(cells, shares("row", 4.6, 1000), shares("col", 7.3, 7), "value"), "value")
 
 
 @query()
 def dedup_name_distance(spark, sf_dir):
     places = D.places(spark, sf_dir).withColumn("name", F.concat(F.lit("n"), F.col("place") % 10))
-    return joins.merge_names(places, ["zone", "name"], [F.desc("size"), F.col("place")], "x", "y", "place", 300.0).select("place", "kept_key")
+    return joins.merge_names(places, ["zone", "name"], [-F.col("size"), F.col("place")], "x", "y", "place", 300.0).select("place", "kept_key")
 
 
-@query("""WITH a AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS day, l_returnflag AS f FROM lineitem), c AS (SELECT day, count(*) AS n, min(f) AS f FROM a GROUP BY day)
-    SELECT f AS flag, count(*) AS days FROM c WHERE n = 1 GROUP BY f""")
+@query("""WITH a AS (SELECT DISTINCT l_orderkey AS k, l_returnflag AS f FROM lineitem), c AS (SELECT k, count(*) AS n, min(f) AS f FROM a GROUP BY k)
+    SELECT f AS flag, count(*) AS orders FROM c WHERE n = 1 GROUP BY f""")
 def set_only_in(spark, sf_dir):
-    days = read_table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("day"), F.col("l_returnflag").alias("flag")).distinct()
-    flags = ["A", "N", "R"]
+    pairs = read_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_returnflag").alias("flag")).distinct()
     only = None
-    for f in flags:
-        own, rest = days.filter(F.col("flag") == f).select("day"), days.filter(F.col("flag") != f).select("day")
-        part = own.join(rest, "day", "left_anti").select(F.lit(f).alias("flag"))
+    for f in ("A", "N", "R"):
+        own, rest = pairs.filter(F.col("flag") == f), pairs.filter(F.col("flag") != f)
+        part = layers.unseen(own, rest.select("k"), "k")
         only = part if only is None else only.unionByName(part)
-    return only.groupBy("flag").agg(F.count("*").alias("days"))
+    return only.groupBy("flag").agg(F.count("*").alias("orders"))
 
 
 @query("""WITH h AS (SELECT event_type AS var, CAST(ts AS DATE) AS day, count(value) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2) SELECT * FROM h""", dates=("day",))
@@ -621,10 +629,10 @@ def connected_components(spark, sf_dir):
 
 
 @query(f"""WITH {D.CELLS} SELECT a.cell_id, round(min(sqrt((a.row - b.row) * (a.row - b.row) + (a.col - b.col) * (a.col - b.col))), 4) AS distance
-    FROM cells a LEFT JOIN cells b ON b.dist < 20 AND abs(a.row - b.row) <= 6 AND abs(a.col - b.col) <= 6 GROUP BY a.cell_id""")
+    FROM cells a, cells b WHERE b.dist < 20 GROUP BY a.cell_id""")
 def distance_transform(spark, sf_dir):
     cells = D.cells(spark, sf_dir).withColumn("flag", F.col("dist") < 20)
-    return rounded(raster.distance(cells, "flag", 6), "distance").select("cell_id", "distance")
+    return rounded(raster.distance(cells, "flag"), "distance").select("cell_id", "distance")
 
 
 @query(f"""WITH {D.CELLS}, k AS (SELECT CAST(g AS INTEGER) AS k, exp(-0.5 * g * g) / (SELECT sum(exp(-0.5 * g * g)) FROM range(-4, 5) AS r(g)) AS w FROM range(-4, 5) AS r(g)),
@@ -636,12 +644,12 @@ def gaussian_density(spark, sf_dir):
 
 @query()
 def priority_flood(spark, sf_dir):
-    return rounded(flow.fill(D.cells(spark, sf_dir).withColumn("basin", F.lit(0)), "basin", "value"), "filled").select("row", "col", "filled")
+    return rounded(flow.fill(D.cells(spark, sf_dir), "value"), "filled").select("row", "col", "filled")
 
 
 @query()
 def height_above_drainage(spark, sf_dir):
-    cells = flow.fill(D.cells(spark, sf_dir).withColumn("basin", F.lit(0)), "basin", "value").select("row", "col", F.col("filled").alias("z")).checkpoint()
+    cells = flow.fill(D.cells(spark, sf_dir), "value").select("row", "col", F.col("filled").alias("z")).checkpoint()
     links = flow.descent(cells, "z").withColumn("one", F.lit(1.0)).checkpoint()
     drained = links.join(flow.accumulation(links, "one"), ["row", "col"]).withColumn("channel", F.col("upstream") >= 5)
     return rounded(flow.height_above(cells, flow.targets(drained, "channel"), "z"), "hand")
@@ -652,7 +660,7 @@ def height_above_drainage(spark, sf_dir):
 def dasymetric_share(spark, sf_dir):
     cells = D.cells(spark, sf_dir)
     totals = cells.groupBy("zone").agg((F.count("*") * 10.0).alias("total"))
-    return rounded(allocate.spread(cells.join(F.broadcast(totals), "zone"), "zone", "total", F.col("weight")), "allocated", digits=6).select("cell_id", "allocated")
+    return rounded(allocate.spread(cells.join(totals, "zone"), "zone", "total", F.col("weight")), "allocated", digits=6).select("cell_id", "allocated")
 
 
 @query(f"WITH {D.CELLS}, s AS (SELECT class, sum(dist) AS s FROM cells GROUP BY class) SELECT cell_id, round(dist * length(class) * 1000 / s, 6) AS anchored FROM cells JOIN s USING (class)")

@@ -14,7 +14,25 @@ def get_session(app: str = "cellgrid", master: str | None = None, **conf: str) -
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    shared_folder(spark)
+    return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, from spark.checkpoint.dir; checkpoints go there.
+
+    Unset on one machine, it is a folder of the warehouse; unset on a cluster, it is an error, told before any work is
+    done, as a folder of one machine would lose its share of the data with that machine."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if at:
+        return at.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    own = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(own)
+    return own
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

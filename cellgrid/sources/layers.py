@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellgrid.functions.cells import decode_layer, encode_layer
@@ -85,3 +85,60 @@ def catalogue(spark: SparkSession, folder: str, pattern: str = "*.json") -> Data
 def unseen(items: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Work that is not on the list of what is done."""
     return items.join(done, key, "left_anti")
+
+
+def read_present(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """A JSON table, or nothing if the path isn't there; any other failure is an error."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return spark.read.schema(schema).json(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e.getCondition() or e):
+            return None
+        raise
+
+
+def continuous(parts: Sequence[DataFrame], keys: Sequence[str], day: str) -> DataFrame:
+    """Several parts of a daily series as one, later parts first where they overlap; adds joined: the day before is there."""
+    marked = [p.withColumn("_part", F.lit(k)) for k, p in enumerate(parts)]
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
+    last = Window.partitionBy(*keys, day).orderBy(F.desc("_part"))
+    one = every.withColumn("_r", F.row_number().over(last)).filter("_r = 1").drop("_r", "_part")
+    before = F.lag(day).over(Window.partitionBy(*keys).orderBy(day))
+    return one.withColumn("joined", before.isNull() | (F.datediff(day, before) == 1))
+
+
+def shifted(cells: DataFrame, rows: int, cols: int) -> DataFrame:
+    """A layer on a lattice whose corner lies a whole number of cells away."""
+    return cells.withColumns({"row": F.col("row") + rows, "col": F.col("col") + cols})
+
+
+def month_slices(spark: SparkSession, path: str, month: str, first: str, last: str, value: str) -> DataFrame:
+    """Slices of a table partitioned by month, only the asked ones read; negative values are no data."""
+    rows = spark.read.parquet(path).filter(F.col(month).between(first, last))
+    return rows.withColumn(value, F.when(F.col(value) >= 0, F.col(value)))
+
+
+def missing_months(rows: DataFrame, month: str, first: str, last: str) -> DataFrame:
+    """Months (yyyy-MM) from first to last that the table lacks."""
+    dates = [F.to_date(F.lit(f"{m}-01")) for m in (first, last)]
+    wanted = rows.sparkSession.range(1).select(F.explode(F.sequence(dates[0], dates[1], F.expr("interval 1 month"))).alias("_d"))
+    return wanted.select(F.date_format("_d", "yyyy-MM").alias(month)).join(rows.select(month).distinct(), month, "left_anti")
+
+
+def documents_by(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """value: one JSON document for each key, its rows nested in order, NaN as null."""
+    rest = [c for c in rows.columns if c not in keys]
+    made = nan_to_null(rows).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(order, *[c for c in rest if c != order]))).alias("rows"))
+    return made.select(*keys, F.to_json(F.struct(*keys, "rows")).alias("value"))
+
+
+def element_counts(elements: DataFrame, kind: str, tags: str, points: str, wanted: str, box: tuple[float, float, float, float]) -> DataFrame:
+    """kind, n, untagged, short (fewer than two points of a way) and outside (no point in the box x0, y0, x1, y1)."""
+    inside = F.exists(points, lambda p: p["x"].between(box[0], box[2]) & p["y"].between(box[1], box[3]))
+    count = lambda c, name: F.count(F.when(c, 1)).alias(name)
+    return elements.groupBy(kind).agg(
+        F.count("*").alias("n"), count(F.try_element_at(F.col(tags), F.lit(wanted)).isNull(), "untagged"),
+        count((F.col(kind) == "way") & (F.size(points) < 2), "short"), count(~inside, "outside"),
+    )

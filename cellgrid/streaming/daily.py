@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellgrid.session import shared_folder
+
 
 def daily_sums(rows: DataFrame, key: str, ts: str, value: str, late: str = "2 days") -> DataFrame:
     """var, day, n, total for a stream or a table: tumbling days, rows later than the watermark are left out."""
@@ -17,12 +19,6 @@ def daily_sums(rows: DataFrame, key: str, ts: str, value: str, late: str = "2 da
     return out.select("var", F.to_date("window.start").alias("day"), "n", "total")
 
 
-def _shared(spark: SparkSession) -> str:
-    """The folder that driver and executors share; tests without one use the warehouse."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
-
-
 def daily_stream(spark: SparkSession, path: str, key: str, ts: str, value: str, late: str = "2 days") -> DataFrame:
     """The same over all files under a path as a stream that ends when it has read them; read back from its sink.
 
@@ -30,7 +26,7 @@ def daily_stream(spark: SparkSession, path: str, key: str, ts: str, value: str,
     schema = spark.read.parquet(path).schema
     folder = path.rsplit("/", 1)
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path if not path.endswith(".parquet") else f"{folder[0]}/{folder[1]}*")
-    out = _shared(spark)
+    out = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/sums")

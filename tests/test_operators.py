@@ -119,14 +119,14 @@ def test_spikes_and_change(spark):
 def test_names_merge_greedily(spark):
     rows = [("c", "n", 1, 9.0, 0.0, 0.0), ("c", "n", 2, 8.0, 40.0, 0.0), ("c", "n", 3, 7.0, 80.0, 0.0), ("c", "m", 4, 1.0, 0.0, 0.0)]
     df = spark.createDataFrame(rows, "c string, name string, id int, area double, x double, y double")
-    got = {r.id: r.kept_key for r in joins.merge_names(df, ["c", "name"], [F.desc("area")], "x", "y", "id", 50.0).collect()}
+    got = {r.id: r.kept_key for r in joins.merge_names(df, ["c", "name"], [-F.col("area")], "x", "y", "id", 50.0).collect()}
     assert got == {1: 1, 2: 1, 3: 3, 4: 4}
 
 
 def test_flow_on_a_small_basin(spark):
     z = [[9, 9, 9, 9, 9], [9, 5, 4, 5, 9], [9, 4, 1, 4, 9], [9, 5, 3, 5, 9], [9, 9, 2, 9, 9]]
     df = spark.createDataFrame([(0, r, c, float(z[r][c])) for r in range(5) for c in range(5)], "b int, row int, col int, z double")
-    filled = flow.fill(df, "b", "z").checkpoint()
+    filled = flow.fill(df, "z", tile=3).checkpoint()
     by = {(r.row, r.col): r.filled for r in filled.collect()}
     assert by[2, 2] == pytest.approx(3.0) and by[2, 2] > by[3, 2] >= 3.0 and by[4, 2] == 2.0
     links = flow.descent(filled, "filled").withColumn("one", F.lit(1.0)).checkpoint()
@@ -161,10 +161,12 @@ def test_components_and_distance(spark):
                     seen[at] = k[0] * (1 << 31) + k[1]
                     stack += [(at[0] + a, at[1] + b) for a, b in raster.square(1)]
     assert label == seen
-    far = {(r.row, r.col): r.distance for r in raster.distance(df, "on", 3).collect()}
-    for (r, c), d in far.items():
-        near = [math.hypot(r - a, c - b) for (a, b), v in grid.items() if v and abs(a - r) <= 3 and abs(b - c) <= 3]
-        assert d == (pytest.approx(min(near)) if near else None)
+    sparse = df.withColumn("on", F.col("on") & ((F.col("row") + F.col("col")) % 13 == 0))
+    for table in (df, sparse):
+        on = [(r.row, r.col) for r in table.filter("on").collect()]
+        far = {(r.row, r.col): r.distance for r in raster.distance(table, "on", 1.0, row_m=2.0).collect()}
+        assert far == {k: pytest.approx(min(math.hypot(2 * (k[0] - a), k[1] - b) for a, b in on)) for k in grid}
+    assert {r.distance for r in raster.distance(df.withColumn("on", F.lit(False)), "on").collect()} == {None}
     assert raster.erode(df, "on", raster.square(1)).filter("eroded").count() == sum(all(grid.get((r + a, c + b)) for a, b in raster.square(1)) for r, c in grid)
 
 
