@@ -85,9 +85,53 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_documents(spark, sf_dir), words=4, threshold=Fraction(85, 100))
 
 
-QUERIES = {q.__name__: q for q in (op1_pii, op2_toxicity, op3_exact_dedup, op4_byte_bpe, op5_lm_scoring, op6_line_dedup, op7_secrets, op8_vector_tree, op9_packing, op10_ngram_join)}
+def pii_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op1_pii that the base patterns alone decide."""
+    return op1_pii(spark, sf_dir).drop("spans")
+
+
+QUERIES = {q.__name__: q for q in (pii_base, op1_pii, op2_toxicity, op3_exact_dedup, op4_byte_bpe, op5_lm_scoring, op6_line_dedup, op7_secrets, op8_vector_tree, op9_packing, op10_ngram_join)}
+
+
+
+def _matches(kind: str, order: int, pattern: str, group: int, keep: str) -> str:
+    """SELECT of one kind's matches: doc_id, kind, order, start (code points) and end, those that keep holds for; m is the
+    match, v the group. The texts between the matches give the places."""
+    quoted = pattern.replace("'", "''")
+    return f"""SELECT doc_id, '{kind}' AS kind, {order} AS o, pos AS s, pos + length(m) AS e FROM (
+        SELECT doc_id, ms[i] AS m, vs[i] AS v, CAST(list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS pos
+        FROM (SELECT doc_id, ms, vs, gaps, unnest(range(1, len(ms) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(t, '{quoted}') AS ms, regexp_extract_all(t, '{quoted}', {group}) AS vs, string_split_regex(t, '{quoted}') AS gaps FROM texts))) WHERE {keep}"""
+
+
+_TEXTS = "texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)"
+_DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
+#: Every second digit from the right counts twice, less 9 where that has two digits.
+_LUHN = f"list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda k: (CAST(substr(reverse({_DIGITS}), k, 1) AS INTEGER) * (2 - k % 2) - CASE WHEN k % 2 = 0 AND CAST(substr(reverse({_DIGITS}), k, 1) AS INTEGER) > 4 THEN 9 ELSE 0 END))) % 10 = 0"
+_PARTS = "len(list_filter(string_split(m, '.'), lambda p: length(ltrim(p, '0')) > 3 OR CAST('0' || right(ltrim(p, '0'), 3) AS INTEGER) > 255)) = 0"
+
+
+def _listed(spans: str) -> str:
+    return f"coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, o) FILTER ({spans}), '')"
+
 
 ORACLE_SQL = {
+    "pii_base": f"""WITH {_TEXTS}, found AS (
+        {_matches("email", 0, "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+([.][A-Za-z0-9-]+)+", 0, "true")} UNION ALL {_matches("ip", 1, "[0-9]+([.][0-9]+)([.][0-9]+)([.][0-9]+)", 0, _PARTS)} UNION ALL
+        {_matches("card", 2, "[0-9]([ -]?[0-9])+", 0, f"length({_DIGITS}) BETWEEN 14 AND 19 AND {_LUHN}")} UNION ALL {_matches("phone", 3, "[+][0-9][ ().0-9-]+[0-9]", 0, f"length({_DIGITS}) BETWEEN 10 AND 15")})
+        SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip, count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+        sha256({_listed("kind IS NOT NULL")}) AS base_sha256 FROM texts LEFT JOIN found USING (doc_id) GROUP BY doc_id""",
+    "op7_secrets": f"""WITH {_TEXTS}, found AS (
+        {" UNION ALL ".join(_matches(r.kind, k, r.pattern, r.group, f"length(v) >= {r.least}") for k, r in enumerate(secrets.BASE + secrets.MORE))})
+        SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secrets.BASE)},
+        sha256({_listed("kind IN ('assign', 'access', 'hex')")}) AS base_sha256, {_listed("kind IS NOT NULL")} AS spans FROM texts LEFT JOIN found USING (doc_id) GROUP BY doc_id""",
+    "op10_ngram_join": r"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        g AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 2))) AS i FROM w WHERE len(w) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
+        l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+        reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a)
+        SELECT doc_id, coalesce(n.n, 0) AS n_shingles, min(reach.b) AS component_id FROM documents LEFT JOIN n USING (doc_id) JOIN reach ON reach.a = doc_id GROUP BY ALL""",
     "op3_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
