@@ -8,7 +8,8 @@
    within groups.
 3. In a group the order is cut into fragments. Each fragment's overlaps of all pairs of a tile are counted by themselves
    and summed for each pair; the sums decide exactly. Groups too large for one task first compare all classes with one
-   hub, which settles the classes linked to it and those that its counts rule out; only what is left is tiled over tasks.
+   hub, which settles the classes linked to it and those that its counts rule out; only what is left is tiled over tasks,
+   and only tiles whose distances to the hub and whose sizes allow a link.
 """
 
 from __future__ import annotations
@@ -24,15 +25,21 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellgrid.llm.packed import CHUNK_CHARS, column, id_text, list_array, mix, text_chars
+from cellgrid.llm.packed import CHUNK_CHARS, column, free_name, id_text, list_array, mix, text_chars
 
 NO_ID = -(2**63)
 PRIME = np.uint64(0x9E3779B97F4A7C15)
-#: Characters of a block of documents, classes that one task compares, rows of a tile, n-grams of a fragment.
-BLOCK_CHARS, GROUP_CLASSES, TILE, FRAGMENT = 2_000_000, 4096, 512, 2048
+#: Characters hashed at a time, characters and documents of a block, bytes of packets that are handed over at a time.
+PART_CHARS, BLOCK_CHARS, BLOCK_DOCS, PACKET_BYTES = 2_000_000, 24_000_000, 200_000, 4_000_000
+#: Rows of a tile, n-grams of a fragment.
+TILE, FRAGMENT = 512, 2048
+#: Classes, and n-grams of these, that one task compares; larger groups go over several tasks.
+GROUP_CLASSES, GROUP_TOKENS = 512, 1_500_000
+#: Cells of the distance to a hub in one link's reach.
+CELLS = 4
 #: Documents whose ids may be broadcast; beyond that the join is a shuffle.
 BROADCAST_IDS = 500_000
-CACHED, CACHED_CHARS = 300_000, 40
+CACHED, CACHED_CHARS = 150_000, 40
 
 
 class _Words(dict):
@@ -75,45 +82,55 @@ ASKED = "shard int, block long, hashes binary, docs binary"
 
 
 def _ask(words: int, shards: int):
-    """Deals a block's n-grams to shards: hash remainders of 32 bits, and the document of each (its place in the block)."""
+    """Deals a block's n-grams to shards: hash remainders of 32 bits, and the document of each (its place in the block).
 
-    def flush(block: int, ids: list, found: list) -> pa.RecordBatch:
-        docs = np.zeros(len(ids), dtype=DOC)
-        docs["id"], docs["n"] = ids, [len(f) for f in found]
-        docs["sig"] = np.frombuffer(b"".join(map(signature, found)), dtype="V16")
+    Texts are hashed and sorted by shard a few million characters at a time; a block holds many such parts, so that a
+    shard gets one packet from a task's part of the input and not one from every few texts."""
+
+    def dealt(found: list, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         flat = np.concatenate(found)
-        doc = np.repeat(np.arange(len(found), dtype=np.uint32), docs["n"].astype(np.int64))
+        doc = np.repeat(np.arange(first, first + len(found), dtype=np.uint32), [len(f) for f in found])
         owner = (flat % np.uint64(shards)).astype(np.int32)
         order = np.argsort(owner, kind="stable")
         rest = ((flat // np.uint64(shards)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)[order]
-        doc, cuts = doc[order], np.searchsorted(owner[order], np.arange(shards + 1))
-        rows = [(s, rest[a:b].tobytes(), doc[a:b].tobytes()) for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
-        rows.append((shards + block % shards, docs.tobytes(), b""))
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([r[0] for r in rows], pa.int32()),
-                pa.array([block] * len(rows), pa.int64()),
-                pa.array([r[1] for r in rows], pa.binary()),
-                pa.array([r[2] for r in rows], pa.binary()),
-            ],
-            ["shard", "block", "hashes", "docs"],
-        )
+        return rest, doc[order], np.searchsorted(owner[order], np.arange(shards + 1))
+
+    def flush(block: int, docs: list, parts: list) -> Iterator[pa.RecordBatch]:
+        rows = [(shards + block % shards, np.array(docs, dtype=DOC).tobytes(), b"")]
+        size = 0
+        for s in range(shards):
+            own = [(rest[cuts[s] : cuts[s + 1]], doc[cuts[s] : cuts[s + 1]]) for rest, doc, cuts in parts]
+            if any(len(r) for r, _ in own):
+                rows.append((s, np.concatenate([r for r, _ in own]).tobytes(), np.concatenate([d for _, d in own]).tobytes()))
+                size += len(rows[-1][1])
+            if rows and (size > PACKET_BYTES or s + 1 == shards):
+                arrays = [pa.array([r[0] for r in rows], pa.int32()), pa.array([block] * len(rows), pa.int64()), *(pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2))]
+                yield pa.RecordBatch.from_arrays(arrays, ["shard", "block", "hashes", "docs"])
+                rows, size = [], 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         block, known = TaskContext.get().partitionId() << 32, _Words()
-        ids, found, size = [], [], 0
+        docs, parts, found, size, held = [], [], [], 0, 0
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids.append(NO_ID if doc is None else doc)
                 found.append(shingles(text, words, known))
+                docs.append((NO_ID if doc is None else doc, len(found[-1]), signature(found[-1])))
                 size += len(text)
-                if size >= BLOCK_CHARS:
-                    yield flush(block, ids, found)
-                    block, ids, found, size = block + 1, [], [], 0
-        if ids:
-            yield flush(block, ids, found)
+                if size >= PART_CHARS:
+                    parts.append(dealt(found, len(docs) - len(found)))
+                    held += size
+                    found, size = [], 0
+                if held >= BLOCK_CHARS or len(docs) >= BLOCK_DOCS:
+                    if found:
+                        parts.append(dealt(found, len(docs) - len(found)))
+                    yield from flush(block, docs, parts)
+                    block, docs, parts, found, size, held = block + 1, [], [], [], 0, 0
+        if docs:
+            if found:
+                parts.append(dealt(found, len(docs) - len(found)))
+            yield from flush(block, docs, parts)
 
     return run
 
@@ -195,27 +212,31 @@ def overlaps(docs: list[np.ndarray], fragment: int = FRAGMENT):
     key = (row // TILE) * (int(frag.max()) + 1 if len(frag) else 1) + frag
     order = np.argsort(key, kind="stable")
     cuts = np.flatnonzero(np.diff(key[order])) + 1
+    reached: list[list[int]] = [[] for _ in range(tiles)]
     for part in np.split(order, cuts) if len(order) else ():
-        parts[int(row[part[0]] // TILE), int(frag[part[0]])] = (row[part] % TILE, place[part] % fragment)
-    by_tile: dict[int, list[int]] = {}
-    for t, f in parts:
-        by_tile.setdefault(t, []).append(f)
+        t, f = int(row[part[0]] // TILE), int(frag[part[0]])
+        parts[t, f] = (row[part] % TILE, place[part] % fragment)
+        reached[t].append(f)
 
     def matrix(t: int, f: int) -> np.ndarray:
         made = np.zeros((min(TILE, len(docs) - t * TILE), fragment), dtype=np.float32)
         made[parts[t, f]] = 1
         return made
 
+    # One fragment at a time: two matrices and the sums of one row of tiles are held, however many fragments there are.
     for a in range(tiles):
-        own = {f: matrix(a, f) for f in by_tile.get(a, ())}
-        for b in range(a, tiles):
-            both = [f for f in by_tile.get(b, ()) if f in own]
-            if not both:
-                continue
-            total = np.zeros((min(TILE, len(docs) - a * TILE), min(TILE, len(docs) - b * TILE)), dtype=np.float32)
-            for f in both:
-                total += own[f] @ (own[f] if a == b else matrix(b, f)).T
-            yield a * TILE, b * TILE, total
+        total: dict[int, np.ndarray] = {}
+        for f in reached[a]:
+            own = matrix(a, f)
+            for b in range(a, tiles):
+                if (b, f) in parts:
+                    both = own @ (own if a == b else matrix(b, f)).T
+                    if b in total:
+                        total[b] += both
+                    else:
+                        total[b] = both
+        for b in sorted(total):
+            yield a * TILE, b * TILE, total.pop(b)
 
 
 def links(sizes: np.ndarray, docs: list[np.ndarray], num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
@@ -280,8 +301,8 @@ def document_classes(docs: DataFrame, words: int, id_col: str, text_col: str) ->
     """key, n, sig, shared for each document: its n-grams, a digest of them, how many may occur elsewhere too."""
     shards = max(1, math.ceil(text_chars(docs, text_col) / CHUNK_CHARS))
     asked = id_text(docs, id_col, text_col).mapInArrow(_ask(words, shards), ASKED)
-    answered = asked.groupBy("shard").applyInPandas(_answer, "block long, docs binary, shared binary")
-    return answered.groupBy("block").applyInPandas(_count, "key long, n long, sig binary, shared long").checkpoint()
+    answered = asked.repartition(shards, "shard").groupBy("shard").applyInPandas(_answer, "block long, docs binary, shared binary")
+    return answered.repartition(shards, "block").groupBy("block").applyInPandas(_count, "key long, n long, sig binary, shared long").checkpoint()
 
 
 def _tokens(docs: DataFrame, classes: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
@@ -308,7 +329,7 @@ def _tokens(docs: DataFrame, classes: DataFrame, words: int, id_col: str, text_c
 
 def jaccard_components(
     docs: DataFrame, words: int = 5, threshold: Fraction = Fraction(4, 5), id_col: str = "doc_id", text_col: str = "text",
-    group_classes: int = GROUP_CLASSES,
+    group_classes: int = GROUP_CLASSES, group_tokens: int = GROUP_TOKENS,
 ) -> DataFrame:
     """id_col, n_shingles, component_id for each row: links join texts whose n-gram sets reach the Jaccard threshold.
 
@@ -337,7 +358,7 @@ def jaccard_components(
         .checkpoint()
     )
     heads = sets.select("node", F.explode(F.slice("tokens", F.lit(1), F.col("prefix"))).alias("token"))
-    found = _group_links(sets.join(_groups(heads), "node").checkpoint(), num, den, group_classes)
+    found = _group_links(sets.join(_groups(heads), "node").checkpoint(), num, den, group_classes, group_tokens)
     joined = classes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     result = joined.join(least, "root").select("sig", "component_id")
@@ -352,8 +373,9 @@ def keep_one(docs: DataFrame, words: int = 5, threshold: Fraction = Fraction(4,
 
     Rows of one id go or stay together; of rows without an id, those linked with an id go."""
     found = jaccard_components(docs, words, threshold, id_col, text_col)
-    stays = found.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_stays")).distinct()
-    return docs.join(stays, column(docs, id_col).cast("long").eqNullSafe(F.col("_stays")), "left_semi")
+    name = free_name("stays", docs.columns)
+    stays = found.filter(column(found, id_col).eqNullSafe(F.col("component_id"))).select(column(found, id_col).alias(name)).distinct()
+    return docs.join(stays, column(docs, id_col).cast("long").eqNullSafe(F.col(name)), "left_semi")
 
 
 def _groups(heads: DataFrame) -> DataFrame:
@@ -366,51 +388,73 @@ def _groups(heads: DataFrame) -> DataFrame:
     return heads.select("node").distinct().join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
 
 
-def _group_links(sets: DataFrame, num: int, den: int, group_classes: int) -> DataFrame:
+def _group_links(sets: DataFrame, num: int, den: int, group_classes: int, group_tokens: int) -> DataFrame:
     """node, root from node, n, tokens, label."""
     schema = "node long, root long"
-    sized = sets.groupBy("label").agg(F.count("*").alias("classes")).filter("classes > 1").checkpoint()
+    size = F.size("tokens").cast("long")
+    sized = sets.groupBy("label").agg(F.count("*").alias("classes"), F.sum(size).alias("held")).filter("classes > 1").checkpoint()
     partitions = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total = sized.agg(F.sum("classes"), F.max("classes")).first()
-    tasks = max(partitions, math.ceil((total[0] or 0) / group_classes))
-    small = sets.join(sized.filter(F.col("classes") <= group_classes), "label").withColumn("tile", F.lit(0))
+    fits = (F.col("classes") <= group_classes) & (F.col("held") <= group_tokens)
+    total = sized.filter(fits).agg(F.sum("classes"), F.sum("held")).first()
+    tasks = max(partitions, math.ceil((total[0] or 0) / group_classes), math.ceil((total[1] or 0) / group_tokens))
+    small = sets.join(sized.filter(fits), "label").withColumn("tile", F.lit(0))
     small = small.withColumn("task", F.pmod(F.xxhash64("label"), F.lit(tasks)))
     found = small.groupBy("task").applyInPandas(_joined(num, den), schema)
-    if (total[1] or 0) <= group_classes:
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("classes") * 2 / group_classes), F.ceil(F.col("held") * 2 / group_tokens)).cast("int")
+    large = sized.filter(~fits).select("label", blocks.alias("blocks"))
+    if not large.limit(1).count():
         return found
-    large = sets.join(sized.filter(F.col("classes") > group_classes), "label")
-    return found.unionByName(_large_groups(large, num, den, group_classes))
+    return found.unionByName(_large_groups(sets.join(large, "label"), num, den, group_classes, group_tokens))
+
 
+def _large_groups(sets: DataFrame, num: int, den: int, group_classes: int, group_tokens: int) -> DataFrame:
+    """Groups beyond one task, dealt over blocks: compare with a hub, drop what that settles, tile the rest over tasks.
 
-def _large_groups(sets: DataFrame, num: int, den: int, group_classes: int) -> DataFrame:
-    """Groups beyond one task: compare with a hub, drop what that settles, tile the rest over tasks."""
-    hub = sets.groupBy("label").agg(F.max_by(F.struct("node", "n", "tokens"), F.struct(F.size("tokens"), F.col("node"))).alias("hub"))
-    both = F.size(F.array_intersect("tokens", "hub.tokens"))
+    Jaccard distance is a metric, so two classes can only link if their distances to the hub differ by a link's reach at
+    most, and only if their sizes do not differ by more than the threshold allows: a tile is made for two blocks of cells
+    (of distance and size) that lie that near."""
+    hub = sets.groupBy("label").agg(F.max_by(F.struct("node", "n", "tokens", "blocks"), F.struct(F.size("tokens"), F.col("node"))).alias("hub"))
+    hub = hub.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("hub.blocks") - 1)))
+    sets = sets.withColumn("part", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     union = F.col("n") + F.col("hub.n") - F.col("both")
     bound = ((F.size("tokens")) * (den + num) / num - F.col("n")).alias("bound")
     seen = (
-        sets.join(hub, "label")
-        .withColumn("both", both)
-        .select("label", "classes", "node", "n", "tokens", F.col("hub.node").alias("hub"), (den * F.col("both") >= num * union).alias("linked"), bound)
+        sets.join(hub, ["label", "part"])
+        .withColumn("both", F.size(F.array_intersect("tokens", "hub.tokens")))
+        .select("label", "node", "n", "tokens", F.col("hub.node").alias("hub"), (den * F.col("both") >= num * union).alias("linked"), bound,
+                (1 - F.col("both") / union).alias("far"))
         .checkpoint()
-    )
+    )
     linked = seen.filter("linked").select("node", F.col("hub").alias("root"))
     # A class not linked to the hub can link to one of n-grams between num/den of its own and the bound that the n-grams
-    # it shares with anybody leave; classes linked to the hub need not meet each other, so each tile pairs one open block
-    # with one block of all classes.
+    # it shares with anybody leave; classes linked to the hub need not meet each other.
     limits = seen.groupBy("label").agg(
         F.max(F.when(~F.col("linked"), F.col("bound"))).alias("most"),
         F.min(F.when(~F.col("linked"), F.col("n") * num / den)).alias("least"),
         F.min("n").alias("smallest"),
     )
     can = "if(linked, n <= most and n >= least, bound >= smallest)"
-    rest = seen.join(limits, "label").filter(can).select("label", "node", "n", "tokens").checkpoint()
-    half = max(1, group_classes // 2)
-    blocks = rest.groupBy("label").agg(F.ceil(F.count("*") / half).cast("int").alias("blocks"))
-    dealt = rest.join(blocks, "label").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    pairs = dealt.select("label", "node", "n", "tokens", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    low, high = F.least("block", "other"), F.greatest("block", "other")
-    tiles = pairs.withColumn("tile", low * F.lit(1 << 32) + high).withColumn("task", F.xxhash64("label", "tile"))
+    reach = 1 - num / den
+    cell = F.floor(F.col("far") * CELLS / max(reach, 1e-6)).cast("int").alias("cell")
+    tall = F.floor(F.log("n") / max(-math.log(num / den), 1e-6)).cast("int").alias("tall")
+    rest = seen.join(limits, "label").filter(can).select("label", "node", "n", "tokens", "linked", cell, tall).checkpoint()
+    where = ["label", "linked", "cell", "tall"]
+    held = rest.groupBy(*where).agg(F.count("*").alias("c"), F.sum(F.size("tokens").cast("long")).alias("h"))
+    blocks = F.greatest(F.ceil(F.col("c") * 2 / group_classes), F.ceil(F.col("h") * 2 / group_tokens)).cast("int")
+    held = held.withColumn("blocks", blocks).checkpoint()
+    # Pairs of cells, then of their blocks: the open side's number first; linked classes only meet open ones.
+    left, right = (held.select("label", *[F.col(c).alias(f"{c}_{k}") for c in (*where[1:], "blocks")]) for k in "ab")
+    # A cell is a reach / CELLS wide, and a step of rounding is allowed for; sizes in one ratio of the threshold are a step apart.
+    near = "not linked_a and abs(cell_a - cell_b) <= %d and abs(tall_a - tall_b) <= 2" % (CELLS + 1)
+    once = "(linked_b or struct(cell_a, tall_a) <= struct(cell_b, tall_b))"
+    pairs = left.join(right, "label").filter(f"{near} and {once}")
+    pairs = pairs.withColumn("x", F.explode(F.expr("sequence(0, blocks_a - 1)"))).withColumn("y", F.explode(F.expr("sequence(0, blocks_b - 1)")))
+    own = "linked_b or cell_a <> cell_b or tall_a <> tall_b or x <= y"
+    pairs = pairs.filter(own).withColumn("task", F.xxhash64("label", "cell_a", "tall_a", "x", "linked_b", "cell_b", "tall_b", "y")).checkpoint()
+    sides = [F.struct(*[F.col(f"{c}_{k}").alias(c) for c in where[1:]], F.col(b).alias("block")) for k, b in (("a", "x"), ("b", "y"))]
+    sent = pairs.select("label", "task", F.explode(F.array(*sides)).alias("s")).select("label", "task", "s.*").distinct()
+    dealt = rest.join(held, where).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    tiles = dealt.join(sent, [*where, "block"]).select("label", F.col("task").alias("tile"), "task", "node", "n", "tokens")
     links_ = tiles.groupBy("task").applyInPandas(_joined(num, den), "node long, root long")
     edges = linked.unionByName(links_.filter("node <> root"))
     return components(edges, ("node", "root")).select("node", F.col("label").alias("root"))

@@ -25,6 +25,14 @@ def column(df: DataFrame, name: str) -> Column:
     return df[f"`{name}`"]
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """name, with underscores before it until no column has it (Spark's names don't tell capitals from small letters)."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name = f"_{name}"
+    return name
+
+
 def id_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Columns id (long) and text (null as empty) only, so that other columns cannot clash."""
     text = F.coalesce(column(docs, text_col).cast("string"), F.lit(""))

@@ -60,13 +60,13 @@ def _texts(seed, n, families=6):
     return out
 
 
-@pytest.mark.parametrize("group_classes", [4096, 12])
-def test_components_match_brute_force(spark, group_classes):
+@pytest.mark.parametrize(("group_classes", "group_tokens"), [(4096, 10**7), (12, 10**7), (4096, 600)])
+def test_components_match_brute_force(spark, group_classes, group_tokens):
     texts = [*AWKWARD, *_texts(1, 260)]
     rng = random.Random(9)
     ids = rng.sample(range(10_000), len(texts))
     for words, threshold in ((4, Fraction(85, 100)), (5, Fraction(4, 5))):
-        out = ngram_join.jaccard_components(docs(spark, texts, ids), words, threshold, group_classes=group_classes)
+        out = ngram_join.jaccard_components(docs(spark, texts, ids), words, threshold, group_classes=group_classes, group_tokens=group_tokens)
         got = {r.doc_id: (r.n_shingles, r.component_id) for r in out.collect()}
         assert got == _brute(list(zip(ids, texts, strict=True)), words, threshold)
 
