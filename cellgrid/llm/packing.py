@@ -8,10 +8,10 @@ is the minimum of one quantity over a sliding range of places, which a monotone
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from array import array
-from collections import deque
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from unicodedata import is_normalized
@@ -28,12 +28,13 @@ AT_DOCUMENT, AT_SENTENCE, AT_ID = 0, 2, 24
 PER_WINDOW = 6
 #: Ids between two places inside a long sentence.
 STRIDE = 32
-#: Ids of a block, which is planned as a whole, and how near its end windows of a power of two are considered.
-BLOCK_IDS, TAIL_WINDOWS = 2_000_000, 3
+#: Ids of a block, which is planned as a whole.
+BLOCK_IDS = 2_000_000
 #: Characters of texts whose words are encoded together.
 SLICE_CHARS = 1_000_000
 #: Bounds of a task's memory of words; signs that a word may end in (no apostrophe: it makes pieces of its own).
 CACHED, CACHED_CHARS = 500_000, 40
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # the pattern whose pieces are known (fixed value)
 SIGNS = "!#$%&()*+,-./:;<=>?@[]^_`{|}~\""
 
 
@@ -53,19 +54,35 @@ def byte_letters(text: str) -> str:
 
 
 @lru_cache(maxsize=1)
-def word_encoder(spec: str, end_id: int) -> tuple[Callable[[list[str]], list[np.ndarray]], np.ndarray]:
-    """A function from texts to their ids, each with end_id, and a table that marks ids ending a sentence.
-
-    The vocabulary drops white space and never joins over it, so the words between blanks are encoded one by one and
-    remembered. A new word of letters and then signs is two pieces, which go to the vocabulary's merges directly."""
+def tokenizer(spec: str):
+    """The tokenizer of a JSON document, kept in a worker: reading it takes longer than a small task."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
-    model = Tokenizer.from_str(spec)
+    return Tokenizer.from_str(spec)
+
+
+def splits_words(spec: str) -> bool:
+    """Whether a tokenizer treats the words between blanks one by one, as the shortcut below assumes: small letters, white
+    space as one blank, and pieces by a pattern that never matches white space."""
+    made = json.loads(spec)
+    normal = [(p["type"], p.get("content")) for p in (made.get("normalizer") or {}).get("normalizers", [])]
+    before = [(p["type"], (p.get("pattern") or {}).get("Regex")) for p in (made.get("pre_tokenizer") or {}).get("pretokenizers", [])]
+    suffix = made.get("model", {}).get("end_of_word_suffix")
+    return normal == [("NFC", None), ("Replace", " "), ("Lowercase", None)] and before == [("Split", PIECES), ("ByteLevel", None)] and suffix == "</w>"
+
+
+def word_encoder(spec: str, end_id: int, cached: int = CACHED) -> tuple[Callable[[list[str]], list[np.ndarray]], np.ndarray]:
+    """A function from texts to their ids, each with end_id, and a table that marks ids ending a sentence.
+
+    If the vocabulary drops white space and never joins over it, the words between blanks are encoded one by one and at most
+    so many remembered; else whole texts are encoded. A new word of letters and then signs is two pieces, which go to the
+    vocabulary's merges directly. The memory belongs to one task."""
+    model = tokenizer(spec)
     vocab = model.get_vocab()
     size = max([*vocab.values(), end_id]) + 1
     ends = np.zeros(size, dtype=bool)
-    ends[[i for token, i in vocab.items() if token.endswith("</w>") and token[:-4][-1:] in (".", "!", "?")]] = True
+    ends[[i for token, i in vocab.items() if token.removesuffix("</w>")[-1:] in (".", "!", "?")]] = True
     last = np.array([end_id], dtype="<u4").tobytes()
     known: dict[str, bytes] = {"": b""}
     letters: dict[str, bytes] = {"": b""}
@@ -102,14 +119,17 @@ def word_encoder(spec: str, end_id: int) -> tuple[Callable[[list[str]], list[np.
 
     def encode(texts: list[str]) -> list[np.ndarray]:
         for memory in (known, letters):
-            if len(memory) > CACHED:
+            if len(memory) > cached:
                 memory.clear()
                 memory[""] = b""
         split = [text.replace("\n", " ").split(" ") for text in texts]
         learn(set().union(*split).difference(known))
         return [np.frombuffer(b"".join(map(known.__getitem__, words)) + last, dtype="<u4") for words in split]
 
-    return encode, ends
+    def encode_whole(texts: list[str]) -> list[np.ndarray]:
+        return [np.frombuffer(alone(text) + last, dtype="<u4") for text in texts]
+
+    return encode if splits_words(spec) else encode_whole, ends
 
 
 def places(sizes: np.ndarray, sentence_ends: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray]:
@@ -130,33 +150,49 @@ def places(sizes: np.ndarray, sentence_ends: np.ndarray, stride: int = STRIDE) -
     return at, penalty
 
 
-def cuts(at: np.ndarray, penalty: np.ndarray, window: int, tail_windows: int = TAIL_WINDOWS) -> list[int]:
+def power_starts(at: np.ndarray, window: int) -> tuple[list[int], list[int]]:
+    """For each place the numbers of the places that lie a power of two (below the window) before it: where the numbers
+    for each place begin, and the numbers."""
+    number = np.full(int(at[-1]) + 1, -1, dtype=np.int64)
+    number[at] = np.arange(len(at))
+    ends, starts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for power in (1 << k for k in range(window.bit_length()) if 1 << k < window):
+        first = int(np.searchsorted(at, power))
+        found = number[at[first:] - power]
+        hit = np.flatnonzero(found >= 0)
+        ends.append(hit + first)
+        starts.append(found[hit])
+    end, start = np.concatenate(ends), np.concatenate(starts)
+    order = np.argsort(end, kind="stable")
+    return np.searchsorted(end[order], np.arange(len(at) + 1)).tolist(), start[order].tolist()
+
+
+def cuts(at: np.ndarray, penalty: np.ndarray, window: int) -> list[int]:
     """The chosen ends, first 0 and last at[-1], of least padding plus penalties.
 
-    A window that holds a power of two of ids needs no padding; such starts are looked up besides the queue's near the
-    end, where alone they can save more than a few ids."""
-    at, penalty = at.tolist(), penalty.tolist()
-    n, tail = len(at), at[-1] - tail_windows * window
-    cost, start = [0] * n, [0] * n
-    queue: deque[tuple[int, int]] = deque([(0, 0)])  # (cost + position, index): values rise from front to back
-    index = {p: k for k, p in enumerate(at) if p >= tail - window}
-    powers = [1 << k for k in range(window.bit_length()) if 1 << k < window]
+    A window that holds a power of two of ids needs no padding; such starts are looked up besides the queue's."""
+    first, powers = power_starts(at, window)
+    at, charge = at.tolist(), (penalty + PER_WINDOW).tolist()
+    n = len(at)
+    # cost of the best plan up to a place, and that plus the place: what the queue is ordered by, rising from its head.
+    cost, value, start, queue, head, upto = [0] * n, [0] * n, [0] * n, [0], 0, first[1]
     for j in range(1, n):
         p = at[j]
-        while at[queue[0][1]] < p - window:
-            queue.popleft()
-        best, i = queue[0]
-        best += window - p
-        if p > tail:
-            for power in powers:
-                k = index.get(p - power)
-                if k is not None and cost[k] < best:
+        while at[queue[head]] < p - window:
+            head += 1
+        i = queue[head]
+        best = value[i] + window - p
+        begin, upto = upto, first[j + 1]
+        if begin < upto:
+            for k in powers[begin:upto]:
+                if cost[k] < best:
                     best, i = cost[k], k
-        cost[j], start[j] = best + penalty[j] + PER_WINDOW, i
-        value = cost[j] + p
-        while queue and queue[-1][0] >= value:
+        cost[j] = best = best + charge[j]
+        start[j] = i
+        value[j] = best = best + p
+        while len(queue) > head and value[queue[-1]] >= best:
             queue.pop()
-        queue.append((value, j))
+        queue.append(j)
     out = [n - 1]
     while out[-1]:
         out.append(start[out[-1]])
@@ -210,21 +246,21 @@ def _planned(ids: list, docs: list[np.ndarray], ends: np.ndarray, window: int, f
 
 def pack(
     docs: DataFrame, spec: str, window: int = 4096, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text",
-    block_ids: int = BLOCK_IDS,
+    block_ids: int = BLOCK_IDS, cached_words: int = CACHED,
 ) -> DataFrame:
     """One row for each piece of a document: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     spec is the tokenizer's JSON; end_id closes each document. Blocks of at most about block_ids ids (a longer document is
     a block of its own) are planned one after another where the rows lie: no shuffle. A null or empty text is its end_id
     alone; null and repeated ids stay as they are, each row a document; an empty table gives no rows. sequence_id holds
-    the number of the partition in its upper bits.
+    the number of the partition in its upper bits. A task remembers at most cached_words words.
     """
     shared = docs.sparkSession.sparkContext.broadcast(spec)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, ends = word_encoder(shared.value, end_id)
+        encode, ends = word_encoder(shared.value, end_id, cached_words)
         first = TaskContext.get().partitionId() << 40
         ids, held, size = [], [], 0
         for batch in batches:

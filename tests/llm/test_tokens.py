@@ -63,6 +63,14 @@ def test_words_encode_as_whole_texts():
         assert ids.tolist() == [*model.encode(text, add_special_tokens=False).ids, 2], repr(text[:80])
 
 
+def test_other_tokenizers_take_whole_texts():
+    spec = open(public_tokenizers.path("byte_bpe_50k.json")).read()
+    assert not packing.splits_words(spec) and packing.splits_words(open(public_tokenizers.path("word_bpe_49k.json")).read())
+    model, (encode, _) = Tokenizer.from_str(spec), packing.word_encoder(spec, 2)
+    texts = ["Two  words, Here\n  and more", "", "x " * 50]
+    assert [e.tolist() for e in encode(texts)] == [[*model.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+
+
 def _least(at, penalty, window):
     cost = [0] + [10**12] * (len(at) - 1)
     for j in range(1, len(at)):
@@ -79,7 +87,7 @@ def test_cuts_are_optimal():
     for _ in range(60):
         at = np.array(sorted({0, *rng.sample(range(1, 160), 50)} | set(range(0, 160, 8))))
         penalty = np.array([0, *rng.choices([0, 2, 24], k=len(at) - 1)])
-        chosen = packing.cuts(at, penalty, 32, tail_windows=99)
+        chosen = packing.cuts(at, penalty, 32)
         place = {p: k for k, p in enumerate(at.tolist())}
         cost = 0
         for a, b in zip(chosen, chosen[1:]):
