@@ -12,15 +12,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from cellgrid.llm.packed import add_chunk, by_shard, chunk_count, lengths, mix, text_chars, unpack
+from cellgrid.llm.packed import add_chunk, by_shard, chunk_count, column, free_name, mix, text_chars, unpack
 
 #: Stripped from both ends of a line before it is compared.
 BLANK = " \t\n\x0b\x0c\r"
 NO_ID = -(2**63)
+#: Distinct lines that a task holds before it deals them out.
+HELD_LINES = 300_000
 
 
 class MinimalPerfectHash:
@@ -78,38 +80,43 @@ def line_hashes(text: str, min_chars: int) -> list[tuple[int, bytes | None]]:
     return out
 
 
-def _texts(pdf: pd.DataFrame, text_col: str) -> list[str]:
-    return [x if isinstance(x, str) else "" for x in pdf[text_col]]
-
-
-def _ids(pdf: pd.DataFrame, id_col: str) -> np.ndarray:
-    return pdf[id_col].fillna(NO_ID).to_numpy(np.int64) if pdf[id_col].isna().any() else pdf[id_col].to_numpy(np.int64)
-
-
+#: What is added to the rows.
+NEW = ("kept_text", "n_lines", "n_dropped")
 ENTRY = np.dtype([("h", "<u8"), ("fp", "<u4"), ("n", "<u4"), ("last", "<i8")])
 
 
-def _asked(id_col: str, text_col: str, min_chars: int, shards: int):
-    """The distinct line hashes of each chunk: in how many of its documents, and the largest id of those."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for chunk, part in pdf.groupby("_chunk"):
-                found: dict[bytes, list[int]] = {}
-                for doc, text in zip(_ids(part, id_col).tolist(), _texts(part, text_col), strict=True):
-                    for h in {h for _, h in line_hashes(text, min_chars)}:
-                        entry = found.setdefault(h, [0, NO_ID])
+def _asked(places: tuple[int, int, int], min_chars: int, shards: int):
+    """The distinct line hashes of each chunk: in how many of its documents, and the largest id of those.
+
+    Rows of one chunk lie in one task; batches of them are merged before they are dealt to shards."""
+
+    def flush(chunk: int, found: dict[bytes, list[int]]) -> pa.RecordBatch:
+        raw = np.frombuffer(b"".join(found), dtype=np.dtype([("h", "<u8"), ("fp", "<u4")]))
+        entries = np.empty(len(raw), dtype=ENTRY)
+        entries["h"], entries["fp"] = raw["h"], raw["fp"]
+        entries["n"], entries["last"] = np.array(list(found.values()), dtype=np.int64).reshape(-1, 2).T
+        rows = [(s, entries[at].tobytes()) for s, at in by_shard(entries["h"], shards)]
+        columns = [pa.array([r[0] for r in rows], pa.int32()), pa.array([chunk] * len(rows), pa.int32()), pa.array([r[1] for r in rows], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["shard", "chunk", "entries"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, dict[bytes, list[int]]] = {}
+        size = 0
+        for batch in batches:
+            for chunk, doc, text in zip(*(batch.column(k).to_pylist() for k in places), strict=True):
+                found, doc = held.setdefault(chunk, {}), NO_ID if doc is None else doc
+                for h in {h for _, h in line_hashes(text or "", min_chars)}:
+                    entry = found.get(h)
+                    if entry is None:
+                        found[h] = [1, doc]
+                        size += 1
+                    else:
                         entry[0] += 1
                         entry[1] = max(entry[1], doc)
-                if not found:
-                    continue
-                raw = np.frombuffer(b"".join(found), dtype=np.dtype([("h", "<u8"), ("fp", "<u4")]))
-                entries = np.empty(len(raw), dtype=ENTRY)
-                entries["h"], entries["fp"] = raw["h"], raw["fp"]
-                entries["n"], entries["last"] = np.array(list(found.values()), dtype=np.int64).T
-                rows += [(s, int(chunk), entries[at].tobytes()) for s, at in by_shard(entries["h"], shards)]
-            yield pd.DataFrame(rows, columns=["shard", "_chunk", "entries"])
+            if size > HELD_LINES:
+                yield from (flush(c, f) for c, f in held.items() if f)
+                held, size = {}, 0
+        yield from (flush(c, f) for c, f in held.items() if f)
 
     return run
 
@@ -133,7 +140,7 @@ def _probed(min_docs: int):
         prints, counts, lasts = (np.zeros(len(mph), dtype=t) for t in (np.uint32, np.int64, np.int64))
         prints[at], counts[at], lasts[at] = every["fp"][starts], docs, last
         rows = []
-        for chunk, packed in zip(pdf["_chunk"], pdf["entries"], strict=True):
+        for chunk, packed in zip(pdf["chunk"], pdf["entries"], strict=True):
             mine = np.frombuffer(packed, dtype=ENTRY)
             k = mph.index(mine["h"] ^ (mine["fp"].astype(np.uint64) << np.uint64(17)))
             drop = (k >= 0) & (prints[k] == mine["fp"]) & (counts[k] >= min_docs)
@@ -141,24 +148,29 @@ def _probed(min_docs: int):
                 out = np.empty(int(drop.sum()), dtype=ENTRY)
                 out["h"], out["fp"], out["n"], out["last"] = mine["h"][drop], mine["fp"][drop], 0, lasts[k[drop]]
                 rows.append((int(chunk), out.tobytes()))
-        return pd.DataFrame(rows, columns=["_chunk", "entries"])
+        return pd.DataFrame(rows, columns=["chunk", "entries"])
 
     return run
 
 
-def _rewritten(columns: list[str], id_col: str, text_col: str, min_chars: int):
-    def run(docs: pd.DataFrame, drops: pd.DataFrame) -> pd.DataFrame:
-        entries = unpack(drops["entries"], ENTRY)
+def _rewritten(id_at: int, text_at: int, min_chars: int):
+    """The chunk's rows (without the last column, the chunk's number), the kept text, and its lines before and dropped."""
+
+    def run(docs: pa.Table, drops: pa.Table) -> pa.Table:
+        entries = unpack(drops.column(1).to_pylist(), ENTRY)
         keys = entries[["h", "fp"]].copy().astype([("h", "<u8"), ("fp", "<u4")]).tobytes()
         last = {keys[12 * k : 12 * k + 12]: d for k, d in enumerate(entries["last"].tolist())}
         texts, n_lines, n_dropped = [], [], []
-        for doc, text in zip(_ids(docs, id_col).tolist(), _texts(docs, text_col), strict=True):
+        for doc, text in zip(docs.column(id_at).to_pylist(), docs.column(text_at).to_pylist(), strict=True):
+            doc, text = NO_ID if doc is None else doc, text or ""
             gone = {k for k, h in line_hashes(text, min_chars) if h in last and last[h] != doc} if last else ()
             lines = text.split("\n")
             n_lines.append(len(lines))
             n_dropped.append(len(gone))
             texts.append("\n".join(x for k, x in enumerate(lines) if k not in gone) if gone else text)
-        return docs[columns].assign(_kept_text=texts, _n_lines=n_lines, _n_dropped=n_dropped)
+        kept = docs.columns[: docs.num_columns - 1]
+        made = [pa.array(texts, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())]
+        return pa.Table.from_arrays([*kept, *made], [*docs.column_names[: len(kept)], *NEW])
 
     return run
 
@@ -174,22 +186,15 @@ def dedup_lines(
     empty line; a null id is smaller than any other; rows repeated with one id count as that many documents and keep
     their lines alike. An empty table gives no rows.
     """
-    columns = [c for c in docs.columns if c not in ("kept_text", "n_lines", "n_dropped", "_chunk")]
-    docs = docs.select(*[f"`{c}`" for c in columns])
+    columns = [c for c in docs.columns if c.lower() not in NEW]
+    docs = docs.select(*[column(docs, c) for c in columns])
     chunks = chunk_count(text_chars(docs, text_col), chunk_chars)
-    dealt = add_chunk(docs, chunks, id_col, text_col)
-    asked = dealt.mapInPandas(_asked(id_col, text_col, min_chars, chunks), "shard int, _chunk int, entries binary")
-    drops = asked.groupBy("shard").applyInPandas(_probed(min_docs), "_chunk int, entries binary")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    done = (
-        dealt.groupBy("_chunk")
-        .cogroup(drops.groupBy("_chunk"))
-        .applyInPandas(
-            _rewritten(columns, id_col, text_col, min_chars),
-            f"{fields}, _kept_text string, _n_lines long, _n_dropped long",
-        )
-    )
-    return done.withColumnsRenamed({"_kept_text": "kept_text", "_n_lines": "n_lines", "_n_dropped": "n_dropped"})
-
-
-__all__ = ["MinimalPerfectHash", "dedup_lines", "line_hashes", "lengths", "F"]
+    name = free_name("chunk", [*columns, *NEW])
+    dealt = add_chunk(docs, chunks, id_col, text_col, name)
+    places = (len(columns), columns.index(id_col), columns.index(text_col))
+    # Over all columns, as the rewriting below: one exchange serves both.
+    asked = dealt.mapInArrow(_asked(places, min_chars, chunks), "shard int, chunk int, entries binary")
+    drops = asked.repartition(chunks, "shard").groupBy("shard").applyInPandas(_probed(min_docs), "chunk int, entries binary")
+    fields = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), "kept_text string", "n_lines long", "n_dropped long"])
+    pairs = dealt.groupBy(name).cogroup(drops.repartition(chunks, "chunk").groupBy("chunk"))
+    return pairs.applyInArrow(_rewritten(*places[1:], min_chars), fields)

@@ -81,3 +81,20 @@ def test_line_dedup_matches_brute_force(spark):
     assert got == _brute(rows, 40, 5)
     assert any(v[1] for v in got.values())
     assert line_dedup.dedup_lines(docs(spark, [])).count() == 0
+
+
+def test_line_dedup_keeps_clashing_columns_and_large_numbers(spark):
+    line = LONG + "shared"
+    rows = [(k, line if k < 7 else "own", k, f"c{k}", 2**60 + k if k % 2 else None) for k in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _chunk int, kept_text string, n long")
+    out = line_dedup.dedup_lines(df)
+    assert out.columns == ["doc_id", "text", "_chunk", "n", "kept_text", "n_lines", "n_dropped"]
+    for r in out.collect():
+        assert (r["_chunk"], r.n) == (r.doc_id, 2**60 + r.doc_id if r.doc_id % 2 else None)
+        assert r.kept_text == ("" if r.doc_id < 6 else rows[r.doc_id][1]) and r.n_dropped == int(r.doc_id < 6)
+
+
+def test_line_dedup_null_and_repeated_ids(spark):
+    line = LONG + "shared"
+    got = line_dedup.dedup_lines(docs(spark, [line] * 6, [None, 1, 2, 9, 9, None])).collect()
+    assert sorted((r.doc_id or 0, r.n_dropped) for r in got) == [(0, 1), (0, 1), (1, 1), (2, 1), (9, 0), (9, 0)]
