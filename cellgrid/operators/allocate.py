@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,3 +66,22 @@ def held_out(cells: DataFrame, block: str, truth: str, weights: Mapping[str, Col
         made = scale_dissimilarity(redistribute(cells, block, truth, weight), truth, "allocated", sizes).withColumn("method", F.lit(name))
         out = made if out is None else out.unionByName(made)
     return out
+
+
+def greedy_pages(items: DataFrame, document: str, order: str, size: str, capacity: float) -> DataFrame:
+    """Adds page: items of a document in order, a new page where the next item would pass the capacity (a larger item has a
+    page of its own). Sequential within a document, which is what one report or reply holds; documents run side by side."""
+    schema = items.select("*", F.lit(0).alias("page")).schema
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order)
+        pages, page, used = [], 0, 0.0
+        for value in pdf[size]:
+            value = float(value or 0)
+            if used and used + value > capacity:
+                page, used = page + 1, 0.0
+            pages.append(page)
+            used += value
+        return pdf.assign(page=pages)
+
+    return items.groupBy(document).applyInPandas(run, schema)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from cellgrid.functions.distributions import kendall_exact, normal_two_sided, t_quantile, t_two_sided
-from cellgrid.operators.stats import gram, mann_kendall, ols_line, pairs
+from cellgrid.operators.stats import gram, mann_kendall, ols_line, pairs, welch
 
 Z95 = 1.959963984540054
 
@@ -147,6 +147,16 @@ def step_and_slope(df: DataFrame, keys: Sequence[str], x: str, y: str, after: Co
     )
 
 
+def before_after(df: DataFrame, keys: Sequence[str], after: Column, value: str, least: int = 3) -> DataFrame:
+    """change of the mean, its 95 % limits and Welch's p, for groups with so many values on both sides; n0, n1: how many."""
+    sides = df.withColumn("_a", after)
+    v = lambda c: F.count(F.when(c, F.col(value)))
+    counts = sides.groupBy(*keys).agg(v(~F.col("_a")).alias("n0"), v(F.col("_a")).alias("n1")).filter((F.col("n0") >= least) & (F.col("n1") >= least))
+    out = counts.join(welch(df, keys, after, value), list(keys)).withColumn("change", F.col("after") - F.col("before"))
+    out = out.withColumns({"p": t_p(F.abs("t"), F.col("df")), "_reach": t_975("df") * F.abs(F.try_divide("change", "t"))})
+    return out.select(*keys, "n0", "n1", "change", (F.col("change") - F.col("_reach")).alias("low"), (F.col("change") + F.col("_reach")).alias("high"), "p")
+
+
 def scene_bootstrap(stack: DataFrame, sensor: str, scene: str, cell: str, zone: str, value: str, replicas: int = 200, seed: int = 1) -> DataFrame:
     """zone, difference, low, high: difference of zone medians of the two sensors' cell medians (larger name less the
     smaller), with percentile limits from resampling each sensor's scenes.

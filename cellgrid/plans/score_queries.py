@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cellgrid.functions import text as X
-from cellgrid.operators import score
+from cellgrid.operators import allocate, score
 from cellgrid.plans import adapter as D
 from cellgrid.plans.registry import _BASE, _components, query, rounded
 from cellgrid.session import read_table
@@ -191,3 +191,11 @@ def aggregated_scan(spark, sf_dir):
     orders = read_table(spark, sf_dir, "orders").filter("o_orderdate between timestamp_ntz'1996-03-01' and timestamp_ntz'1997-02-28' and o_custkey <= 700")
     v = F.col("o_totalprice")
     return orders.groupBy(F.to_date("o_orderdate").alias("day"), F.col("o_orderstatus").alias("status")).agg(F.min(v).alias("low"), F.max(v).alias("high"), F.round(F.avg(v), 4).alias("mean"), F.count("*").alias("n"))
+
+
+@query("""WITH RECURSIVE i AS (SELECT o_custkey AS doc, o_orderkey AS item, o_totalprice AS size, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k FROM orders),
+    p(doc, item, k, page, used) AS (SELECT doc, item, k, 0, size FROM i WHERE k = 1 UNION ALL SELECT i.doc, i.item, i.k, CASE WHEN used > 0 AND used + size > 500000 THEN page + 1 ELSE page END, CASE WHEN used > 0 AND used + size > 500000 THEN size ELSE used + size END FROM p JOIN i ON i.doc = p.doc AND i.k = p.k + 1)
+    SELECT doc, item, CAST(page AS INTEGER) AS page FROM p""")
+def greedy_pages(spark, sf_dir):
+    items = read_table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("doc"), F.col("o_orderkey").alias("item"), F.col("o_totalprice").alias("size"))
+    return allocate.greedy_pages(items, "doc", "item", "size", 500000).select("doc", "item", "page")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from cellgrid.functions import text as X
@@ -9,7 +11,8 @@ from cellgrid.operators import climate as K
 from cellgrid.operators import series, trends
 from cellgrid.plans import adapter as D
 from cellgrid.plans.registry import SPIKES, query, rounded
-from cellgrid.session import read_table
+from cellgrid.session import read_table, shared_folder
+from cellgrid.streaming.daily import trailing_stream
 
 ODAYS = """odays AS (SELECT o_orderstatus AS var, CAST(o_orderdate AS DATE) AS day, avg(o_totalprice) AS mean, max(o_totalprice) AS high,
     min(o_totalprice) AS low, sum(o_totalprice) AS rain, count(*) AS n FROM orders GROUP BY 1, 2)"""
@@ -335,3 +338,18 @@ def reference_factor(spark, sf_dir):
 def month_arithmetic(spark, sf_dir):
     day = F.col("o_orderdate")
     return read_table(spark, sf_dir, "orders").select("o_orderkey", F.quarter(day).alias("quarter"), F.month(day).isin(1, 2, 7, 8).alias("dry"), X.month_before(day).alias("before"), X.days_in_month(day).alias("days"))
+
+
+@query(f"""WITH {D.HOURLY} SELECT var, CAST(epoch(ts) AS BIGINT) AS at, round(CASE WHEN row_number() OVER (PARTITION BY var ORDER BY ts) >= 8 AND count(value) OVER w >= 6 THEN avg(value) OVER w END, 9) AS trailing
+    FROM hourly WINDOW w AS (PARTITION BY var ORDER BY ts ROWS BETWEEN 7 PRECEDING AND CURRENT ROW)""")
+def streaming_trailing(spark, sf_dir):
+    """The trailing mean as a stateful stream over the hourly table, which is written to the shared folder first."""
+    where = f"{shared_folder(spark)}/hourly-{uuid.uuid4().hex}"
+    D.hourly(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(where)
+    return rounded(trailing_stream(spark, where, "var", "ts", "value"), "trailing", digits=9).select("var", F.unix_timestamp("ts").alias("at"), "trailing")
+
+
+@query(f"""WITH {D.CELLS}, s AS (SELECT class, avg(value) FILTER (weight < 3) AS m0, avg(value) FILTER (weight >= 3) AS m1, count(value) FILTER (weight < 3) AS n0, count(value) FILTER (weight >= 3) AS n1 FROM cells GROUP BY class)
+    SELECT class, round(m1 - m0, 4) AS change, n0, n1 FROM s WHERE n0 >= 3 AND n1 >= 3""")
+def before_after(spark, sf_dir):
+    return rounded(trends.before_after(D.cells(spark, sf_dir), ["class"], F.col("weight") >= 3, "value"), "change").select("class", "change", "n0", "n1")

@@ -37,6 +37,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a data directory, by Spark's reader only."""
+    if spark.sparkContext.master.startswith("local"):
+        shared_folder(spark)  # a session made elsewhere may have no folder for checkpoints yet
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

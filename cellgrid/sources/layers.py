@@ -142,3 +142,40 @@ def element_counts(elements: DataFrame, kind: str, tags: str, points: str, wante
         F.count("*").alias("n"), count(F.try_element_at(F.col(tags), F.lit(wanted)).isNull(), "untagged"),
         count((F.col(kind) == "way") & (F.size(points) < 2), "short"), count(~inside, "outside"),
     )
+
+
+#: Fields of a scene catalogue that are kept.
+SCENE = "id string, datetime timestamp, platform string, path string, row string, tier string, cloud double, assets map<string,string>"
+
+
+def scenes(spark: SparkSession, path: str, manifest: str | None = None) -> DataFrame:
+    """A scene catalogue (JSON lines), only the known fields, by time and id; without it, the ids of a manifest (one a line)."""
+    found = read_present(spark, path, SCENE)
+    if found is None:
+        if manifest is None:
+            raise ValueError(f"no catalogue at {path}, and no manifest")
+        found = spark.read.text(manifest).select(F.trim("value").alias("id")).filter("id <> ''")
+        for part in SCENE.split(", ")[1:]:
+            name, kind = part.split(" ", 1)
+            found = found.withColumn(name, F.lit(None).cast(kind))
+    return found.orderBy("datetime", "id")
+
+
+def stations(rows: DataFrame, lat: str, lon: str, value: str, box: tuple[float, float, float, float]) -> tuple[DataFrame, DataFrame]:
+    """Rows of text columns in a box (south, north, west, east) with numbers, and the rows whose numbers don't parse."""
+    cast = lambda c: F.expr(f"try_cast(`{c}` as double)")
+    made = rows.withColumns({f"_{k}": cast(c) for k, c in enumerate((lat, lon, value))})
+    bad = F.col("_0").isNull() | F.col("_1").isNull() | (F.col("_2").isNull() & F.col(value).isNotNull())
+    inside = F.col("_0").between(box[0], box[1]) & F.col("_1").between(box[2], box[3])
+    rest = [c for c in rows.columns if c not in (lat, lon, value)]
+    good = made.filter(~bad & inside).select(*rest, F.col("_0").alias(lat), F.col("_1").alias(lon), F.col("_2").alias(value))
+    return good, rows.join(made.filter(bad).select(*rows.columns), rows.columns, "left_semi")
+
+
+def complete(pages: DataFrame, key: str, expected: int) -> DataFrame:
+    """Pages of a service put together: each key once; an error unless there are as many as the service says."""
+    one = pages.dropDuplicates([key])
+    found = one.count()
+    if found != expected:
+        raise ValueError(f"{found} rows of {expected}: pages are missing")
+    return one

@@ -13,6 +13,7 @@ from cellgrid.functions import text as X
 from cellgrid.operators import aggregate, climate, flow, graph, joins, raster, score, series, shapes, stats, trends
 from cellgrid.plans import registry, score_queries
 from cellgrid.sources import layers
+from cellgrid.streaming import daily
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -310,6 +311,47 @@ def test_sources_that_may_be_missing(spark, tmp_path):
     assert {r.k for r in layers.unseen(keys, keys.filter("k = 2"), "k").collect()} == {1, 3}
 
 
+def test_catalogues_stations_and_pages(spark, tmp_path):
+    (tmp_path / "s.json").write_text('{"id": "b", "datetime": "2024-02-01T00:00:00Z", "cloud": 3.5, "more": 1}\n{"id": "a", "datetime": "2024-01-01T00:00:00Z", "assets": {"red": "x"}}')
+    got = layers.scenes(spark, f"{tmp_path}/s.json").collect()
+    assert [(r.id, r.cloud) for r in got] == [("a", None), ("b", 3.5)] and "more" not in got[0]
+    (tmp_path / "ids").write_text("q\n\np\n")
+    assert [r.id for r in layers.scenes(spark, f"{tmp_path}/none", f"{tmp_path}/ids").collect()] == ["p", "q"]
+    with pytest.raises(ValueError, match="no catalogue"):
+        layers.scenes(spark, f"{tmp_path}/none")
+    rows = spark.createDataFrame([("s1", "4.7", "-75.9", "25.5"), ("s2", "x", "-75.9", "1"), ("s3", "9.0", "-75.9", "1"), ("s4", "4.7", "-75.9", None)], "code string, lat string, lon string, v string")
+    good, bad = layers.stations(rows, "lat", "lon", "v", (4.0, 5.0, -76.0, -75.0))
+    assert {(r.code, r.v) for r in good.collect()} == {("s1", 25.5), ("s4", None)} and [r.code for r in bad.collect()] == ["s2"]
+    assert layers.complete(rows.union(rows), "code", 4).count() == 4
+    with pytest.raises(ValueError, match="4 rows of 5"):
+        layers.complete(rows, "code", 5)
+
+
+def test_before_after_limits_and_p(spark):
+    rng = np.random.default_rng(7)
+    a, b = rng.normal(0, 1, 12), rng.normal(1.2, 2, 9)
+    df = spark.createDataFrame([(1, False, float(v)) for v in a] + [(1, True, float(v)) for v in b] + [(2, True, 1.0)], "k int, late boolean, v double")
+    r = trends.before_after(df, ["k"], F.col("late"), "v").collect()
+    assert [x.k for x in r] == [1]
+    va, vb = a.var(ddof=1) / 12, b.var(ddof=1) / 9
+    free = (va + vb) ** 2 / (va**2 / 11 + vb**2 / 8)
+    t, reach = (b.mean() - a.mean()) / math.sqrt(va + vb), distributions.t_quantile(0.975, free) * math.sqrt(va + vb)
+    assert (r[0].change, r[0].low, r[0].high) == pytest.approx((b.mean() - a.mean(), b.mean() - a.mean() - reach, b.mean() - a.mean() + reach))
+    assert r[0].p == pytest.approx(distributions.t_two_sided(t, free))
+
+
+def test_streams_over_several_batches(spark, tmp_path):
+    rows = [(k % 2, 1_700_000_000 + 3600 * k, None if k % 11 == 0 else float(k)) for k in range(60)]
+    df = spark.createDataFrame(rows, "var int, at long, value double").withColumn("ts", F.timestamp_seconds("at"))
+    for k in range(3):
+        df.filter(F.floor((F.col("at") - 1_700_000_000) / 3600 / 20) == k).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    got = {(r.var, r.ts.timestamp()): r.trailing for r in daily.trailing_stream(spark, f"{tmp_path}/in", "var", "ts", "value").collect()}
+    want = series.trailing(df, ["var"], "ts", "value").collect()
+    assert len(got) == 60
+    for r in want:
+        assert got[str(r.var), r.ts.timestamp()] == (None if r.trailing is None else pytest.approx(r.trailing))
+
+
 def test_queries_without_sql_run(spark):
     for name in ("refilled_choice", "settled_scenes"):
         assert getattr(score_queries, name)(spark, SMALL).count() > 0
