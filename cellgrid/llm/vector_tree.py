@@ -131,26 +131,34 @@ def _top(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return keep[np.lexsort((ids[keep], -scores[keep]))][:k]
 
 
-def _best_rows(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row and place of the k best finite scores of each row, ties at the end to the smallest id; in no order."""
+def _best_rows(scores: np.ndarray, ids: np.ndarray, k: int, slack: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and place of all finite scores of each row that reach its k-th best less the row's slack; in no order."""
+    keep = np.isfinite(scores)
     if scores.shape[1] > k:
-        keep = scores >= np.partition(scores, scores.shape[1] - k, axis=1)[:, [scores.shape[1] - k]]
-    else:
-        keep = np.ones(scores.shape, dtype=bool)
-    keep &= np.isfinite(scores)
-    for r in np.flatnonzero(keep.sum(1) > k):
-        keep[r] = False
-        keep[r, _top(scores[r], ids, k)] = True
+        keep &= scores >= np.partition(scores, scores.shape[1] - k, axis=1)[:, [scores.shape[1] - k]] - slack[:, None]
     return np.nonzero(keep)
 
 
-def _dims(rows: DataFrame) -> tuple[int, int, float]:
-    """Rows, length of the vectors (all must have one length) and the longest norm."""
+def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of the rows of two tables, summed component by component: a pair's product does not depend on what
+    else is multiplied with it, as a matrix product's last bits do, so equal vectors tie wherever they lie."""
+    out = np.zeros(len(a))
+    for c in range(a.shape[1]):
+        out += a[:, c] * b[:, c]
+    return out
+
+
+def _size(rows: DataFrame) -> int:
+    """The vectors' most frequent length (the larger of equally frequent ones); 0 for none."""
+    first = rows.groupBy(F.size("vec").alias("size")).count().orderBy(F.desc("count"), F.desc("size")).first()
+    return first["size"] if first else 0
+
+
+def _longest(rows: DataFrame) -> tuple[int, float]:
+    """Rows, and the longest norm."""
     norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, v: a + v * v))
-    n, low, high, longest = rows.agg(F.count("*"), F.min(F.size("vec")), F.max(F.size("vec")), F.max(norm)).first()
-    if n and low != high:
-        raise ValueError(f"vectors of {low} and of {high} components")
-    return n, low or 0, longest or 0.0
+    n, longest = rows.agg(F.count("*"), F.max(norm)).first()
+    return n, longest or 0.0
 
 
 def _exact_leaves(rows: DataFrame, queries: np.ndarray, ids: np.ndarray, tree: Tree, longest: float, k: int) -> list[list[int]]:
@@ -236,12 +244,16 @@ def search(
 
     The tree is fitted on at most sample_rows vectors, those whose ids hash lowest; all vectors are indexed. recall is what
     the leaf visits are widened to on at most CALIBRATION_QUERIES queries. Vectors null, zero, or with null or non-finite
-    components take no part, nor do null ids; repeated ids are vectors of their own; of repeated query ids one counts. An
-    empty table gives no rows; other columns play no part.
+    components take no part, nor do those of another length than most, nor null ids; repeated ids are vectors of their own;
+    of repeated query ids one counts. Equal scores go by id, also where equal vectors lie in several leaves. An empty table
+    gives no rows; other columns play no part.
     """
     spark = vectors.sparkSession
-    rows, asked = usable(vectors, id_col, vec_col), usable(queries, id_col, vec_col).dropDuplicates(["vec_id"])
-    n, size, longest = _dims(rows)
+    rows = usable(vectors, id_col, vec_col)
+    size = _size(rows)
+    rows = rows.filter(F.size("vec") == size)
+    asked = usable(queries, id_col, vec_col).filter(F.size("vec") == size).dropDuplicates(["vec_id"])
+    n, longest = _longest(rows)
     out = "query_id long, rank int, vec_id long, score double"
     if not n:
         return spark.createDataFrame([], out)
@@ -306,8 +318,15 @@ def search(
                 if len(row):
                     scores[row[:, None], at] = vec[row] @ x[at].T
             scores[q[:, None] == ids[None]] = -np.inf
-            row, at = _best_rows(scores, ids, k)
-            found.append(pd.DataFrame({"query_id": q[row], "vec_id": ids[at], "score": scores[row, at]}))
+            # Matrix products choose, with room for their last bits; the chosen are scored again in one fixed order.
+            slack = 4e-16 * (size + 1) * longest * np.sqrt((vec * vec).sum(1)) + 1e-300
+            row, at = _best_rows(scores, ids, k, slack)
+            exact = products(vec[row], x[at])
+            order = np.lexsort((ids[at], -exact, row))
+            row, at, exact = row[order], at[order], exact[order]
+            place = np.arange(len(row)) - np.searchsorted(row, row)
+            row, at, exact = (v[place < k] for v in (row, at, exact))
+            found.append(pd.DataFrame({"query_id": q[row], "vec_id": ids[at], "score": exact}))
         return pd.concat(found)
 
     pairs = asking.groupBy("grp", "part").cogroup(dealt.groupBy("grp", "part")).applyInPandas(best, "query_id long, vec_id long, score double")

@@ -118,6 +118,45 @@ def test_queries_beside_small_leaves_get_all_their_rows(spark, monkeypatch):
     assert {r.query_id: r["count"] for r in out} == dict.fromkeys(range(0, 805, 20), 20)
 
 
+def test_equal_vectors_tie_by_id_in_all_leaves(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(9000, 24))
+    x[1000:8000] = x[1000]
+    table = _table(spark, x)
+    out = vector_tree.search(table, table.filter("vec_id % 20 = 0"), leaf_rows=64).collect()
+    found = {}
+    for r in out:
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    for q, rows in found.items():
+        rows = sorted(rows)
+        tied = [v for _, v, _ in rows if 1000 <= v < 8000]
+        assert tied == [v for v in range(1000, 8000) if v != q][: len(tied)]
+        assert len({s for _, v, s in rows if 1000 <= v < 8000}) <= 1
+        assert [r[1] for r in rows] == [r[1] for r in sorted(rows, key=lambda r: (-r[2], r[1]))]
+
+
+def test_products_do_not_depend_on_their_company():
+    rng = np.random.default_rng(1)
+    a, b = rng.normal(size=(500, 64)), rng.normal(size=(500, 64))
+    whole = vector_tree.products(a, b)
+    assert all(vector_tree.products(a[k : k + 1], b[k : k + 1])[0] == whole[k] for k in range(500))
+
+
+def test_lengths_that_differ_take_no_part(spark):
+    table = _table(spark, [[1, 0], [0, 1], [1, 1, 1], [2, 0], [1]], [1, 2, 3, 4, 5])
+    out = {(r.query_id, r["rank"], r.vec_id) for r in vector_tree.search(table, table, k=2).collect()}
+    assert out == {(1, 1, 4), (1, 2, 2), (2, 1, 1), (2, 2, 4), (4, 1, 1), (4, 2, 2)}
+
+
+def test_repeated_and_null_ids_count_as_documents(spark):
+    texts, ids = ["a b c", "a b d", "a b", "x y", "x y z"], [7, 7, None, None, 3]
+    target = spark.createDataFrame([(7,)], "doc_id long")
+    got = sorted((r.n_tokens, round(r.target_loss, 9), round(r.background_loss, 9)) for r in lm_score.score(docs(spark, texts, ids), target).collect())
+    named = list(zip([1, 2, 3, 4, 5], texts, strict=True))
+    want = _brute(named, {1, 2})
+    assert got == sorted((n, round(a, 9), round(b, 9)) for n, a, b in want.values())
+
+
 def test_groups_of_leaves():
     group, parts = vector_tree.grouped(np.array([3, 2, 0, 6, 25, 1]), most=10)
     assert group.tolist() == [0, 0, 0, 1, 2, 3] and parts.tolist() == [1, 1, 3, 1]
