@@ -62,7 +62,7 @@ def trailing_stream(spark: SparkSession, path: str, key: str, ts: str, value: st
         state.update((held,))
         yield pd.DataFrame({"var": name[0], "ts": pdf["ts"], "trailing": pd.array(means, dtype="Float64")})
 
-    timed = _stream(spark, path).select(F.col(key).alias("var"), F.col(ts).cast("timestamp").alias("ts"), F.col(value).cast("double").alias("value"))
+    timed = _stream(spark, path).select(F.col(key).cast("string").alias("var"), F.col(ts).cast("timestamp").alias("ts"), F.col(value).cast("double").alias("value"))
     made = timed.groupBy("var").applyInPandasWithState(run, "var string, ts timestamp, trailing double", "held array<double>", "append", GroupStateTimeout.NoTimeout)
     sink = made.writeStream.outputMode("append").format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state")
     sink.trigger(availableNow=True).start().awaitTermination()
