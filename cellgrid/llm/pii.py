@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import random
 import re
-from collections.abc import Callable
+import string
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,8 +22,10 @@ from cellgrid.llm.packed import map_columns, map_texts
 
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns (fixed values).
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+#: An address is found from its @ on, and numbers start where a run of digits does, so that a long unbroken run is read once.
+LOCAL = string.ascii_letters + string.digits + "._%+-"
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]+")
@@ -37,11 +41,22 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def emails(text: str) -> Iterator[Span]:
+    """Matches of [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+, leftmost and not overlapping."""
+    free, at = 0, text.find("@")
+    while at >= 0:
+        before = text[free:at]
+        start = free + len(before.rstrip(LOCAL))
+        found = DOMAIN.match(text, at + 1) if start < at else None
+        if found:
+            yield start, found.end(), "email"
+        free = found.end() if found else at + 1
+        at = text.find("@", max(free, at + 1))
+
+
 def base_spans(text: str) -> list[Span]:
     """Matches of the base patterns by start, then in the order of KINDS."""
-    found = []
-    if "@" in text:
-        found += [(m.start(), m.end(), "email") for m in EMAIL.finditer(text)]
+    found = list(emails(text))
     if "." in text:
         found += [(m.start(), m.end(), "ip") for m in IP.finditer(text) if _ip(m[0])]
     for m in CARD.finditer(text):
@@ -57,7 +72,8 @@ def _order(span: Span) -> tuple[int, int]:
 
 
 def _ip(text: str) -> bool:
-    return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in text.split("."))
+    parts = [p.lstrip("0") for p in text.split(".")]
+    return all(len(p) <= 3 and int(p or "0") <= 255 for p in parts)
 
 
 def _card(text: str) -> bool:
@@ -397,11 +413,24 @@ def _plausible(text: str, kind: str) -> bool:
     return 9 <= len(digits) <= 15 and text[0] in "+(" and ")" in text
 
 
+def _covered(spans: list[Span]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that spans, ordered by start, cover; both ascend."""
+    starts, ends = [], []
+    for a, b, _ in spans:
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def finder(model: Tagger) -> Callable[[list[str]], list[list[Span]]]:
     """A function from texts to their spans: the base ones, and those of the tagger that touch none of them."""
 
     def find(texts: list[str]) -> list[list[Span]]:
         found = [base_spans(t) for t in texts]
+        covered = [_covered(f) for f in found]
         coded = [classes(t) for t in texts]
         borders = np.concatenate(([0], np.cumsum([len(x) for x in coded], dtype=np.int64)))
         for a, b, kind in decode(model, text_emissions(model, coded), borders[:-1]):
@@ -411,7 +440,10 @@ def finder(model: Tagger) -> Callable[[list[str]], list[list[Span]]]:
                 low += 1
             while low < high and text[high - 1] in " .,\n":
                 high -= 1
-            if high - low >= 7 and _plausible(text[low:high], kind) and not any(s < high and low < e for s, e, _ in found[doc]):
+            starts, ends = covered[doc]
+            first = bisect_left(ends, low + 1)  # the first base stretch that ends behind the start of this one
+            apart = first == len(starts) or starts[first] >= high
+            if high - low >= 7 and apart and _plausible(text[low:high], kind):
                 found[doc].append((low, high, kind))
         return [sorted(f, key=_order) for f in found]
 
