@@ -16,16 +16,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellgrid.llm.packed import column, id_text, list_array, map_columns, map_texts
+from cellgrid.llm.packed import column, free_name, id_text, list_array, map_columns, map_texts
 
 #: Hashed features: a word, and the first letters of longer ones.
 BITS = 18
 PREFIXES = (3, 4, 5, 7)
-FOLDS = 3
-#: Bounds of the decision threshold, whatever the out-of-fold probabilities say.
-THRESHOLDS = (0.33, 0.9)
+FOLDS = 5
 #: Bound of a task's memory of words.
-CACHED, CACHED_CHARS = 200_000, 40
+CACHED, CACHED_CHARS = 100_000, 40
 #: Signs that are dropped at the ends of words.
 SIGNS = ".,;:!?\"'()[]{}<>|#$%&*-_=+/\\~`^"
 
@@ -67,13 +65,22 @@ def doc_features(text: str, known: Callable[[str], tuple]) -> np.ndarray:
     return np.unique(np.array([f for w in set(text.split()) for f in known(w)], dtype=np.int32))
 
 
+def _spread(size) -> float:
+    """What a document's sum of feature weights is divided by: less than a mean would, so that a few words of a long text
+    keep their say."""
+    return np.maximum(1, size) ** 0.25
+
+
 def _linear(docs: list[np.ndarray], more: np.ndarray, y: np.ndarray, rounds: int, l2: float) -> tuple[np.ndarray, float, np.ndarray]:
-    """Logistic regression by Adam over all rows: weights of features and of the columns of more, and a bias."""
+    """Logistic regression by Adam over all rows: weights of features and of the columns of more, and a bias.
+
+    A feature counts by its rarity among the rows, which its weight holds in the end."""
     sizes = np.array([max(1, len(d)) for d in docs])
     flat = np.concatenate([d if len(d) else np.zeros(1, np.int32) for d in docs])
     row = np.repeat(np.arange(len(docs)), sizes)
-    scale = (1 / np.sqrt(sizes))[row]
-    used, flat = np.unique(flat, return_inverse=True)
+    used, flat, held = np.unique(flat, return_inverse=True, return_counts=True)
+    rarity = np.log(len(docs) / held) / 3
+    scale = (1 / _spread(sizes))[row] * rarity[flat]
     w, m, v = (np.zeros(len(used) + more.shape[1] + 1) for _ in range(3))
     starts = np.concatenate(([0], np.cumsum(sizes)))[:-1]
     n = len(used)
@@ -85,12 +92,12 @@ def _linear(docs: list[np.ndarray], more: np.ndarray, y: np.ndarray, rounds: int
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
         w -= 0.35 * (1 - 0.9 * step / rounds) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-7)
     full = np.zeros(1 << BITS)
-    full[used] = w[:n]
+    full[used] = w[:n] * rarity
     return full, w[-1], w[n:-1]
 
 
 def _sums(docs: list[np.ndarray], weights: np.ndarray) -> np.ndarray:
-    return np.array([weights[d].sum() / np.sqrt(max(1, len(d))) for d in docs])
+    return np.array([weights[d].sum() / _spread(len(d)) for d in docs])
 
 
 def fit(
@@ -115,18 +122,18 @@ def fit(
             w, bias, own = _linear(docs, earlier, y, rounds, l2)
             chain.weights[k], chain.bias[k], chain.earlier[k, :k] = w, bias, own
             if name == target:
-                chain.threshold = float(np.clip(best_threshold(held, y), *THRESHOLDS))
+                chain.threshold = best_threshold(held, y)
         chain.out_of_fold[name] = held
         earlier = np.column_stack((earlier, held))
     return chain
 
 
-def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
-    """The middle of the gap between two probabilities at which F1 is best."""
+def best_threshold(p: np.ndarray, y: np.ndarray, beta: float = 0.5) -> float:
+    """The middle of the gap between two probabilities at which F-beta is best; below 1, beta spares clean rows."""
     order = np.argsort(-p, kind="stable")
     hits = np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
-    at = int(f1.argmax())
+    score = (1 + beta**2) * hits / (np.arange(1, len(y) + 1) + beta**2 * y.sum())
+    at = int(score.argmax())
     low = p[order[at + 1]] if at + 1 < len(y) else 0.0
     return float((p[order[at]] + low) / 2)
 
@@ -172,21 +179,27 @@ def train(
 def classify(docs: DataFrame, chain: Chain, target: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, p_<category> for each category, and rejected, one row for each row: the whole text counts.
 
-    A text without features that training has seen, such as a null or empty one, is not rejected; null and repeated ids and repeated rows stay as they are; an empty table gives
-    no rows; other columns play no part. The chain has a fixed size, so it is broadcast.
+    A text without features that training has seen, such as a null or empty one, is not rejected; null and repeated ids and
+    repeated rows stay as they are; an empty table gives no rows; other columns play no part. The chain has a fixed size, so
+    it is broadcast.
     """
     return map_texts(docs, *_classifier(docs, chain, target), id_col, text_col)
 
 
 def accept(docs: DataFrame, chain: Chain, target: str = "toxic", text_col: str = "text") -> DataFrame:
     """The rows of docs, with all their columns, that the chain doesn't reject."""
-    names = [f"p_{c}" for c in chain.categories]
-    make, schema = _classifier(docs, chain, target, "_rejected_")
-    judged = map_columns(docs, make, schema.replace("p_", "_p_"), text_col)
-    return judged.filter(~F.col("_rejected_")).drop("_rejected_", *(f"_{n}" for n in names))
+    make, _ = _classifier(docs, chain, target)
+    flag = free_name("rejected", docs.columns)
+
+    def make_flag():
+        work = make()
+        return lambda texts: work(texts)[-1:]
+
+    judged = map_columns(docs, make_flag, f"{flag} boolean", text_col)
+    return judged.filter(~F.col(flag)).drop(flag)
 
 
-def _classifier(docs: DataFrame, chain: Chain, target: str, flag: str = "rejected") -> tuple[Callable, str]:
+def _classifier(docs: DataFrame, chain: Chain, target: str) -> tuple[Callable, str]:
     shared = docs.sparkSession.sparkContext.broadcast(chain)
     at = chain.categories.index(target)
 
@@ -198,10 +211,10 @@ def _classifier(docs: DataFrame, chain: Chain, target: str, flag: str = "rejecte
             for k, text in enumerate(texts):
                 found = doc_features(text, known.__getitem__)
                 some[k] = model.weights[at, found].any()
-                sums[k] = model.weights[:, found].sum(1, dtype=np.float64) / np.sqrt(max(1, len(found)))
+                sums[k] = model.weights[:, found].sum(1, dtype=np.float64) / _spread(len(found))
             p = model.probabilities(sums)
             return [*(pa.array(p[:, k]) for k in range(p.shape[1])), pa.array((p[:, at] >= model.threshold) & some)]
 
         return work
 
-    return make, ", ".join([*(f"p_{c} double" for c in chain.categories), f"{flag} boolean"])
+    return make, ", ".join([*(f"p_{c} double" for c in chain.categories), "rejected boolean"])

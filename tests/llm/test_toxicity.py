@@ -52,3 +52,15 @@ def test_without_labels_nothing_is_rejected(spark):
 
 def test_threshold_sits_in_the_best_gap():
     assert toxicity.best_threshold(np.array([0.9, 0.8, 0.2, 0.1]), np.array([1, 1, 0, 0])) == 0.5
+
+
+def test_accept_keeps_clashing_columns(spark):
+    rows = _corpus(200, 3)
+    features = [toxicity.doc_features(r[0], toxicity._Features().__getitem__) for r in rows]
+    chain = toxicity.fit(features, {"quality": np.array([r[1] for r in rows]), "toxic": np.array([r[2] for r in rows])}, "toxic")
+    df = spark.createDataFrame([(k, r[0], k, 0.5, "x") for k, r in enumerate(rows)], "doc_id long, text string, rejected int, p_toxic double, _p_quality string")
+    kept = toxicity.accept(df, chain)
+    assert kept.columns == df.columns
+    flags = {r.doc_id: r.rejected for r in toxicity.classify(df, chain).collect()}
+    assert {r.doc_id: r.rejected for r in kept.collect()} == {k: k for k, f in flags.items() if not f}
+    assert toxicity.accept(df.limit(0), chain).count() == 0
