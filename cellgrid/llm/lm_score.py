@@ -81,7 +81,7 @@ def _asked(shards: int):
         if not len(docs):
             return pd.DataFrame({"shard": [], "chunk": [], "keys": [], "counts": []})
         uni, bi, sizes = _keys(_texts(docs), shards, _Words())
-        wanted = np.repeat(np.isin(docs["key"].to_numpy(np.int64), target["key"].to_numpy(np.int64)), sizes)
+        wanted = np.repeat(np.isin(docs["key"].to_numpy(np.int64), target["target"].to_numpy(np.int64)), sizes)
         keys, place = np.unique(np.concatenate((uni, bi)), return_inverse=True)
         counts = np.empty((2, len(keys)), dtype=np.uint32)
         counts[0] = np.bincount(place[np.concatenate((wanted, wanted))], minlength=len(keys))
@@ -166,18 +166,19 @@ def score(
     """
     chunks = chunk_count(text_chars(docs, text_col), chunk_chars)
     key = F.coalesce("id", F.lit(NO_ID))
-    rows = id_text(docs, id_col, text_col).withColumn("key", key)
-    spread = F.when(F.col("id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("id"))
-    rows = rows.select(F.pmod(spread, F.lit(chunks)).cast("int").alias("chunk"), "key", "text")
-    target = target_ids.select(column(target_ids, id_col).cast("long").alias("key")).dropna().distinct()
-    target = target.select(F.pmod(F.xxhash64("key"), F.lit(chunks)).cast("int").alias("chunk"), "key")
-    asked = rows.groupBy("chunk").cogroup(target.groupBy("chunk")).applyInPandas(_asked(chunks), "shard int, chunk int, keys binary, counts binary")
-    answered = asked.groupBy("shard").applyInPandas(_answer, "chunk int, shard int, counts binary, totals array<double>").checkpoint()
+    # Dealt by id and text, so that an id that very many rows share is no hot chunk; target ids go to the chunks that hold them.
+    rows = id_text(docs, id_col, text_col).select(F.pmod(F.xxhash64(key, "text"), F.lit(chunks)).cast("int").alias("chunk"), key.alias("key"), "text")
+    wanted = target_ids.select(column(target_ids, id_col).cast("long").alias("key")).dropna().distinct()
+    target = rows.select("chunk", "key").distinct().join(wanted, "key").select(F.col("chunk").alias("at"), F.col("key").alias("target"))
+    # One partition a chunk, one a shard: what a task reads stays the same however large the input.
+    rows, target = rows.repartition(chunks, "chunk"), target.repartition(chunks, "at")
+    asked = rows.groupBy("chunk").cogroup(target.groupBy("at")).applyInPandas(_asked(chunks), "shard int, chunk int, keys binary, counts binary")
+    answered = asked.repartition(chunks, "shard").groupBy("shard").applyInPandas(_answer, "chunk int, shard int, counts binary, totals array<double>").checkpoint()
     totals = answered.filter("chunk < 0").select(*[F.sum(F.col("totals")[k]).alias(f"t{k}") for k in range(3)]).first()
     words, *tokens = (x or 0.0 for x in totals)
     told = answered.filter("chunk >= 0").select("chunk", "shard", "counts", F.lit(None).cast("long").alias("key"))
-    told = told.unionByName(target.select("chunk", F.lit(-1).alias("shard"), F.lit(None).cast("binary").alias("counts"), "key"))
-    done = rows.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInPandas(
+    told = told.unionByName(target.select(F.col("at").alias("chunk"), F.lit(-1).alias("shard"), F.lit(None).cast("binary").alias("counts"), F.col("target").alias("key")))
+    done = rows.groupBy("chunk").cogroup(told.repartition(chunks, "chunk").groupBy("chunk")).applyInPandas(
         _scored(chunks, words, tuple(tokens)), "key long, n_tokens long, target_loss double, background_loss double"
     )
     return done.select(
