@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellgrid.llm import line_dedup, ngram_join, packing, pii, queries, toxicity
-from cellgrid.session import read_table
+from cellgrid.session import read_table, shared_folder
+
+
+#: Words that a packing task remembers; less than the operator's own default, as its workers served other stages before.
+CACHED_WORDS = 150_000
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +42,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces in sequences of at most 4096 tokens."""
     with open(queries.tokenizer_path("word_bpe_49k.json"), encoding="utf-8") as f:
-        return packing.pack(docs, f.read())
+        return packing.pack(docs, f.read(), cached_words=CACHED_WORDS)
 
 
 def _measured(done: DataFrame, docs: DataFrame) -> DataFrame:
@@ -58,8 +63,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages applied to documents."""
+    """All stages applied to documents. Each stage's rows but the last's are written to the shared folder and read again, so
+    that a stage's work is done once, whatever the next ones ask of it."""
     docs = read_table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs.write.parquet(f"{folder}/{k}")
+            docs = spark.read.parquet(f"{folder}/{k}")
     return docs
