@@ -1,9 +1,10 @@
 """Line deduplication with sharded minimal perfect hashes.
 
-Chunks send the distinct hashes of their lines, with document counts and the largest id, to shards. A shard merges them,
-builds a minimal perfect hash over its distinct line hashes and lays fingerprints, counts and largest ids out in compact
-arrays in its order. The chunks' hashes then probe those arrays, and each chunk gets back the few that are to be dropped.
-Lines themselves are never joined or shuffled by content.
+Chunks send the distinct hashes of their lines, with document counts and the largest id, to shards: one row for each hash
+of a chunk, so that what is sent is in proportion to the input however many chunks and shards there are, and a line that
+every document holds is one row a chunk. A shard merges them, builds a minimal perfect hash over its distinct line hashes
+and lays fingerprints, counts and largest ids out in compact arrays in its order. The chunks' hashes then probe those
+arrays, and each chunk gets back the few that are to be dropped. Lines themselves are never joined or shuffled.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from cellgrid.llm.packed import add_chunk, by_shard, chunk_count, column, free_name, mix, text_chars, unpack
+from cellgrid.llm.packed import add_chunk, chunk_count, column, free_name, mix, text_chars
 
 #: Stripped from both ends of a line before it is compared.
 BLANK = " \t\n\x0b\x0c\r"
@@ -82,7 +83,7 @@ def line_hashes(text: str, min_chars: int) -> list[tuple[int, bytes | None]]:
 
 #: What is added to the rows.
 NEW = ("kept_text", "n_lines", "n_dropped")
-ENTRY = np.dtype([("h", "<u8"), ("fp", "<u4"), ("n", "<u4"), ("last", "<i8")])
+PRINT = np.dtype([("h", "<u8"), ("fp", "<u4")])
 
 
 def _asked(places: tuple[int, int, int], min_chars: int, shards: int):
@@ -91,13 +92,11 @@ def _asked(places: tuple[int, int, int], min_chars: int, shards: int):
     Rows of one chunk lie in one task; batches of them are merged before they are dealt to shards."""
 
     def flush(chunk: int, found: dict[bytes, list[int]]) -> pa.RecordBatch:
-        raw = np.frombuffer(b"".join(found), dtype=np.dtype([("h", "<u8"), ("fp", "<u4")]))
-        entries = np.empty(len(raw), dtype=ENTRY)
-        entries["h"], entries["fp"] = raw["h"], raw["fp"]
-        entries["n"], entries["last"] = np.array(list(found.values()), dtype=np.int64).reshape(-1, 2).T
-        rows = [(s, entries[at].tobytes()) for s, at in by_shard(entries["h"], shards)]
-        columns = [pa.array([r[0] for r in rows], pa.int32()), pa.array([chunk] * len(rows), pa.int32()), pa.array([r[1] for r in rows], pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, ["shard", "chunk", "entries"])
+        raw = np.frombuffer(b"".join(found), dtype=PRINT)
+        h, fp = np.ascontiguousarray(raw["h"]), np.ascontiguousarray(raw["fp"])
+        n, last = np.array(list(found.values()), dtype=np.int64).reshape(-1, 2).T
+        columns = [(mix(h, 77) % np.uint64(shards)).astype(np.int32), np.full(len(h), chunk, np.int32), h.view(np.int64), fp.view(np.int32), n.astype(np.int32), last]
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], ["shard", "chunk", "h", "fp", "n", "last"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, dict[bytes, list[int]]] = {}
@@ -125,30 +124,24 @@ def _probed(min_docs: int):
     """Builds a shard's arrays over its distinct line hashes; answers each chunk with its lines to drop."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        every = unpack(pdf["entries"], ENTRY)
-        order = np.lexsort((every["fp"], every["h"]))
-        every = every[order]
-        new = np.ones(len(every), dtype=bool)
-        new[1:] = (every["h"][1:] != every["h"][:-1]) | (every["fp"][1:] != every["fp"][:-1])
+        h, fp = pdf["h"].to_numpy(np.int64).view(np.uint64), pdf["fp"].to_numpy(np.int32).view(np.uint32)
+        order = np.lexsort((fp, h))
+        new = np.ones(len(h), dtype=bool)
+        new[1:] = (h[order][1:] != h[order][:-1]) | (fp[order][1:] != fp[order][:-1])
         starts = np.flatnonzero(new)
-        docs = np.add.reduceat(every["n"].astype(np.int64), starts)
-        last = np.maximum.reduceat(every["last"], starts)
+        docs = np.add.reduceat(pdf["n"].to_numpy(np.int64)[order], starts)
+        last = np.maximum.reduceat(pdf["last"].to_numpy(np.int64)[order], starts)
         # Two lines of one 64-bit hash and other fingerprints are told apart by folding the fingerprint into the key.
-        keys = every["h"][starts] ^ (every["fp"][starts].astype(np.uint64) << np.uint64(17))
-        mph = MinimalPerfectHash(keys)
-        at = mph.index(keys)
+        keys = h ^ (fp.astype(np.uint64) << np.uint64(17))
+        distinct = keys[order][starts]
+        mph = MinimalPerfectHash(distinct)
+        at = mph.index(distinct)
         prints, counts, lasts = (np.zeros(len(mph), dtype=t) for t in (np.uint32, np.int64, np.int64))
-        prints[at], counts[at], lasts[at] = every["fp"][starts], docs, last
-        rows = []
-        for chunk, packed in zip(pdf["chunk"], pdf["entries"], strict=True):
-            mine = np.frombuffer(packed, dtype=ENTRY)
-            k = mph.index(mine["h"] ^ (mine["fp"].astype(np.uint64) << np.uint64(17)))
-            drop = (k >= 0) & (prints[k] == mine["fp"]) & (counts[k] >= min_docs)
-            if drop.any():
-                out = np.empty(int(drop.sum()), dtype=ENTRY)
-                out["h"], out["fp"], out["n"], out["last"] = mine["h"][drop], mine["fp"][drop], 0, lasts[k[drop]]
-                rows.append((int(chunk), out.tobytes()))
-        return pd.DataFrame(rows, columns=["chunk", "entries"])
+        prints[at], counts[at], lasts[at] = fp[order][starts], docs, last
+        k = mph.index(keys)
+        drop = (k >= 0) & (prints[k] == fp) & (counts[k] >= min_docs)
+        gone = pdf.loc[drop, ["chunk", "h", "fp"]]
+        return gone.assign(last=lasts[k[drop]])
 
     return run
 
@@ -157,9 +150,10 @@ def _rewritten(id_at: int, text_at: int, min_chars: int):
     """The chunk's rows (without the last column, the chunk's number), the kept text, and its lines before and dropped."""
 
     def run(docs: pa.Table, drops: pa.Table) -> pa.Table:
-        entries = unpack(drops.column(1).to_pylist(), ENTRY)
-        keys = entries[["h", "fp"]].copy().astype([("h", "<u8"), ("fp", "<u4")]).tobytes()
-        last = {keys[12 * k : 12 * k + 12]: d for k, d in enumerate(entries["last"].tolist())}
+        prints = np.empty(drops.num_rows, dtype=PRINT)
+        prints["h"], prints["fp"] = drops.column(1).to_numpy().view(np.uint64), drops.column(2).to_numpy().view(np.uint32)
+        keys = prints.tobytes()
+        last = {keys[12 * k : 12 * k + 12]: d for k, d in enumerate(drops.column(3).to_pylist())}
         texts, n_lines, n_dropped = [], [], []
         for doc, text in zip(docs.column(id_at).to_pylist(), docs.column(text_at).to_pylist(), strict=True):
             doc, text = NO_ID if doc is None else doc, text or ""
@@ -193,8 +187,8 @@ def dedup_lines(
     dealt = add_chunk(docs, chunks, id_col, text_col, name)
     places = (len(columns), columns.index(id_col), columns.index(text_col))
     # Over all columns, as the rewriting below: one exchange serves both.
-    asked = dealt.mapInArrow(_asked(places, min_chars, chunks), "shard int, chunk int, entries binary")
-    drops = asked.repartition(chunks, "shard").groupBy("shard").applyInPandas(_probed(min_docs), "chunk int, entries binary")
+    asked = dealt.mapInArrow(_asked(places, min_chars, chunks), "shard int, chunk int, h long, fp int, n int, last long")
+    drops = asked.repartition(chunks, "shard").groupBy("shard").applyInPandas(_probed(min_docs), "chunk int, h long, fp int, last long")
     fields = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), "kept_text string", "n_lines long", "n_dropped long"])
     pairs = dealt.groupBy(name).cogroup(drops.repartition(chunks, "chunk").groupBy("chunk"))
     return pairs.applyInArrow(_rewritten(*places[1:], min_chars), fields)

@@ -118,17 +118,6 @@ def mix(h: np.ndarray, seed: int) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def by_shard(h: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(shard, positions of its keys), keys dealt by a hash of their own."""
-    if not len(h):
-        return
-    owner = (mix(h, 77) % np.uint64(shards)).astype(np.int64)
-    order = np.argsort(owner, kind="stable")
-    cuts = np.flatnonzero(np.diff(owner[order])) + 1
-    for part in np.split(order, cuts):
-        yield int(owner[part[0]]), part
-
-
 def squeeze(values: np.ndarray) -> bytes:
     """Unsigned 32-bit numbers in few bytes: the bytes of one weight stand together, then zstd."""
     import zstandard
@@ -151,14 +140,3 @@ def squeeze_sorted(values: np.ndarray) -> bytes:
 
 def expand_sorted(packed: bytes) -> np.ndarray:
     return np.cumsum(expand(packed), dtype=np.uint64).astype(np.uint32)
-
-
-def unpack(values, dtype) -> np.ndarray:
-    """The arrays of several rows as one."""
-    parts = [np.frombuffer(v, dtype=dtype) for v in values]
-    return np.concatenate(parts) if parts else np.empty(0, dtype=dtype)
-
-
-def lengths(values, dtype) -> np.ndarray:
-    size = np.dtype(dtype).itemsize
-    return np.array([len(v) // size for v in values], dtype=np.int64)
