@@ -35,6 +35,8 @@ PART_CHARS, BLOCK_CHARS, BLOCK_DOCS, PACKET_BYTES = 2_000_000, 24_000_000, 200_0
 TILE, FRAGMENT = 512, 2048
 #: Classes, and n-grams of these, that one task compares; larger groups go over several tasks.
 GROUP_CLASSES, GROUP_TOKENS = 512, 1_500_000
+#: Parts of the classes that share a frequent n-gram.
+SALTS = 16
 #: Cells of the distance to a hub in one link's reach.
 CELLS = 4
 #: Documents whose ids may be broadcast; beyond that the join is a shuffle.
@@ -381,9 +383,13 @@ def keep_one(docs: DataFrame, words: int = 5, threshold: Fraction = Fraction(4,
 def _groups(heads: DataFrame) -> DataFrame:
     """node, label: classes connected through the n-grams of their prefixes get one label, the least node."""
     heads = heads.checkpoint()
-    # Each n-gram ties its classes to the least of them; one that stands in one prefix only gives a loop.
-    low = heads.groupBy("token").agg(F.min("node").alias("low"), F.count("*").alias("c")).filter("c > 1").select("token", "low")
-    ties = heads.join(low, "token").select("node", "low").filter("node <> low").distinct()
+    # Each n-gram ties its classes to the least of them: within salted parts first, so that a frequent one is no hot key,
+    # then the parts' least classes to each other.
+    salted = heads.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    parts = salted.groupBy("token", "salt").agg(F.min("node").alias("low"), F.count("*").alias("c"))
+    least = parts.groupBy("token").agg(F.min("low").alias("least"), F.count("*").alias("n")).filter("n > 1").select("token", "least")
+    ties = salted.join(parts.filter("c > 1").select("token", "salt", "low"), ["token", "salt"]).select("node", "low")
+    ties = ties.unionByName(parts.join(least, "token").select(F.col("low").alias("node"), F.col("least").alias("low"))).filter("node <> low").distinct()
     label = components(ties, ("node", "low"))
     return heads.select("node").distinct().join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
 

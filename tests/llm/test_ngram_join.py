@@ -105,3 +105,33 @@ def test_repeated_rows_null_ids_and_empty(spark):
     out = ngram_join.jaccard_components(docs(spark, [text, text, text, "other"], [7, None, 7, None])).collect()
     assert sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in out) == [(0, 1, 0), (0, 2, 7), (7, 2, 7), (7, 2, 7)]
     assert ngram_join.jaccard_components(docs(spark, [])).count() == 0
+
+
+def test_keep_one_keeps_clashing_columns(spark):
+    text = "one two three four five six seven"
+    df = spark.createDataFrame([(7, text, "a"), (3, text, "b"), (5, "something else entirely here now", "c"), (None, text, "d"), (9, None, "e")], "doc_id long, text string, stays string")
+    got = sorted(((r.doc_id, r.stays) for r in ngram_join.keep_one(df).collect()), key=str)
+    assert got == [(3, "b"), (5, "c"), (9, "e")] and ngram_join.keep_one(df).columns == df.columns
+    assert ngram_join.keep_one(df.limit(0)).count() == 0
+
+
+def test_packets_do_not_grow_with_texts(spark):
+    """A task's texts reach a shard in one packet, however many parts they are hashed in."""
+    rng = random.Random(2)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(50)) for _ in range(300)]
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), pa.array(texts)], ["id", "text"])
+    asked = [row for out in _asked(batch, parts=3000) for row in out.to_pylist()]
+    whole = [row for out in _asked(batch, parts=10**9) for row in out.to_pylist()]
+    assert len(asked) == len(whole) == 8 + 1
+    assert {(r["shard"], len(r["hashes"])) for r in asked} == {(r["shard"], len(r["hashes"])) for r in whole}
+
+
+def _asked(batch, parts):
+    from unittest import mock
+
+    import pyspark
+
+    with mock.patch.object(ngram_join, "PART_CHARS", parts), mock.patch.object(pyspark.TaskContext, "get", return_value=mock.Mock(partitionId=lambda: 0)):
+        return list(ngram_join._ask(4, 8)(iter([batch])))
