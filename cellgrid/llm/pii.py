@@ -451,7 +451,7 @@ def finder(model: Tagger) -> Callable[[list[str]], list[list[Span]]]:
 
 
 #: Characters that a task tags at once.
-TASK_CHARS = 1_000_000
+TASK_CHARS = 400_000
 
 
 def find_pii(docs: DataFrame, model: Tagger, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
