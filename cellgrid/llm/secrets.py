@@ -177,29 +177,53 @@ def candidates(index: DataFrame, queries: dict[str, Query]) -> DataFrame:
     )
 
 
-def _spans(rule: Rule, order: int) -> Column:
+SPANS = "array<struct<start:int,order:int,end:int,kind:string>>"
+#: Matches of a text whose places are added up together; blocks keep the work in proportion to the matches.
+BLOCK_MATCHES = 256
+
+
+def _steps(rule: Rule, found: str) -> Column:
+    """array<struct<size, gap, value>> of the matches in a column: their lengths, what lies before each, and its value's
+    length. The text is cut up only where there are matches."""
+    matches = F.col(found)
+    sizes = F.transform(matches, F.length)
+    gaps = F.transform(F.slice(F.split("text", rule.pattern, -1), F.lit(1), F.size(matches)), F.length)
+    values = sizes if rule.group == 0 else F.transform(F.regexp_extract_all("text", F.lit(rule.pattern), F.lit(rule.group)), F.length)
+    zipped = F.arrays_zip(sizes.alias("size"), gaps.alias("gap"), values.alias("value"))
+    return F.when(F.size(matches) > 0, zipped).otherwise(F.array().cast("array<struct<size:int,gap:int,value:int>>"))
+
+
+def _block(steps: Column, b: Column) -> Column:
+    return F.slice(steps, b * BLOCK_MATCHES + 1, F.lit(BLOCK_MATCHES))
+
+
+def _blocks(steps: Column) -> Column:
+    """Numbers of the blocks of a list of matches that isn't empty."""
+    return F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / BLOCK_MATCHES).cast("int"))
+
+
+def _offsets(steps: Column) -> Column:
+    """Where each block of matches begins in the text."""
+    sums = F.transform(_blocks(steps), lambda b: F.aggregate(_block(steps, b), F.lit(0), lambda s, x: s + x["gap"] + x["size"]))
+    placed = F.aggregate(sums, F.array(F.lit(0)), lambda s, v: F.concat(s, F.array(F.element_at(s, -1) + v)))
+    return F.when(F.size(steps) > 0, placed)
+
+
+def _spans(rule: Rule, order: int, steps: Column, offsets: Column) -> Column:
     """array<struct<start, order, end, kind>> of the rule's matches: leftmost, not overlapping, in code points."""
-    regex, text = F.lit(rule.pattern), F.col("text")
-    matches = F.regexp_extract_all(text, regex, F.lit(0))
-    between = F.split(text, rule.pattern, -1)
-    steps = F.arrays_zip(
-        F.transform(matches, F.length).alias("size"),
-        F.transform(F.slice(between, F.lit(1), F.size(matches)), F.length).alias("gap"),
-        F.transform(F.regexp_extract_all(text, regex, F.lit(rule.group)), F.length).alias("value"),
-    )
-    span = "array<struct<start:int,order:int,end:int,kind:string>>"
 
     def step(state: Column, x: Column) -> Column:
         start = state["at"] + x["gap"]
         end = start + x["size"]
         one = F.array(F.struct(start.alias("start"), F.lit(order).alias("order"), end.alias("end"), F.lit(rule.kind).alias("kind")))
-        kept = F.when(x["value"] >= rule.least, F.concat(state["spans"], one.cast(span))).otherwise(state["spans"])
+        kept = F.when(x["value"] >= rule.least, F.concat(state["spans"], one.cast(SPANS))).otherwise(state["spans"])
         return F.struct(end.alias("at"), kept.alias("spans"))
 
-    empty = F.array().cast(span)
-    start = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
-    every = F.aggregate(steps, start, step, lambda state: state["spans"])
-    return F.when(F.regexp_like(text, regex), every).otherwise(empty)
+    def block(b: Column) -> Column:
+        start = F.struct(F.get(offsets, b).alias("at"), F.array().cast(SPANS).alias("spans"))
+        return F.aggregate(_block(steps, b), start, step, lambda state: state["spans"])
+
+    return F.when(F.size(steps) > 0, F.flatten(F.transform(_blocks(steps), block))).otherwise(F.array().cast(SPANS))
 
 
 def scan(
@@ -217,12 +241,16 @@ def scan(
     if wanted:
         blocks = max(1, math.ceil(docs.count() / BLOCK_ROWS))
         every = rows.join(candidates(postings(rows, wanted, blocks), queries), "_key", "left")
-    empty = F.array().cast("array<struct<start:int,order:int,end:int,kind:string>>")
-    parts = [
-        F.when(F.array_contains("kinds", r.kind), _spans(r, k)).otherwise(empty) if r.kind in queries else _spans(r, k)
-        for k, r in enumerate(rules)
-    ]
-    return every.select(F.col("id").alias(id_col), F.array_sort(F.concat(*parts)).alias("spans"))
+    # One step a projection: what a step finds is worked out once, however often the next one looks at it.
+    numbers = range(len(rules))
+    none = F.array().cast("array<string>")
+    every_match = [F.regexp_extract_all("text", F.lit(r.pattern), F.lit(0)) for r in rules]
+    matches = [F.when(F.array_contains("kinds", r.kind), m).otherwise(none) if r.kind in queries else m for r, m in zip(rules, every_match, strict=True)]
+    found = every.select("id", "text", *[m.alias(f"_m{k}") for k, m in enumerate(matches)])
+    found = found.select("id", *[_steps(r, f"_m{k}").alias(f"_s{k}") for k, r in enumerate(rules)])
+    found = found.select("id", *[f"_s{k}" for k in numbers], *[_offsets(F.col(f"_s{k}")).alias(f"_o{k}") for k in numbers])
+    parts = [_spans(r, k, F.col(f"_s{k}"), F.col(f"_o{k}")) for k, r in enumerate(rules)]
+    return found.select(F.col("id").alias(id_col), F.array_sort(F.concat(*parts)).alias("spans"))
 
 
 def digests(scanned: DataFrame, base: tuple[Rule, ...] = BASE, id_col: str = "doc_id") -> DataFrame:

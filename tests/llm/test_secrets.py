@@ -53,3 +53,11 @@ def test_further_kinds_null_ids_and_empty(spark):
     rows = secrets.digests(secrets.scan(docs(spark, texts, [None, 1]))).collect()
     assert len(rows) == 2 and all("pem:2:33,forge:34:74,hex:38:74" == r.spans for r in rows)
     assert secrets.scan(docs(spark, [])).count() == 0
+
+
+def test_many_matches_in_one_text(spark):
+    texts = ["é token=geheim12, " * 20_000, "secret:abcdef " * 256, "secret:abcdef " * 257 + "secret:ab"]
+    got = {r.doc_id: [(x.start, x.end) for x in r.spans] for r in secrets.scan(docs(spark, texts)).collect()}
+    for k, text in enumerate(texts, 1):
+        want = [m.span() for m in re.finditer(r"(?:token|secret)[:=][a-z0-9]{6,}", text)]
+        assert got[k] == want
