@@ -8,7 +8,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellgrid.llm import byte_bpe, exact_dedup, line_dedup, lm_score, ngram_join, packing, pii, secrets, toxicity, vector_tree
+from cellgrid.llm import byte_bpe, exact_dedup, line_dedup, lm_score, ngram_join, packing, pii, secrets, toxicity, vector_codes, vector_tree
 from cellgrid.session import read_table
 
 
@@ -85,12 +85,16 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_documents(spark, sf_dir), words=4, threshold=Fraction(85, 100))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+
+
 def pii_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of op1_pii that the base patterns alone decide."""
     return op1_pii(spark, sf_dir).drop("spans")
 
 
-QUERIES = {q.__name__: q for q in (pii_base, op1_pii, op2_toxicity, op3_exact_dedup, op4_byte_bpe, op5_lm_scoring, op6_line_dedup, op7_secrets, op8_vector_tree, op9_packing, op10_ngram_join)}
+QUERIES = {q.__name__: q for q in (pii_base, op1_pii, op2_toxicity, op3_exact_dedup, op4_byte_bpe, op5_lm_scoring, op6_line_dedup, op7_secrets, op8_vector_tree, op9_packing, op10_ngram_join, op11_vector_codes)}
 
 
 
@@ -114,7 +118,30 @@ def _listed(spans: str) -> str:
     return f"coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, o) FILTER ({spans}), '')"
 
 
+def _codes_sql(rounds: int) -> str:
+    """The codebooks of so many rounds, each a pair of tables: the nearest entries of all parts, and the moved entries."""
+
+    def assigned(k: int) -> str:
+        return f"""a{k} AS MATERIALIZED (SELECT vec_id, part, arg_min(entry, d * 16 + entry) AS entry, min(d) AS d FROM (
+            SELECT parts.vec_id, parts.part, c.entry, list_sum(list_transform(list_zip(parts.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM parts JOIN c{k} c USING (part)) GROUP BY ALL)"""
+
+    steps = []
+    for k in range(rounds):
+        steps.append(assigned(k))
+        steps.append(f"""c{k + 1} AS MATERIALIZED (SELECT c.part, c.entry, coalesce(m.x, c.x) AS x FROM c{k} c LEFT JOIN (
+            SELECT part, entry, list(v ORDER BY j) AS x FROM (SELECT a.part, a.entry, j, CAST(floor(sum(x[j]) / count(*)) AS BIGINT) AS v
+            FROM (SELECT part, entry, x, unnest(range(1, len(x) + 1)) AS j FROM a{k} JOIN parts USING (vec_id, part)) a GROUP BY ALL) GROUP BY ALL) m USING (part, entry))""")
+    steps.append(assigned(rounds))
+    return f"""WITH kept AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda v: CAST(floor(4096 * CAST(v AS DOUBLE)) AS BIGINT)) AS x FROM embeddings WHERE embedding IS NOT NULL AND NOT list_bool_or(list_transform(embedding, lambda v: v IS NULL OR NOT isfinite(v)))),
+        parts AS MATERIALIZED (SELECT vec_id, p AS part, x[p * (len(x) // 8) + 1:(p + 1) * (len(x) // 8)] AS x FROM (SELECT vec_id, x, unnest(range(0, 8)) AS p FROM kept)),
+        c0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x FROM parts WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 16)), {", ".join(steps)},
+        codes AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id)
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+        (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) FROM c{rounds}) AS codebooks_sha256 FROM codes JOIN kept USING (vec_id)"""
+
+
 ORACLE_SQL = {
+    "op11_vector_codes": _codes_sql(vector_codes.ROUNDS),
     "pii_base": f"""WITH {_TEXTS}, found AS (
         {_matches("email", 0, "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+([.][A-Za-z0-9-]+)+", 0, "true")} UNION ALL {_matches("ip", 1, "[0-9]+([.][0-9]+)([.][0-9]+)([.][0-9]+)", 0, _PARTS)} UNION ALL
         {_matches("card", 2, "[0-9]([ -]?[0-9])+", 0, f"length({_DIGITS}) BETWEEN 14 AND 19 AND {_LUHN}")} UNION ALL {_matches("phone", 3, "[+][0-9][ ().0-9-]+[0-9]", 0, f"length({_DIGITS}) BETWEEN 10 AND 15")})
