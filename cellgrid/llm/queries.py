@@ -8,7 +8,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellgrid.llm import byte_bpe, exact_dedup, line_dedup, lm_score, ngram_join, packing, pii, secrets, toxicity, vector_codes, vector_tree
+from cellgrid.llm import byte_bpe, exact_dedup, lattice_dedup, line_dedup, lm_score, ngram_join, packing, pii, secrets, toxicity, vector_codes, vector_tree
 from cellgrid.session import read_table
 
 
@@ -89,12 +89,16 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
 
 
+def op12_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def pii_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of op1_pii that the base patterns alone decide."""
     return op1_pii(spark, sf_dir).drop("spans")
 
 
-QUERIES = {q.__name__: q for q in (pii_base, op1_pii, op2_toxicity, op3_exact_dedup, op4_byte_bpe, op5_lm_scoring, op6_line_dedup, op7_secrets, op8_vector_tree, op9_packing, op10_ngram_join, op11_vector_codes)}
+QUERIES = {q.__name__: q for q in (pii_base, op1_pii, op2_toxicity, op3_exact_dedup, op4_byte_bpe, op5_lm_scoring, op6_line_dedup, op7_secrets, op8_vector_tree, op9_packing, op10_ngram_join, op11_vector_codes, op12_lattice_dedup)}
 
 
 
@@ -142,6 +146,13 @@ def _codes_sql(rounds: int) -> str:
 
 ORACLE_SQL = {
     "op11_vector_codes": _codes_sql(vector_codes.ROUNDS),
+    "op12_lattice_dedup": """
+        WITH RECURSIVE v AS MATERIALIZED (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND NOT list_bool_or(list_transform(embedding, lambda v: v IS NULL OR NOT isfinite(v))) AND list_bool_or(list_transform(embedding, lambda v: v <> 0))),
+        l AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.x, b.x) >= 0.93),
+        reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a),
+        n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+        SELECT vec_id, coalesce(max(n), 0) AS n_links, min(b) AS component_id, vec_id = min(b) AS kept FROM embeddings JOIN reach ON reach.a = vec_id LEFT JOIN n ON n.a = vec_id GROUP BY vec_id""",
     "pii_base": f"""WITH {_TEXTS}, found AS (
         {_matches("email", 0, "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+([.][A-Za-z0-9-]+)+", 0, "true")} UNION ALL {_matches("ip", 1, "[0-9]+([.][0-9]+)([.][0-9]+)([.][0-9]+)", 0, _PARTS)} UNION ALL
         {_matches("card", 2, "[0-9]([ -]?[0-9])+", 0, f"length({_DIGITS}) BETWEEN 14 AND 19 AND {_LUHN}")} UNION ALL {_matches("phone", 3, "[+][0-9][ ().0-9-]+[0-9]", 0, f"length({_DIGITS}) BETWEEN 10 AND 15")})
