@@ -8,7 +8,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellgrid.llm import byte_bpe, exact_dedup, lattice_dedup, line_dedup, lm_score, ngram_join, packing, pii, secrets, toxicity, vector_codes, vector_tree
+from cellgrid.llm import byte_bpe, exact_dedup, lattice_dedup, line_dedup, lm_score, ngram_join, packing, phrases, pii, secrets, toxicity, vector_codes, vector_tree
 from cellgrid.session import read_table
 
 
@@ -93,12 +93,16 @@ def op12_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_documents(spark, sf_dir), least=30, top=2000)
+
+
 def pii_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of op1_pii that the base patterns alone decide."""
     return op1_pii(spark, sf_dir).drop("spans")
 
 
-QUERIES = {q.__name__: q for q in (pii_base, op1_pii, op2_toxicity, op3_exact_dedup, op4_byte_bpe, op5_lm_scoring, op6_line_dedup, op7_secrets, op8_vector_tree, op9_packing, op10_ngram_join, op11_vector_codes, op12_lattice_dedup)}
+QUERIES = {q.__name__: q for q in (pii_base, op1_pii, op2_toxicity, op3_exact_dedup, op4_byte_bpe, op5_lm_scoring, op6_line_dedup, op7_secrets, op8_vector_tree, op9_packing, op10_ngram_join, op11_vector_codes, op12_lattice_dedup, op13_phrases)}
 
 
 
@@ -146,6 +150,19 @@ def _codes_sql(rounds: int) -> str:
 
 ORACLE_SQL = {
     "op11_vector_codes": _codes_sql(vector_codes.ROUNDS),
+    "op13_phrases": r"""
+        WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        cut AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        grams AS (SELECT lang, g.k AS k, w, unnest(range(1, len(w) - g.k + 2)) AS i FROM cut, (SELECT unnest([1, 2, 3, 4]) AS k) g WHERE len(w) >= g.k),
+        f AS MATERIALIZED (SELECT lang, w[i:i + k - 1] AS p, k, count(*) AS f FROM grams GROUP BY ALL),
+        n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+        c AS MATERIALIZED (SELECT lang, p, k, f AS a FROM f WHERE k > 1 AND f >= 30),
+        cuts AS (SELECT c.lang, c.p, c.a, j, l.f AS l, r.f AS r, CAST(2000000 * CAST(a AS HUGEINT) // (l.f + r.f) AS BIGINT) AS score FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+        JOIN f l ON l.lang = c.lang AND l.p = c.p[1:j] JOIN f r ON r.lang = c.lang AND r.p = c.p[j + 1:]),
+        best AS (SELECT lang, p, a, l, r, score FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, j) = 1),
+        longer AS (SELECT lang, p[i:i + m - 1] AS p, max(a) AS longer FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c)) GROUP BY ALL)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank, array_to_string(p, ' ') AS phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+        FROM best LEFT JOIN longer USING (lang, p) JOIN n USING (lang) WHERE longer IS NULL OR 100 * longer < 80 * a QUALIFY rank <= 2000""",
     "op12_lattice_dedup": """
         WITH RECURSIVE v AS MATERIALIZED (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
         AND NOT list_bool_or(list_transform(embedding, lambda v: v IS NULL OR NOT isfinite(v))) AND list_bool_or(list_transform(embedding, lambda v: v <> 0))),
