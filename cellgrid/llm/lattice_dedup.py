@@ -17,7 +17,7 @@ import itertools
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -83,6 +83,13 @@ def _times(x: np.ndarray, m: np.ndarray) -> np.ndarray:
     return out
 
 
+@lru_cache(maxsize=2 * MOST_TABLES)
+def _projected(size: int, width: int, seed: int, table: int) -> tuple[np.ndarray, np.ndarray]:
+    """A table's random projection, and where its lattices are moved to."""
+    rng = np.random.default_rng((seed, table))
+    return rng.normal(size=(size, width)), rng.random(width) * 2
+
+
 @dataclass
 class Lattices:
     """Tables of projections for vectors of one size; the same seed gives the same tables everywhere."""
@@ -100,8 +107,8 @@ class Lattices:
         return np.stack(made, 1)
 
     def _table(self, units: np.ndarray, labels: np.ndarray, table: int) -> np.ndarray:
-        rng = np.random.default_rng((self.seed, table))
-        z = _times(units, rng.normal(size=(self.size, 8 * self.blocks)) / self.width) + rng.random(8 * self.blocks) * 2
+        projection, offset = _projected(self.size, 8 * self.blocks, self.seed, table)
+        z = _times(units, projection / self.width) + offset
         n, most = len(units), self.visits + 1
         hashes, cost = mix(labels.astype(np.uint64), table + 1)[:, None], np.zeros((n, 1))
         for b in range(self.blocks):
@@ -109,7 +116,8 @@ class Lattices:
             home = decode(own)
             steps = minimal_vectors()
             far = 2 - 2 * _times(own - home, steps.T)  # how much farther the neighbour lies, squared
-            near = np.argsort(far, axis=1, kind="stable")[:, : self.visits]
+            near = np.argpartition(far, self.visits, axis=1)[:, : self.visits]
+            near = np.take_along_axis(near, np.argsort(np.take_along_axis(far, near, 1), axis=1, kind="stable"), 1)
             far = np.concatenate((np.zeros((n, 1)), np.take_along_axis(far, near, 1)), 1)
             points = np.concatenate((home[:, None], home[:, None] + steps[near]), 1)
             cell = np.full(points.shape[:2], 7, np.uint64)
@@ -205,41 +213,43 @@ def _linked(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[np.ndarray,
 def _compared(made: Lattices, threshold: float):
     """For a task's rows (tile, side, key, home, node, mult, ball, label, lab, vec): node, links, root (null: none)."""
 
-    def tile(own: pd.DataFrame, units: np.ndarray) -> pd.DataFrame | None:
-        side = own["side"].to_numpy()
-        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == (1 if side.any() else 0))
+    def linked(rows: np.ndarray, of: dict[str, np.ndarray], units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the linked pairs of one tile that may meet there."""
+        side = of["side"][rows]
+        left, right = rows[side == 0], rows[side == (1 if side.any() else 0)]
         i, j = _linked(units[left], units[right], threshold)
         i, j = left[i], right[j]
-        node, ball, label, home, mult = (own[c].to_numpy() for c in ("node", "ball", "label", "home", "mult"))
-        keep = (node[i] != node[j]) & (label[i] == label[j]) & (home[i] + home[j] > 0) & ((ball[i] != ball[j]) | (ball[i] == 0))
-        if not side.any():
-            keep &= i < j
-        i, j = i[keep], j[keep]
-        if not len(i):
-            return None
-        used, place = np.unique(np.concatenate((i, j)), return_inverse=True)
-        keys = made.keys(units[used], own["lab"].to_numpy()[used])
-        here = own["key"].to_numpy()[:1].astype(np.uint64)
-        x, y = place[: len(i)], place[len(i) :]
-        ours = [made.first(keys[x[k : k + PAIRS]], keys[y[k : k + PAIRS]]) == here for k in range(0, len(x), PAIRS)]
-        ours = np.concatenate(ours)
-        x, y = x[ours], y[ours]
-        mult, node = mult[used], node[used]
-        links = np.zeros(len(used), np.int64)
+        keep = (of["node"][i] != of["node"][j]) & (of["label"][i] == of["label"][j]) & (of["home"][i] + of["home"][j] > 0)
+        keep &= (of["ball"][i] != of["ball"][j]) | (of["ball"][i] == 0)
+        return (i[keep], j[keep]) if side.any() else (i[keep & (i < j)], j[keep & (i < j)])
+
+    def counted(i: np.ndarray, j: np.ndarray, of: dict[str, np.ndarray], units: np.ndarray) -> pd.DataFrame:
+        """Sums and a spanning forest of the pairs that first meet in the cell of their rows."""
+        node, row, place = np.unique(of["node"][np.concatenate((i, j))], return_index=True, return_inverse=True)
+        row = np.concatenate((i, j))[row]
+        keys = np.concatenate([made.keys(units[row[k : k + 1024]], of["lab"][row[k : k + 1024]]) for k in range(0, len(row), 1024)])
+        x, y, here = place[: len(i)], place[len(i) :], of["key"][i].astype(np.uint64)
+        ours = np.concatenate([made.first(keys[x[k : k + PAIRS]], keys[y[k : k + PAIRS]]) == here[k : k + PAIRS] for k in range(0, len(x), PAIRS)])
+        x, y, mult = x[ours], y[ours], of["mult"][row]
+        links = np.zeros(len(node), np.int64)
         np.add.at(links, x, mult[y])
         np.add.at(links, y, mult[x])
-        order = np.argsort(node, kind="stable")
-        rank = np.empty_like(order)
-        rank[order] = np.arange(len(order))
-        root = node[order][_unite(len(node), rank[x], rank[y])[rank]]
         some = links > 0
-        return pd.DataFrame({"node": node[some], "links": links[some], "root": root[some]})
+        return pd.DataFrame({"node": node[some], "links": links[some], "root": node[_unite(len(node), x, y)][some]})
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         units = unit(np.stack(pdf["vec"].to_numpy()).astype(np.float64))
-        pdf = pdf.drop(columns="vec")
-        out = [tile(pdf.iloc[rows], units[rows]) for rows in pdf.groupby("tile", sort=False).indices.values() if len(rows) > 1]
-        out = [o for o in out if o is not None]
+        of = {c: pdf[c].to_numpy() for c in ("side", "key", "home", "node", "mult", "ball", "label", "lab")}
+        out, pairs, held = [], [], 0
+        for rows in pdf.groupby("tile", sort=False).indices.values():
+            if len(rows) > 1:
+                pairs.append(linked(rows, of, units))
+                held += len(pairs[-1][0])
+            if held >= 10 * PAIRS:
+                out.append(counted(*(np.concatenate(p) for p in zip(*pairs, strict=True)), of, units))
+                pairs, held = [], 0
+        if held:
+            out.append(counted(*(np.concatenate(p) for p in zip(*pairs, strict=True)), of, units))
         return pd.concat(out) if out else pd.DataFrame({"node": [], "links": [], "root": []}, dtype=np.int64)
 
     return run
@@ -299,7 +309,7 @@ def near_duplicates(
     schema = "node long, ball long, key long, home int"
     first = bare.mapInArrow(_cells(made, True), schema).select("node", F.when(F.col("key") == 0, 1).otherwise(F.col("key")).alias("key"))
     placed = classes.join(first, "node")
-    hubs = placed.groupBy("key", "label").agg(F.count("*").alias("n"), F.min_by("vec", F.xxhash64("node")).alias("hub")).filter(F.col("n") >= BALL_LEAST)
+    hubs = placed.groupBy("key", "label").agg(F.count("*").alias("n"), F.min_by("vec", F.xxhash64("node")).alias("hub")).filter(F.col("n") >= BALL_LEAST).checkpoint()
     balls = placed.join(hubs, ["key", "label"]).select("node", F.col("key").alias("ball"), "vec", "hub").mapInArrow(_in_ball(threshold), "node long, ball long")
     nodes = classes.join(balls, "node", "left").select("node", F.coalesce("ball", F.lit(0)).alias("ball"), "lab", F.col("label").cast("string").alias("label"), "mult", "vec").checkpoint()
 
