@@ -7,6 +7,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellgrid.operators.quantiles import joined, percentiles
+
 
 def finite(value: Column) -> Column:
     """Null for NaN and infinities."""
@@ -28,11 +30,15 @@ def weighted_share(condition: Column, weight: Column) -> Column:
     return 100 * F.try_divide(F.sum(F.when(condition, weight).otherwise(0.0)), F.sum(weight))
 
 
-def zonal(cells: DataFrame, keys: Sequence[str], metrics: Mapping[str, Column], total: bool = False) -> DataFrame:
-    """One row for each zone, and one of null keys for all of them together if total."""
+def zonal(cells: DataFrame, keys: Sequence[str], metrics: Mapping[str, Column], total: bool = False, points: Mapping[str, tuple[str, float]] | None = None) -> DataFrame:
+    """One row for each zone, and one of null keys for all of them together if total. points, of zones only: names of exact
+    percentiles, each with its value column and fraction."""
     aggs = [c.alias(n) for n, c in metrics.items()]
     if not total:
-        return cells.groupBy(*keys).agg(*aggs)
+        out = cells.groupBy(*keys).agg(*aggs)
+        for value in dict.fromkeys(v for v, _ in (points or {}).values()):
+            out = joined(out, percentiles(cells, keys, value, {n: q for n, (v, q) in points.items() if v == value}), keys, "left")
+        return out
     return cells.groupingSets([[F.col(k) for k in keys], []], *keys).agg(*aggs)
 
 
@@ -49,9 +55,8 @@ def weighted_median(df: DataFrame, keys: Sequence[str], value: str, weight: str)
 
 def profile(df: DataFrame, keys: Sequence[str], value: str, shares: Sequence[float] = (0.1, 0.5, 0.9)) -> DataFrame:
     """min, mean, max, count and interpolated percentiles pNN."""
-    points = F.percentile(value, F.array(*[F.lit(q) for q in shares]))
-    out = df.groupBy(*keys).agg(F.min(value).alias("min"), F.avg(value).alias("mean"), F.max(value).alias("max"), F.count(value).alias("n"), points.alias("_p"))
-    return out.select(*keys, "min", "mean", "max", "n", *[F.col("_p")[k].alias(f"p{round(100 * q)}") for k, q in enumerate(shares)])
+    out = df.groupBy(*keys).agg(F.min(value).alias("min"), F.avg(value).alias("mean"), F.max(value).alias("max"), F.count(value).alias("n"))
+    return joined(out, percentiles(df, keys, value, {f"p{round(100 * q)}": q for q in shares}), keys, "left")
 
 
 #: Rows that one task may sort for an exact percentile.
@@ -95,9 +100,10 @@ def with_threshold(df: DataFrame, value: str, quantile: float, name: str = "thre
 
 def tukey_flags(df: DataFrame, keys: Sequence[str], value: str, least: int = 10, factor: float = 1.5) -> DataFrame:
     """Adds outlier: above the upper fence of its group, if the group has enough rows."""
-    fences = df.groupBy(*keys).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.75))).alias("_q"), F.count(value).alias("_n"))
-    high = F.col("_q")[1] + factor * (F.col("_q")[1] - F.col("_q")[0])
-    return df.join(fences, list(keys)).withColumn("outlier", (F.col("_n") >= least) & (F.col(value) > high)).drop("_q", "_n")
+    sizes = df.groupBy(*keys).agg(F.count(value).alias("_n"))
+    fences = joined(sizes, percentiles(df, keys, value, {"_a": 0.25, "_b": 0.75}), keys, "left")
+    high = F.col("_b") + factor * (F.col("_b") - F.col("_a"))
+    return df.join(fences, list(keys)).withColumn("outlier", (F.col("_n") >= least) & (F.col(value) > high)).drop("_a", "_b", "_n")
 
 
 def class_shares(df: DataFrame, keys: Sequence[str], kind: str, area: Column | None = None) -> DataFrame:

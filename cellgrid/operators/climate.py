@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellgrid.operators.quantiles import joined, order_statistics, percentiles
 from cellgrid.operators.series import trailing
 
 #: Standard atmosphere (fixed values): share of pressure lost with height, exponent, reference temperature in kelvin.
@@ -141,13 +142,18 @@ def station_scores(both: DataFrame, keys: Sequence[str], day: str, a: str, b: st
 def matched_threshold(both: DataFrame, keys: Sequence[str], a: str, b: str, at: float, least: int = 365) -> DataFrame:
     """n, frequency, threshold: the value of b that is reached as often as a reaches `at` (median-unbiased percentile, one
     decimal), null with too few common rows or where a always or never does."""
-    lists = both.dropna(subset=[a, b]).groupBy(*keys).agg(F.count("*").alias("n"), F.avg((F.col(a) >= at).cast("double")).alias("frequency"), F.array_sort(F.collect_list(b)).alias("_v"))
-    n = F.size("_v")
+    common = both.dropna(subset=[a, b])
+    sizes = common.groupBy(*keys).agg(F.count("*").alias("n"), F.avg((F.col(a) >= at).cast("double")).alias("frequency"))
+    n = F.col("n")
     place = F.greatest(F.lit(1.0), F.least(n.cast("double"), (1 - F.col("frequency")) * (n + 1 / 3) + 1 / 3))
-    low = F.floor(place).cast("int")
-    value = F.get("_v", low - 1) + (place - low) * (F.get("_v", F.least(low, n - 1)) - F.get("_v", low - 1))
+    sizes = sizes.withColumn("_at", place).withColumns({"_lo": F.floor("_at") - 1, "_hi": F.least(F.floor("_at"), n - 1)})
+    found = order_statistics(common, keys, b, sizes.select(*keys, F.explode(F.array("_lo", "_hi")).alias("rank")))
+    wide = joined(sizes, found, keys, "left").groupBy(*keys, "n", "frequency", "_at").agg(
+        F.max(F.when(F.col("rank") == F.col("_lo"), F.col(b))).alias("_l"), F.max(F.when(F.col("rank") == F.col("_hi"), F.col(b))).alias("_h")
+    )
+    value = F.col("_l") + (F.col("_at") - F.floor("_at")) * (F.col("_h") - F.col("_l"))
     good = (F.col("n") >= least) & (F.col("frequency") > 0) & (F.col("frequency") < 1)
-    return lists.select(*keys, "n", "frequency", F.when(good, F.round(value, 1)).alias("threshold"))
+    return wide.select(*keys, "n", "frequency", F.when(good, F.round(value, 1)).alias("threshold"))
 
 
 def yearly_frequency_r(both: DataFrame, keys: Sequence[str], day: str, a: Column, b: Column, days: int = 300, publish: int = 10) -> DataFrame:
@@ -239,7 +245,7 @@ def lag_correlations(wide: DataFrame, keys: Sequence[str], target: str, value: s
 
 def dry_months(wide: DataFrame, keys: Sequence[str], value: str, share: float = 1 / 3) -> DataFrame:
     """The rows whose value is at most the given percentile of their group's."""
-    limits = wide.groupBy(*keys).agg(F.percentile(value, F.lit(share)).alias("_q"))
+    limits = percentiles(wide, keys, value, {"_q": share})
     return wide.join(limits, list(keys)).filter(F.col(value) <= F.col("_q")).drop("_q")
 
 

@@ -149,10 +149,10 @@ def quota_top_k(spark, sf_dir):
 def zonal_stats(spark, sf_dir):
     near = F.col("dist") <= 300
     out = A.zonal(D.cells(spark, sf_dir), ["zone"], {
-        "cells": F.count("*"), "mean": F.avg("value"), "p90": F.percentile("value", F.lit(0.9)),
+        "cells": F.count("*"), "mean": F.avg("value"),
         "weighted": A.weighted_mean(F.col("value"), F.col("weight")), "pct_near": A.share(near),
         "people_near": A.weighted_share(near, F.col("weight")),
-    })
+    }, points={"p90": ("value", 0.9)})
     return rounded(out, "mean", "p90", "weighted", "pct_near", "people_near")
 
 
@@ -221,8 +221,8 @@ def dissimilarity(spark, sf_dir):
     SELECT *, least(rank_area, rank_people, rank_middle) AS best, greatest(rank_area, rank_people, rank_middle) AS worst FROM r""")
 def rank_across_metrics(spark, sf_dir):
     zones = A.zonal(D.cells(spark, sf_dir), ["zone"], {
-        "area": F.round(F.avg("value"), 4), "people": F.round(A.weighted_mean(F.col("value"), F.col("weight")), 4), "middle": F.round(F.median("dist"), 4)
-    })
+        "area": F.round(F.avg("value"), 4), "people": F.round(A.weighted_mean(F.col("value"), F.col("weight")), 4)
+    }, points={"middle": ("dist", 0.5)}).withColumn("middle", F.round("middle", 4))
     return A.rank_metrics(zones, ["area", "people", "middle"])
 
 

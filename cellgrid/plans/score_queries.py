@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cellgrid.functions import text as X
-from cellgrid.operators import allocate, score
+from cellgrid.operators import allocate, scenes, score
 from cellgrid.plans import adapter as D
 from cellgrid.plans.registry import _BASE, _components, query, rounded
 from cellgrid.session import read_table
@@ -82,6 +82,27 @@ def refilled_choice(spark, sf_dir):
     return score.refilled(scenes, "id", "y", "q", [F.desc("v"), F.col("id")], F.col("id") % 3 == 0).select("id", "y", "q")
 
 
+def _passes(count: int, colder: float, share: float, least: int) -> str:
+    """Common tables p0 to p<count - 1>: the cold share and the acceptance of each scene, pass by pass."""
+    steps = []
+    for k in range(count):
+        of, enough = ("stack", "") if k == 0 else (f"stack WHERE scene IN (SELECT scene FROM p{k - 1} WHERE used)", f"HAVING count(*) >= {least}")
+        reference = f"SELECT cell, quantile_cont(v, 0.5) AS r FROM (SELECT * FROM {of}) GROUP BY cell {enough}"
+        steps.append(f"""p{k} AS MATERIALIZED (SELECT scene, s, s < {share} AS used FROM (SELECT scene, coalesce(count(*) FILTER (v < r - {colder}) / nullif(count(r), 0), 0) AS s
+            FROM stack LEFT JOIN ({reference}) USING (cell) GROUP BY scene))""")
+    return ", ".join(steps)
+
+
+@query(f"""WITH stack AS MATERIALIZED (SELECT l_suppkey AS scene, date_trunc('month', l_shipdate) AS cell, CAST(sum(l_quantity) AS DOUBLE) AS v FROM lineitem GROUP BY ALL), {_passes(8, 60.0, 0.25, 3)}
+    SELECT scene, round(p0.s, 9) AS first_share, round(p7.s, 9) AS cold_share, p7.used FROM p0 JOIN p7 USING (scene)""")
+def accepted_scenes(spark, sf_dir):
+    """Suppliers as scenes, months as cells."""
+    month = F.trunc("l_shipdate", "month").alias("cell")
+    stack = read_table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("scene"), month).agg(F.sum("l_quantity").cast("double").alias("v"))
+    out = scenes.accepted(stack.checkpoint(), "scene", ["cell"], "v", colder=60.0, share=0.25, least=3, most_passes=8)
+    return rounded(out.select("scene", "first_share", "cold_share", "used"), "first_share", "cold_share", digits=9)
+
+
 @query()
 def settled_scenes(spark, sf_dir):
     return score.settle(D.cells(spark, sf_dir).select("cell_id", "value"), "value", 4000.0)
