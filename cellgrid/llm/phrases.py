@@ -5,8 +5,8 @@ automaton of bounded depth is grown over them, a level of phrase lengths at a ti
 link to itself without its first word and an edge from itself without its last. Each place counts once, at the longest
 phrase that ends there; sums along the suffix links give the endpos counts. Spark adds up the shards' counts.
 
-A phrase is only as frequent as its parts, so automata grow over frequent words only, and beyond two words only over
-frequent pairs. Links lead from a phrase to the phrases inside it, which it may subsume.
+A phrase is only as frequent as its parts, so lengths come one after the other, and automata grow over frequent words and
+frequent shorter phrases only. Links lead from a phrase to the phrases inside it, which it may subsume.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ BARRIER = b"\xff"
 TO_BARRIER = bytes(0xFF if c in ENDS else c for c in range(256))
 #: Characters of a shard.
 SHARD_CHARS = 16_000_000
-#: Frequent phrases whose hashes (8 bytes each) may be broadcast; with more of them automata grow over all words or pairs.
+#: Frequent phrases of one length whose hashes (8 bytes each) may be broadcast; with more of them all of that length may grow.
 MOST_KNOWN = 4_000_000
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 
@@ -136,50 +136,52 @@ def _within(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[at] == hashes if len(known) else np.zeros(len(hashes), bool)
 
 
-def _phrases(least: int, most: int, words, pairs):
-    """Rows (phrase, f) of a shard's phrases of least to most words. words, pairs: broadcast hashes of the frequent ones,
-    None: all of them may be."""
+def _phrases(length: int, known: list):
+    """Rows (phrase, f) of a shard's phrases of so many words. known: for one word less each, the broadcast hashes of the
+    frequent ones; None: all of them may be."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 names, ids = batch.column(0)[row].values, expand(batch.column(1)[row].as_py()).astype(np.int64)
-                hashes = np.concatenate((np.zeros(1, np.uint64), _hashes(names.to_pylist())))
-                if words is not None:
-                    often = _within(hashes, words.value)
+                words = np.concatenate((np.zeros(1, np.uint64), _hashes(names.to_pylist())))
+                hashes = [words]  # of the nodes of each level
+                if known[0] is not None:
+                    often = _within(words, known[0].value)
                     often[0] = False
                     ids = np.where(often[ids], ids, 0)  # a rare word ends a piece
 
-                def keep(length: int, prefix: np.ndarray, last: np.ndarray, hashes=hashes) -> np.ndarray:
-                    if length > 2 or pairs is None:
-                        return np.ones(len(last), bool)
-                    return _within(_paired(hashes[prefix], hashes[last]), pairs.value)
+                def keep(of: int, prefix: np.ndarray, last: np.ndarray, words=words, hashes=hashes) -> np.ndarray:
+                    own = _paired(hashes[of - 2][prefix], words[last])
+                    stays = np.ones(len(own), bool) if of == length or known[of - 1] is None else _within(own, known[of - 1].value)
+                    hashes.append(np.concatenate((np.zeros(1, np.uint64), own[stays])))
+                    return stays
 
-                levels = automaton(ids, most, keep)
+                levels = automaton(ids, length, keep)
                 bare = pc.replace_substring_regex(names, r"^(?s:.*)\t", "")
                 text = names
-                for length, level in enumerate(levels[1:], 2):
+                for level in levels[1:]:
                     text = pc.binary_join_element_wise(text.take(pa.array(level.prefix[1:] - 1)), bare.take(pa.array(level.last[1:] - 1)), " ")
-                    if length >= least:
-                        for lo in range(0, len(text), 100_000):
-                            f = pa.array(level.count[1:][lo : lo + 100_000])
-                            yield pa.RecordBatch.from_arrays([text.slice(lo, 100_000), f], ["phrase", "f"])
+                for lo in range(0, len(text), 100_000):
+                    f = pa.array(levels[-1].count[1:][lo : lo + 100_000])
+                    yield pa.RecordBatch.from_arrays([text.slice(lo, 100_000), f], ["phrase", "f"])
 
     return run
 
 
 def _known(frequent: DataFrame, most: int):
-    """The hashes of frequent words or pairs, sorted and broadcast; None if there are more of them than most."""
+    """The hashes of frequent phrases of one length, sorted and broadcast; None if there are more of them than most."""
     if frequent.count() > most:
         return None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            head, _, rest = zip(*(t.partition(" ") for t in texts), strict=True) if texts else ((), (), ())
-            own = _hashes(list(head))
-            if any(rest):
-                own = _paired(own, _hashes([f"{h.rpartition('\t')[0]}\t{r}" for h, r in zip(head, rest, strict=True)]))
+            lang, _, words = zip(*(t.rpartition("\t") for t in batch.column(0).to_pylist()), strict=True) if batch.num_rows else ((), (), ())
+            split = [w.split(" ") for w in words]
+            own = np.empty(0, np.uint64)
+            for k in range(len(split[0]) if split else 0):
+                word = _hashes([f"{a}\t{w[k]}" for a, w in zip(lang, split, strict=True)])
+                own = word if k == 0 else _paired(own, word)
             yield pa.RecordBatch.from_arrays([pa.array([own.tobytes()], pa.binary())], ["hashes"])
 
     found = [np.frombuffer(r[0], np.uint64) for r in frequent.select("phrase").mapInArrow(run, "hashes binary").collect()]
@@ -209,13 +211,13 @@ def counted(docs: DataFrame, least: int, most_words: int, lang_col: str, text_co
     n = words.groupBy(of_lang.alias("lang")).agg(F.sum("f").alias("n"))
     frequent = words.filter(F.col("f") >= least)
     shards = shards.select("words", "ids")
-    known = _known(frequent, most_known)
-    for low, high in ((2, min(2, most_words)), (3, most_words)):
-        if low <= high:
-            pairs = _known(level, most_known) if low > 2 else None
-            level = _summed(shards.mapInArrow(_phrases(low, high, known, pairs), "phrase string, f long")).filter(F.col("f") >= least)
-            level = _stored(level, f"{where}/{low}")
-            frequent = frequent.unionByName(level)
+    known = [_known(frequent, most_known)]
+    for length in range(2, most_words + 1):
+        level = _summed(shards.mapInArrow(_phrases(length, known), "phrase string, f long")).filter(F.col("f") >= least)
+        level = _stored(level, f"{where}/{length}")
+        frequent = frequent.unionByName(level)
+        if length < most_words:
+            known.append(_known(level, most_known))
     return n, frequent.select(of_lang.alias("lang"), "phrase", "f")
 
 
