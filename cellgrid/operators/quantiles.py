@@ -23,7 +23,7 @@ CUTS = 64
 def joined(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """A join on keys that may be null; the keys of the left side stay."""
     other = right.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)})
-    same = reduce(lambda a, b: a & b, [left[k].eqNullSafe(other[f"_k{i}"]) for i, k in enumerate(keys)], F.lit(True))
+    same = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)], F.lit(True))
     return left.join(other, same, how).drop(*[f"_k{i}" for i in range(len(keys))])
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from cellgrid.functions.distributions import normal_two_sided, t_quantile, t_two_sided
+from cellgrid.operators.quantiles import joined
+from cellgrid.operators.selection import kendall, slopes
 
 
 def ols_line(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
@@ -20,33 +22,20 @@ def ols_line(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
     )
 
 
-#: Points of a series beyond which its pairs are refused: they grow with the square.
-MOST_POINTS = 20_000
-
-
-def pairs(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
-    """Ordered pairs of a series' points. Meant for annual or monthly series: one of more than MOST_POINTS is an error."""
-    a = df.filter(F.col(y).isNotNull()).select(*keys, F.col(x).alias("x1"), F.col(y).alias("y1"))
-    a = a.withColumn("_n", F.count("*").over(Window.partitionBy(*keys)))
-    a = a.filter(F.when(F.col("_n") <= MOST_POINTS, True).otherwise(F.raise_error(F.lit(f"a series has more than {MOST_POINTS} points")))).drop("_n")
-    b = a.withColumnsRenamed({"x1": "x2", "y1": "y2"})
-    return a.join(b, list(keys)).filter("x1 < x2")
-
-
 def theil_sen(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
-    """Median of the slopes of all pairs of points."""
-    slope = (F.col("y2") - F.col("y1")) / (F.col("x2") - F.col("x1"))
-    return pairs(df, keys, x, y).groupBy(*keys).agg(F.median(slope).alias("slope"), F.count("*").alias("pairs"))
+    """slope, pairs: median of the slopes of all pairs of points of different x, and how many there are; exact at any length."""
+    size = kendall(df, keys, x, y).filter("pairs > 0").select(*keys, "pairs").checkpoint()
+    last = F.col("pairs") - 1
+    found = slopes(df, keys, x, y, size.select(*keys, F.explode(F.array(F.floor(last / 2), F.ceil(last / 2))).alias("rank")))
+    middle = found.groupBy(*keys).agg((F.min("slope") * 0.5 + F.max("slope") * 0.5).alias("slope"))
+    return joined(size, middle, keys).select(*keys, "slope", "pairs")
 
 
 def mann_kendall(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
-    """n, s, variance, z (continuity-corrected, ties counted) and tau of each series."""
-    s = pairs(df, keys, x, y).groupBy(*keys).agg(F.sum(F.signum(F.col("y2") - F.col("y1"))).alias("s"))
-    ties = df.filter(F.col(y).isNotNull()).groupBy(*keys, y).agg(F.count("*").alias("t"))
-    t, n = F.col("t"), F.col("n")
-    size = ties.groupBy(*keys).agg(F.sum("t").alias("n"), F.sum(t * (t - 1) * (2 * t + 5)).alias("_t"))
-    var = (n * (n - 1) * (2 * n + 5) - F.col("_t")) / 18.0
-    out = s.join(size, list(keys)).withColumn("variance", var)
+    """n, s, variance, z (continuity-corrected, ties counted) and tau of each series of two different x or more."""
+    n = F.col("n").cast("double")
+    var = (n * (n - 1) * (2 * n + 5) - F.col("ties")) / 18.0
+    out = kendall(df, keys, x, y).filter("pairs > 0").withColumn("variance", var)
     z = F.when(F.col("s") == 0, 0.0).otherwise(F.try_divide(F.col("s") - F.signum("s"), F.sqrt("variance")))
     return out.select(*keys, "n", "s", "variance", z.alias("z"), (F.col("s") / (n * (n - 1) / 2)).alias("tau"))
 

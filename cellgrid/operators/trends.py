@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from cellgrid.functions.distributions import kendall_exact, normal_two_sided, t_quantile, t_two_sided
-from cellgrid.operators.stats import gram, mann_kendall, ols_line, pairs, welch
+from cellgrid.operators.quantiles import joined
+from cellgrid.operators.selection import kendall, slopes
+from cellgrid.operators.stats import gram, mann_kendall, ols_line, welch
 
 Z95 = 1.959963984540054
 
@@ -49,13 +51,18 @@ def line_errors(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame
 
 def sen(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
     """sen, sen_low, sen_high: median of all pairs' slopes and its 95 % limits, by ranks from Kendall's variance."""
-    slope = (F.col("y2") - F.col("y1")) / (F.col("x2") - F.col("x1"))
-    slopes = pairs(df, keys, x, y).groupBy(*keys).agg(F.median(slope).alias("sen"), F.array_sort(F.collect_list(slope)).alias("_v"))
-    wide = slopes.join(mann_kendall(df, keys, x, y).select(*keys, "variance"), list(keys))
-    size, reach = F.size("_v"), Z95 * F.sqrt("variance")
-    low = F.greatest(F.round((size - reach) / 2).cast("int") - 1, F.lit(0))
-    high = F.least(F.round((size + reach) / 2).cast("int"), size - 1)
-    return wide.select(*keys, "sen", F.get("_v", low).alias("sen_low"), F.get("_v", high).alias("sen_high"))
+    size = kendall(df, keys, x, y).filter("pairs > 0").select(*keys, "pairs")
+    size = joined(size, mann_kendall(df, keys, x, y).select(*keys, "variance"), keys).checkpoint()
+    n, reach = F.col("pairs"), Z95 * F.sqrt("variance")
+    places = {
+        "_m1": F.floor((n - 1) / 2), "_m2": F.ceil((n - 1) / 2),
+        "_l": F.greatest(F.round((n - reach) / 2).cast("long") - 1, F.lit(0)), "_h": F.least(F.round((n + reach) / 2).cast("long"), n - 1),
+    }
+    size = size.withColumns(places)
+    found = slopes(df, keys, x, y, size.select(*keys, F.explode(F.array(*places)).alias("rank"))).checkpoint()
+    at = lambda c: F.max(F.when(F.col("rank") == F.col(c), F.col("slope")))
+    wide = joined(size, found, keys).groupBy(*keys).agg((at("_m1") * 0.5 + at("_m2") * 0.5).alias("sen"), at("_l").alias("sen_low"), at("_h").alias("sen_high"))
+    return wide.select(*keys, "sen", "sen_low", "sen_high")
 
 
 def tied(df: DataFrame, keys: Sequence[str], y: str) -> DataFrame:

@@ -292,11 +292,11 @@ def test_small_expressions(spark):
     assert one(spark, C.utm(F.lit(89.999999), F.lit(-75.0), -75.0)[1]) == pytest.approx(0.9996 * 10_001_965.729, abs=0.2)
 
 
-def test_series_too_long_for_pairs_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(stats, "MOST_POINTS", 5)
-    df = spark.createDataFrame([("a", float(k), float(k)) for k in range(6)], "k string, x double, y double")
-    with pytest.raises(Exception, match="more than 5 points"):
-        stats.theil_sen(df, ["k"], "x", "y").collect()
+def test_series_of_any_length_have_a_slope(spark):
+    """Beyond what one task lists, the slope is bracketed."""
+    df = spark.range(4000).selectExpr("'a' AS k", "CAST(id AS DOUBLE) AS x", "CAST(3 * id + id % 2 AS DOUBLE) AS y")
+    r = stats.theil_sen(df, ["k"], "x", "y").first()
+    assert (r.slope, r.pairs) == (3.0, 4000 * 3999 // 2)
 
 
 def test_sources_that_may_be_missing(spark, tmp_path):
