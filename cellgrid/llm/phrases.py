@@ -194,8 +194,8 @@ def _stored(frame: DataFrame, where: str) -> DataFrame:
 
 
 def _summed(rows: DataFrame) -> DataFrame:
-    """phrase, f: shards hold a phrase once each, so rows go to their phrase's task before they are added up."""
-    return rows.repartition("phrase").groupBy("phrase").agg(F.sum("f").alias("f"))
+    """phrase, f: a task adds up its own shards first, then tasks are added up."""
+    return rows.groupBy("phrase").agg(F.sum("f").alias("f"))
 
 
 def counted(docs: DataFrame, least: int, most_words: int, lang_col: str, text_col: str, most_known: int) -> tuple[DataFrame, DataFrame]:
