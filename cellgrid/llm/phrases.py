@@ -32,7 +32,7 @@ ENDS = b".,;:!?\n\x0b\x0c\r"
 BARRIER = b"\xff"
 TO_BARRIER = bytes(0xFF if c in ENDS else c for c in range(256))
 #: Characters of a shard.
-SHARD_CHARS = 16_000_000
+SHARD_CHARS = 8_000_000
 #: Frequent phrases of one length whose hashes (8 bytes each) may be broadcast; with more of them all of that length may grow.
 MOST_KNOWN = 4_000_000
 PRIME = np.uint64(0x9E3779B97F4A7C15)
