@@ -32,7 +32,7 @@ ENDS = b".,;:!?\n\x0b\x0c\r"
 BARRIER = b"\xff"
 TO_BARRIER = bytes(0xFF if c in ENDS else c for c in range(256))
 #: Characters of a shard.
-SHARD_CHARS = 8_000_000
+SHARD_CHARS = 16_000_000
 #: Frequent phrases of one length whose hashes (8 bytes each) may be broadcast; with more of them all of that length may grow.
 MOST_KNOWN = 4_000_000
 PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -194,8 +194,9 @@ def _stored(frame: DataFrame, where: str) -> DataFrame:
 
 
 def _summed(rows: DataFrame) -> DataFrame:
-    """phrase, f: a task adds up its own shards first, then tasks are added up."""
-    return rows.groupBy("phrase").agg(F.sum("f").alias("f"))
+    """phrase, f: shards hold a phrase once each, so rows go to their phrase's task before they are added up; a map of all that
+    a task has would take more memory than it saves."""
+    return rows.repartition("phrase").groupBy("phrase").agg(F.sum("f").alias("f"))
 
 
 def counted(docs: DataFrame, least: int, most_words: int, lang_col: str, text_col: str, most_known: int) -> tuple[DataFrame, DataFrame]:
@@ -206,7 +207,7 @@ def counted(docs: DataFrame, least: int, most_words: int, lang_col: str, text_co
     shards = docs.select(lang.alias("lang"), text.alias("text")).mapInArrow(_shards, "words array<string>, counts array<bigint>, ids binary")
     shards = _stored(shards, f"{where}/shards")
     words = shards.select(F.explode(F.arrays_zip("words", "counts")).alias("w")).select(F.col("w.words").alias("phrase"), F.col("w.counts").alias("f"))
-    words = _stored(_summed(words), f"{where}/words")
+    words = _stored(words.groupBy("phrase").agg(F.sum("f").alias("f")), f"{where}/words")
     of_lang = F.expr(r"substring(phrase, 1, length(phrase) - length(substring_index(phrase, '\t', -1)) - 1)")
     n = words.groupBy(of_lang.alias("lang")).agg(F.sum("f").alias("n"))
     frequent = words.filter(F.col("f") >= least)
