@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from cellgrid.llm.packed import add_chunk, chunk_count, column, free_name, mix, text_chars
+from cellgrid.llm.packed import add_chunk, chunk_count, column, mix, text_chars
 
 #: Stripped from both ends of a line before it is compared.
 BLANK = " \t\n\x0b\x0c\r"
@@ -181,14 +181,15 @@ def dedup_lines(
     their lines alike. An empty table gives no rows.
     """
     columns = [c for c in docs.columns if c.lower() not in NEW]
-    docs = docs.select(*[column(docs, c) for c in columns])
+    own = [f"_c{k}" for k in range(len(columns))]  # a map's input may have no dotted names
+    docs = docs.select(*[column(docs, c).alias(o) for c, o in zip(columns, own, strict=True)])
+    places = (len(columns), columns.index(id_col), columns.index(text_col))
+    id_col, text_col, name = own[places[1]], own[places[2]], "chunk"
     chunks = chunk_count(text_chars(docs, text_col), chunk_chars)
-    name = free_name("chunk", [*columns, *NEW])
     dealt = add_chunk(docs, chunks, id_col, text_col, name)
-    places = (len(columns), columns.index(id_col), columns.index(text_col))
     # Over all columns, as the rewriting below: one exchange serves both.
     asked = dealt.mapInArrow(_asked(places, min_chars, chunks), "shard int, chunk int, h long, fp int, n int, last long")
     drops = asked.repartition(chunks, "shard").groupBy("shard").applyInPandas(_probed(min_docs), "chunk int, h long, fp int, last long")
     fields = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields), "kept_text string", "n_lines long", "n_dropped long"])
     pairs = dealt.groupBy(name).cogroup(drops.repartition(chunks, "chunk").groupBy("chunk"))
-    return pairs.applyInArrow(_rewritten(*places[1:], min_chars), fields)
+    return pairs.applyInArrow(_rewritten(*places[1:], min_chars), fields).toDF(*columns, *NEW)

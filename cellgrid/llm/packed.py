@@ -73,6 +73,7 @@ def map_columns(docs: DataFrame, make: Callable, schema: str, text_col: str = "t
     new = [part.split()[0] for part in schema.split(", ")]
     rest = [f for f in docs.schema.fields if f.name not in new]
     order = [f.name for f in docs.schema.fields] + [n for n in new if n not in docs.columns]
+    own = [f"_c{k}" for k in range(len(rest))]  # a map's input may have no dotted names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
@@ -80,12 +81,12 @@ def map_columns(docs: DataFrame, make: Callable, schema: str, text_col: str = "t
             texts = batch.column(len(rest)).to_pylist()
             for lo, hi in slices(texts):
                 kept = [batch.column(k).slice(lo, hi - lo) for k in range(len(rest))]
-                yield pa.RecordBatch.from_arrays([*kept, *work(texts[lo:hi])], [*(f.name for f in rest), *new])
+                yield pa.RecordBatch.from_arrays([*kept, *work(texts[lo:hi])], [*own, *new])
 
     text = F.coalesce(column(docs, text_col).cast("string"), F.lit("")).alias("_text_")
-    fields = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest), schema])
-    made = docs.select(*[column(docs, f.name) for f in rest], text).mapInArrow(run, fields)
-    return made.select(*[f"`{c}`" for c in order])
+    fields = ", ".join([*(f"{o} {f.dataType.simpleString()}" for o, f in zip(own, rest, strict=True)), schema])
+    made = docs.select(*[column(docs, f.name).alias(o) for o, f in zip(own, rest, strict=True)], text).mapInArrow(run, fields)
+    return made.toDF(*[f.name for f in rest], *new).select(*[f"`{c}`" for c in order])
 
 
 def list_array(parts: list[np.ndarray], dtype) -> pa.Array:

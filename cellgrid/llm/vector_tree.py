@@ -154,15 +154,23 @@ def _size(rows: DataFrame) -> int:
     return first["size"] if first else 0
 
 
-def _longest(rows: DataFrame) -> tuple[int, float]:
-    """Rows, and the longest norm."""
-    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, v: a + v * v))
-    n, longest = rows.agg(F.count("*"), F.max(norm)).first()
-    return n, longest or 0.0
+def _longest(rows: DataFrame) -> tuple[int, float, float]:
+    """Rows, the largest component, and the longest norm in units of it, in which no square overflows."""
+    n, scale = rows.agg(F.count("*"), F.max(F.aggregate("vec", F.lit(0.0), lambda a, v: F.greatest(a, F.abs(v))))).first()
+    if not n:
+        return 0, 1.0, 0.0
+    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, v: a + (v / scale) * (v / scale)))
+    return n, scale, rows.agg(F.max(norm)).first()[0]
+
+
+def _scales(q: np.ndarray, scale: float) -> np.ndarray:
+    """What queries are divided by: the table's scale, or their own largest component if that is larger."""
+    return np.maximum(scale, np.abs(q).max(1, initial=0.0))
 
 
-def _exact_leaves(rows: DataFrame, queries: np.ndarray, ids: np.ndarray, tree: Tree, longest: float, k: int) -> list[list[int]]:
-    """The leaves of the true neighbours of a bounded set of queries: every task keeps k of each, which are then merged."""
+def _exact_leaves(rows: DataFrame, queries: np.ndarray, ids: np.ndarray, tree: Tree, scale: float, longest: float, k: int) -> list[list[int]]:
+    """The leaves of the true neighbours of a bounded set of (scaled) queries: every task keeps k of each, which are then
+    merged."""
     sc = rows.sparkSession.sparkContext
     shared = sc.broadcast((queries, ids, tree))
 
@@ -172,7 +180,7 @@ def _exact_leaves(rows: DataFrame, queries: np.ndarray, ids: np.ndarray, tree: T
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, vec_ids = _stacked(batch, "vec"), batch.column(0).to_numpy()
+            x, vec_ids = _stacked(batch, "vec") / scale, batch.column(0).to_numpy()
             leaf = model.assign(lift(x, longest))
             scores = qs @ x.T
             for q in range(len(qs)):
@@ -245,33 +253,35 @@ def search(
     The tree is fitted on at most sample_rows vectors, those whose ids hash lowest; all vectors are indexed. recall is what
     the leaf visits are widened to on at most CALIBRATION_QUERIES queries. Vectors null, zero, or with null or non-finite
     components take no part, nor do those of another length than most, nor null ids; repeated ids are vectors of their own;
-    of repeated query ids one counts. Equal scores go by id, also where equal vectors lie in several leaves. An empty table
-    gives no rows; other columns play no part.
+    of repeated query ids one counts. Equal scores go by id, also where equal vectors lie in several leaves. Any finite
+    magnitudes take part; products beyond a double's range are infinite, hence equal. An empty table gives no rows; other
+    columns play no part.
     """
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vec_col)
     size = _size(rows)
     rows = rows.filter(F.size("vec") == size)
     asked = usable(queries, id_col, vec_col).filter(F.size("vec") == size).dropDuplicates(["vec_id"])
-    n, longest = _longest(rows)
+    n, scale, longest = _longest(rows)
     out = "query_id long, rank int, vec_id long, score double"
     if not n:
         return spark.createDataFrame([], out)
     picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).toPandas()
     leaves = max(1, min(MOST_LEAVES, n // leaf_rows, len(picked) // 4))
-    tree = fit(lift(np.stack(picked["vec"].to_numpy()), longest), leaves)
+    tree = fit(lift(np.stack(picked["vec"].to_numpy()) / scale, longest), leaves)
     trial = asked.orderBy(F.xxhash64("vec_id", F.lit(1)), "vec_id").limit(CALIBRATION_QUERIES).toPandas()
     if not len(trial):
         return spark.createDataFrame([], out)
     known = np.stack(trial["vec"].to_numpy())
+    known = known / _scales(known, scale)[:, None]
     flat = np.column_stack((known, np.zeros(len(known))))
-    truth = _exact_leaves(rows, known, trial["vec_id"].to_numpy(), tree, longest, k)
+    truth = _exact_leaves(rows, known, trial["vec_id"].to_numpy(), tree, scale, longest, k)
     visits = calibrate(tree, flat, truth, recall)
     shared = spark.sparkContext.broadcast(tree)
 
     def to_leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            leaf = shared.value.assign(lift(_stacked(batch, "vec"), longest)) if batch.num_rows else np.empty(0, np.int64)
+            leaf = shared.value.assign(lift(_stacked(batch, "vec") / scale, longest)) if batch.num_rows else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int64()), *batch.columns], ["leaf", "vec_id", "vec"])
 
     dealt = rows.select("vec_id", "vec").mapInArrow(to_leaf, "leaf long, vec_id long, vec array<double>")
@@ -286,6 +296,7 @@ def search(
     def to_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _stacked(batch, "vec") if batch.num_rows else np.empty((0, size))
+            x = x / _scales(x, scale)[:, None]
             at, grp, ways = [], [], []
             for j, (q, same) in enumerate(zip(x, batch.column(2).to_pylist(), strict=True)):
                 way = taken(shared.value, np.append(q, 0.0), visits, sizes, k + same)
@@ -306,22 +317,28 @@ def search(
         if not len(asks) or not len(have):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         ids, x, leaf = have["vec_id"].to_numpy(), np.stack(have["vec"].to_numpy()), have["leaf"].to_numpy()
+        near = x / scale
         own = {n: np.flatnonzero(leaf == n) for n in np.unique(leaf)}
         found = []
         for lo in range(0, len(asks), 256):
             some = asks.iloc[lo : lo + 256]
             q, vec = some["query_id"].to_numpy(), np.stack(some["q"].to_numpy())
             asker, way = np.repeat(np.arange(len(some)), some["leaves"].map(len)), np.concatenate(some["leaves"].to_list())
+            own_scale = _scales(vec, scale)
+            far = vec / own_scale[:, None]
+            # Beyond this a product of the original vectors is infinite, and so equal to all others there.
+            most = np.finfo(np.float64).max / own_scale / scale
             scores = np.full((len(some), len(ids)), -np.inf)
             for n, at in own.items():
                 row = asker[way == n]
                 if len(row):
-                    scores[row[:, None], at] = vec[row] @ x[at].T
+                    scores[row[:, None], at] = np.minimum(far[row] @ near[at].T, most[row][:, None])
             scores[q[:, None] == ids[None]] = -np.inf
             # Matrix products choose, with room for their last bits; the chosen are scored again in one fixed order.
-            slack = 4e-16 * (size + 1) * longest * np.sqrt((vec * vec).sum(1)) + 1e-300
+            slack = 4e-16 * (size + 1) * longest * np.sqrt((far * far).sum(1)) + 1e-300
             row, at = _best_rows(scores, ids, k, slack)
-            exact = products(vec[row], x[at])
+            with np.errstate(over="ignore", invalid="ignore"):
+                exact = products(vec[row], x[at])
             order = np.lexsort((ids[at], -exact, row))
             row, at, exact = row[order], at[order], exact[order]
             place = np.arange(len(row)) - np.searchsorted(row, row)

@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from cellgrid.llm import lm_score, vector_tree
 
@@ -170,3 +171,17 @@ def test_awkward_vectors(spark):
     assert rows == {20: [(1, 7, 14.0), (2, 8, 10.0)], 7: [(1, 20, 14.0), (2, 8, 10.0)], 8: [(1, 7, 10.0), (2, 20, 10.0)]}
     assert vector_tree.search(_table(spark, []), _table(spark, [])).count() == 0
     assert vector_tree.search(table, table.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("scale", [1e160, 1e150, 1e-170])
+def test_vectors_of_any_magnitude_take_part(spark, scale):
+    x = np.random.default_rng(7).normal(size=(200, 8)) * scale
+    vectors = spark.createDataFrame([(k, row.tolist()) for k, row in enumerate(x)], "vec_id long, embedding array<double>")
+    got = vector_tree.search(vectors, vectors.filter("vec_id % 20 = 0"), k=20, recall=1.0, leaf_rows=20).collect()
+    assert len(got) == 10 * 20
+    with np.errstate(over="ignore", invalid="ignore"):
+        for q in range(0, 200, 20):
+            score = vector_tree.products(np.repeat(x[q : q + 1], 200, 0), x)
+            others = [k for k in range(200) if k != q and not np.isnan(score[k])]
+            want = sorted(others, key=lambda k: (-score[k], k))[:20]
+            assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] == want

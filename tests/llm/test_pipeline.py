@@ -67,6 +67,26 @@ def test_stages_take_effect(spark, tables):
     assert any("[EMAIL]" in (t or "") for t in clean.values())
 
 
+def test_stages_bear_any_rows_and_columns(spark, tables):
+    """Columns named like the operators' own, a dotted name, null ids, repeated rows, and no rows at all."""
+    where, rows = tables
+    line = "a line that stands in more than five of these documents here"
+    schema = "doc_id long, text string, n_chars long, n_lines string, N_Dropped int, kept_text string, own_n_lines int, `a.b` string, chunk int, rejected int"
+    texts = [None, "", line, *[f"{line}\nword{k} and {k} more of them" for k in range(6)], "one two three " * 3000]
+    some = [(k or None, t, 1, "x", 5, "y", 6, "z", 7, 8) for k, t in enumerate(texts)] + [(3, texts[3], 1, "x", 5, "y", 6, "z", 7, 8)]
+    for given in (some, []):
+        docs = spark.createDataFrame(given, schema)
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, where).checkpoint()
+            assert docs.columns == spark.createDataFrame([], schema).columns, name
+            assert {tuple(r)[3:] for r in docs.collect()} <= {("x", 5, "y", 6, "z", 7, 8)}, name
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, where).count() >= (len(given) and 2)
+    docs = spark.createDataFrame(some, schema)
+    assert [r.doc_id for r in corpus_pipeline.STAGES[1][1](spark, docs, where).collect() if line in r.text] == [8]
+    stays = [r.doc_id for r in corpus_pipeline.STAGES[2][1](spark, docs, where).collect()]
+    assert sorted(stays, key=str) == [1, 2, 3, 3, 4, 5, 6, 7, 8, 9, None]
+
+
 def test_run_packs_what_is_left(spark, tables):
     out = corpus_pipeline.run(spark, tables[0])
     ids = {r.doc_id for r in out.collect()}
