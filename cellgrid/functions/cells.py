@@ -152,6 +152,11 @@ def class_weight(kind: Column, access: Column, weights: Mapping[str, float]) ->
     return F.when(access.eqNullSafe(F.lit("no")), 0.0).otherwise(F.coalesce(F.try_element_at(table, F.regexp_replace(kind, "_link$", "")), F.lit(0.0)))
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value worked out once, however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def utm(lat: Column, lon: Column, meridian: float, north: bool = True) -> tuple[Column, Column]:
     """Easting and northing in metres on WGS84 by the Krueger series (third order in the flattening; fixed values)."""
     a, f, k0 = 6378137.0, 1 / 298.257223563, 0.9996
@@ -162,12 +167,47 @@ def utm(lat: Column, lon: Column, meridian: float, north: bool = True) -> tuple[
     e = 2 * math.sqrt(n) / (1 + n)
     s = F.sin(phi)
     t = F.sinh(F.atanh(s) - e * F.atanh(e * s))
-    xi, eta = F.atan2(t, F.cos(lam)), F.atanh(F.sin(lam) / F.sqrt(1 + t * t))
-    x, y = eta, xi
-    for j, c in enumerate(alpha, 1):
-        x = x + c * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-        y = y + c * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-    return F.lit(500_000.0) + k0 * radius * x, k0 * radius * y + F.lit(0.0 if north else 10_000_000.0)
+    ball = let(F.struct(t.alias("t"), lam.alias("l")), lambda s: F.struct(F.atan2(s["t"], F.cos(s["l"])).alias("xi"), F.atanh(F.sin(s["l"]) / F.sqrt(1 + s["t"] * s["t"])).alias("eta")))
+
+    def flat(s: Column) -> Column:
+        x, y = s["eta"], s["xi"]
+        for j, c in enumerate(alpha, 1):
+            x = x + c * F.cos(2 * j * s["xi"]) * F.sinh(2 * j * s["eta"])
+            y = y + c * F.sin(2 * j * s["xi"]) * F.cosh(2 * j * s["eta"])
+        return F.struct((F.lit(500_000.0) + k0 * radius * x).alias("x"), (k0 * radius * y + F.lit(0.0 if north else 10_000_000.0)).alias("y"))
+
+    made = let(ball, flat)
+    return made["x"], made["y"]
+
+
+def from_utm(x: Column, y: Column, meridian: float, north: bool = True) -> tuple[Column, Column]:
+    """Latitude and longitude in degrees of an easting and northing: the series of utm the other way (fixed values)."""
+    a, f, k0 = 6378137.0, 1 / 298.257223563, 0.9996
+    n = f / (2 - f)
+    radius = k0 * a / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    beta = (n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96, n**2 / 48 + n**3 / 15, 17 * n**3 / 480)
+    delta = (2 * n - 2 * n**2 / 3 - 2 * n**3, 7 * n**2 / 3 - 8 * n**3 / 5, 56 * n**3 / 15)
+    start = F.struct(((y - F.lit(0.0 if north else 10_000_000.0)) / radius).alias("xi"), ((x - F.lit(500_000.0)) / radius).alias("eta"))
+
+    def ball(s: Column) -> Column:
+        up, across = s["xi"], s["eta"]
+        for j, c in enumerate(beta, 1):
+            up = up - c * F.sin(2 * j * s["xi"]) * F.cosh(2 * j * s["eta"])
+            across = across - c * F.cos(2 * j * s["xi"]) * F.sinh(2 * j * s["eta"])
+        return F.struct(up.alias("u"), across.alias("v"))
+
+    def degrees(s: Column) -> Column:
+        lon = F.lit(meridian) + F.degrees(F.atan2(F.sinh(s["v"]), F.cos(s["u"])))
+        return F.struct(F.asin(F.sin(s["u"]) / F.cosh(s["v"])).alias("chi"), lon.alias("lon"))
+
+    def latitude(s: Column) -> Column:
+        lat = s["chi"]
+        for j, c in enumerate(delta, 1):
+            lat = lat + c * F.sin(2 * j * s["chi"])
+        return F.struct(F.degrees(lat).alias("lat"), s["lon"].alias("lon"))
+
+    made = let(let(let(start, ball), degrees), latitude)
+    return made["lat"], made["lon"]
 
 
 def inside_ring(x: Column, y: Column, ring: Column) -> Column:

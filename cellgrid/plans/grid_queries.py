@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from cellgrid.functions import cells as C
 from cellgrid.operators import aggregate as A
-from cellgrid.operators import allocate, flow, joins, raster
+from cellgrid.operators import allocate, flow, joins, raster, reproject
 from cellgrid.plans import adapter as D
 from cellgrid.plans.registry import SEGMENTS, query, rounded
 from cellgrid.session import read_table
@@ -44,23 +47,91 @@ def class_fractions(spark, sf_dir):
     return rounded(raster.class_fractions(D.cells(spark, sf_dir), 5, "class", SEGMENTS), *SEGMENTS, digits=8)
 
 
-_TARGET = "t AS (SELECT CAST(g // 31 AS INTEGER) AS row, CAST(g % 31 AS INTEGER) AS col, ((g // 31) + 0.5) * 1.6 - 0.5 AS y, ((g % 31) + 0.5) * 1.6 - 0.5 AS x FROM range(0, 558) AS r(g))"
+_TARGET = """size AS (SELECT CAST(ceil((max(row) + 1) / 1.6) AS BIGINT) AS h, CAST(ceil((max(col) + 1) / 1.6) AS BIGINT) AS w FROM cells),
+    t AS (SELECT CAST(g // w AS INTEGER) AS row, CAST(g % w AS INTEGER) AS col, ((g // w) + 0.5) * 1.6 - 0.5 AS y, ((g % w) + 0.5) * 1.6 - 0.5 AS x FROM (SELECT w, unnest(range(0, h * w)) AS g FROM size))"""
+
+
+def _extent(cells, scale=1.0):
+    """Rows and columns of the cells' grid at so many cells to a cell."""
+    last = cells.agg(F.max("row"), F.max("col")).first()
+    return tuple(math.ceil((k + 1) / scale) for k in last)
 
 
 @query(f"""WITH {D.CELLS}, {_TARGET}, k AS (SELECT t.row, t.col, (1 - abs(y - (floor(y) + r))) * (1 - abs(x - (floor(x) + c))) AS w, CAST(floor(y) + r AS INTEGER) AS sr, CAST(floor(x) + c AS INTEGER) AS sc FROM t, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS o(r, c))
     SELECT k.row, k.col, round(sum(value * w) / nullif(sum(w), 0), 4) AS value FROM k JOIN cells ON cells.row = sr AND cells.col = sc WHERE value IS NOT NULL GROUP BY 1, 2""")
 def resample_bilinear(spark, sf_dir):
-    return rounded(raster.resample(D.cells(spark, sf_dir), "value", 1.6, 18, 31, "bilinear"), "value")
+    cells = D.cells(spark, sf_dir)
+    return rounded(raster.resample(cells, "value", 1.6, *_extent(cells, 1.6), "bilinear"), "value")
 
 
 @query(f"""WITH {D.CELLS}, {_TARGET} SELECT t.row, t.col, value FROM t JOIN cells ON cells.row = CAST(floor(y + 0.5) AS INTEGER) AND cells.col = CAST(floor(x + 0.5) AS INTEGER)""")
 def resample_nearest(spark, sf_dir):
-    return raster.resample(D.cells(spark, sf_dir), "value", 1.6, 18, 31, "nearest")
+    cells = D.cells(spark, sf_dir)
+    return raster.resample(cells, "value", 1.6, *_extent(cells, 1.6), "nearest")
 
 
-@query(f"""WITH {D.CELLS} SELECT CAST(floor((row + 0.5) / 3.5) AS INTEGER) AS row, CAST(floor((col + 0.5) / 3.5) AS INTEGER) AS col, round(avg(value), 6) AS value FROM cells GROUP BY 1, 2 HAVING floor((row + 0.5) / 3.5) < 8 AND floor((col + 0.5) / 3.5) < 12""".replace("GROUP BY 1, 2 HAVING floor((row + 0.5) / 3.5) < 8 AND floor((col + 0.5) / 3.5) < 12", "WHERE floor((row + 0.5) / 3.5) < 8 AND floor((col + 0.5) / 3.5) < 12 GROUP BY 1, 2"))
+@query(f"""WITH {D.CELLS} SELECT CAST(floor((row + 0.5) / 3.5) AS INTEGER) AS row, CAST(floor((col + 0.5) / 3.5) AS INTEGER) AS col, round(avg(value), 6) AS value FROM cells GROUP BY 1, 2""")
 def resample_average(spark, sf_dir):
-    return rounded(raster.resample(D.cells(spark, sf_dir), "value", 3.5, 8, 12), "value", digits=6)
+    cells = D.cells(spark, sf_dir)
+    return rounded(raster.resample(cells, "value", 3.5, *_extent(cells, 3.5)), "value", digits=6)
+
+
+#: The cells as a UTM grid of 30 m near a corner, and the degree grid that they are carried to.
+_UTM = {"west": 470_000.0, "north": 527_000.0, "step": 30.0}
+_DEGREES = 0.00035
+_SERIES = {"n": (1 / 298.257223563) / (2 - 1 / 298.257223563)}
+_SERIES |= {"r": 0.9996 * 6378137.0 / (1 + _SERIES["n"]) * (1 + _SERIES["n"] ** 2 / 4 + _SERIES["n"] ** 4 / 64), "e": 2 * math.sqrt(_SERIES["n"]) / (1 + _SERIES["n"])}
+
+
+def _utm_sql(source: str, keep: str) -> str:
+    """x, y in metres of lat, lon in degrees, meridian 75 west."""
+    n = _SERIES["n"]
+    alpha = (n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16, 13 * n**2 / 48 - 3 * n**3 / 5, 61 * n**3 / 240)
+    x = " + ".join(["eta", *(f"{c!r} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, c in enumerate(alpha, 1))])
+    y = " + ".join(["xi", *(f"{c!r} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, c in enumerate(alpha, 1))])
+    e = repr(_SERIES["e"])
+    return f"""(SELECT {keep}, 500000 + {_SERIES["r"]!r} * ({x}) AS x, {_SERIES["r"]!r} * ({y}) AS y FROM (SELECT *, atan2(q, cos(lam)) AS xi, atanh(sin(lam) / sqrt(1 + q * q)) AS eta
+        FROM (SELECT *, radians(lon + 75) AS lam, sinh(atanh(sin(radians(lat))) - {e} * atanh({e} * sin(radians(lat)))) AS q FROM {source})))"""
+
+
+def _degrees_sql(source: str, keep: str) -> str:
+    """lat, lon of x, y: the same series the other way."""
+    n = _SERIES["n"]
+    beta = (n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96, n**2 / 48 + n**3 / 15, 17 * n**3 / 480)
+    delta = (2 * n - 2 * n**2 / 3 - 2 * n**3, 7 * n**2 / 3 - 8 * n**3 / 5, 56 * n**3 / 15)
+    up = " - ".join(["xi", *(f"{c!r} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, c in enumerate(beta, 1))])
+    across = " - ".join(["eta", *(f"{c!r} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, c in enumerate(beta, 1))])
+    lat = " + ".join(["chi", *(f"{c!r} * sin({2 * j} * chi)" for j, c in enumerate(delta, 1))])
+    return f"""(SELECT {keep}, degrees({lat}) AS lat, -75 + degrees(atan2(sinh(v), cos(u))) AS lon FROM (SELECT *, asin(sin(u) / cosh(v)) AS chi FROM (SELECT *, {up} AS u, {across} AS v
+        FROM (SELECT *, y / {_SERIES["r"]!r} AS xi, (x - 500000) / {_SERIES["r"]!r} AS eta FROM {source}))))"""
+
+
+_REPROJECTED = f"""WITH {D.CELLS}, size AS MATERIALIZED (SELECT max(row) + 1 AS h, max(col) + 1 AS w FROM cells),
+    rim AS (SELECT 470000 + 30 * c AS x, 527000 - 30 * r AS y FROM (SELECT h, w, unnest(range(0, h + 1)) AS r FROM size), (SELECT unnest(range(0, w + 1)) AS c FROM size) WHERE r <= 1 OR r >= h - 1 OR c <= 1 OR c >= w - 1),
+    box AS MATERIALIZED (SELECT west, north, CAST(floor((north - s) / {_DEGREES}) AS BIGINT) + 1 AS h, CAST(floor((e - west) / {_DEGREES}) AS BIGINT) + 1 AS w FROM (SELECT {_DEGREES} * floor(min(lon) / {_DEGREES}) AS west, {_DEGREES} * (floor(max(lat) / {_DEGREES}) + 1) AS north, min(lat) AS s, max(lon) AS e FROM {_degrees_sql("rim", "x, y")})),
+    target AS (SELECT CAST(g // w AS INTEGER) AS row, CAST(g % w AS INTEGER) AS col, west + (g % w + 0.5) * {_DEGREES} AS lon, north - (g // w + 0.5) * {_DEGREES} AS lat FROM (SELECT *, unnest(range(0, h * w)) AS g FROM box)),
+    asked AS MATERIALIZED (SELECT a.row, a.col, (527000 - y) / 30 - 0.5 AS v, (x - 470000) / 30 - 0.5 AS u FROM {_utm_sql("target", "row, col")} a, size WHERE (527000 - y) / 30 BETWEEN 0 AND h AND (x - 470000) / 30 BETWEEN 0 AND w),
+    near AS MATERIALIZED (SELECT a.row, a.col, value FROM asked a JOIN cells c ON c.row = CAST(floor(v + 0.5) AS INTEGER) AND c.col = CAST(floor(u + 0.5) AS INTEGER)),
+    four AS (SELECT a.row, a.col, sum(value * w) / nullif(sum(w), 0) AS value FROM (SELECT *, (1 - abs(v - (floor(v) + r))) * (1 - abs(u - (floor(u) + c))) AS w FROM asked, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS o(r, c)) a
+        JOIN cells k ON k.row = CAST(floor(v) + r AS INTEGER) AND k.col = CAST(floor(u) + c AS INTEGER) GROUP BY 1, 2),
+    moved AS MATERIALIZED (SELECT CAST(floor((north - lat) / {_DEGREES}) AS INTEGER) AS row, CAST(floor((lon - west) / {_DEGREES}) AS INTEGER) AS col, avg(value) AS mean, sum(value) AS total
+        FROM {_degrees_sql("(SELECT value, 470000 + 30 * (col + 0.5) AS x, 527000 - 30 * (row + 0.5) AS y FROM cells)", "value")}, box GROUP BY 1, 2)
+    SELECT 'nearest' AS how, row, col, round(value, 2) AS value FROM near UNION ALL SELECT 'bilinear', row, col, round(value, 2) FROM four WHERE value IS NOT NULL UNION ALL SELECT 'sum', row, col, round(total, 2) FROM moved
+    UNION ALL SELECT 'average', row, col, round(mean, 6) FROM moved UNION ALL SELECT 'average', row, col, round(value, 6) FROM near WHERE (row, col) NOT IN (SELECT (row, col) FROM moved)"""
+
+
+@query(_REPROJECTED)
+def reprojected(spark, sf_dir):
+    """The whole grid of cells, as a UTM grid, on a grid of degrees, by each method."""
+    cells = D.cells(spark, sf_dir)
+    rows, cols = _extent(cells)
+    source = reproject.Lattice(**_UTM, rows=rows, cols=cols)
+    to_degrees = lambda x, y: tuple(reversed(C.from_utm(x, y, -75.0)))
+    to_metres = lambda lon, lat: C.utm(lat, lon, -75.0)
+    target = reproject.bounding(source, to_degrees, _DEGREES, spark)
+    done = [reproject.reproject(cells, "value", source, target, to_degrees, to_metres, how).select(F.lit(how).alias("how"), "row", "col", "value") for how in reproject.HOW]
+    every = reduce(lambda a, b: a.unionByName(b), done)
+    return every.withColumn("value", F.when(F.col("how") == "average", F.round("value", 6)).otherwise(F.round("value", 2)))
 
 
 @query(f"""WITH {D.CELLS}, u AS (SELECT quantile_cont(value, 0.99) AS p FROM cells WHERE class <> 'HOUSEHOLD') SELECT cell_id, round(least(100, greatest(0, 100 * value / p)), 6) AS scaled FROM cells, u""")
@@ -187,11 +258,11 @@ def source_comparison(spark, sf_dir):
     return rounded(A.against(a, b, ["zone"], "v"), "a", "b", "difference", "ratio")
 
 
-@query(f"""WITH {D.CELLS}, t AS (SELECT a.row, a.col, a.value AS v, a.value + 50 * a.weight AS ref, b.value AS f FROM cells a LEFT JOIN cells b ON b.row = 29 - a.row AND b.col = a.col)
+@query(f"""WITH {D.CELLS}, t AS (SELECT a.row, a.col, a.value AS v, a.value + 50 * a.weight AS ref, b.value AS f FROM cells a LEFT JOIN cells b ON b.row = (SELECT max(row) FROM cells) - a.row AND b.col = a.col)
     SELECT round(corr(v, ref), 8) AS r, round(corr(f, ref), 8) AS r_flipped, corr(v, ref) > coalesce(corr(f, ref), -2) AS upright FROM t""")
 def upright_layer(spark, sf_dir):
     cells = D.cells(spark, sf_dir).withColumn("ref", F.col("value") + 50 * F.col("weight"))
-    return rounded(A.upright(cells, "value", "ref", 30), "r", "r_flipped", digits=8)
+    return rounded(A.upright(cells, "value", "ref", _extent(cells)[0]), "r", "r_flipped", digits=8)
 
 
 _POINTS = "(VALUES ('bridge', 2, 7), ('square', 11, 40), ('nowhere', 900, 2)) AS p(name, row, col)"
