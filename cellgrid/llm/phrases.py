@@ -136,9 +136,9 @@ def _within(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[at] == hashes if len(known) else np.zeros(len(hashes), bool)
 
 
-def _phrases(length: int, known: list):
-    """Rows (phrase, f) of a shard's phrases of so many words. known: for one word less each, the broadcast hashes of the
-    frequent ones; None: all of them may be."""
+def _phrases(length: int, known: list, hashed: bool = False):
+    """Rows (phrase, f) of a shard's phrases of so many words, or of their hashes. known: from one word on, the broadcast
+    hashes of the phrases that may be frequent (None: all of them), up to one word less or to the length itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,11 +153,14 @@ def _phrases(length: int, known: list):
 
                 def keep(of: int, prefix: np.ndarray, last: np.ndarray, words=words, hashes=hashes) -> np.ndarray:
                     own = _paired(hashes[of - 2][prefix], words[last])
-                    stays = np.ones(len(own), bool) if of == length or known[of - 1] is None else _within(own, known[of - 1].value)
+                    stays = np.ones(len(own), bool) if of > len(known) or known[of - 1] is None else _within(own, known[of - 1].value)
                     hashes.append(np.concatenate((np.zeros(1, np.uint64), own[stays])))
                     return stays
 
                 levels = automaton(ids, length, keep)
+                if hashed:
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes[-1][1:].view(np.int64)), pa.array(levels[-1].count[1:])], ["phrase", "f"])
+                    continue
                 bare = pc.replace_substring_regex(names, r"^(?s:.*)\t", "")
                 text = names
                 for level in levels[1:]:
@@ -170,12 +173,16 @@ def _phrases(length: int, known: list):
 
 
 def _known(frequent: DataFrame, most: int):
-    """The hashes of frequent phrases of one length, sorted and broadcast; None if there are more of them than most."""
+    """The hashes of frequent phrases of one length (given as phrases or as hashes), sorted and broadcast; None if there are
+    more of them than most."""
     if frequent.count() > most:
         return None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if batch.schema.field(0).type == pa.int64():
+                yield pa.RecordBatch.from_arrays([pa.array([batch.column(0).to_numpy().tobytes()], pa.binary())], ["hashes"])
+                continue
             lang, _, words = zip(*(t.rpartition("\t") for t in batch.column(0).to_pylist()), strict=True) if batch.num_rows else ((), (), ())
             split = [w.split(" ") for w in words]
             own = np.empty(0, np.uint64)
@@ -214,7 +221,11 @@ def counted(docs: DataFrame, least: int, most_words: int, lang_col: str, text_co
     shards = shards.select("words", "ids")
     known = [_known(frequent, most_known)]
     for length in range(2, most_words + 1):
-        level = _summed(shards.mapInArrow(_phrases(length, known), "phrase string, f long")).filter(F.col("f") >= least)
+        own = []
+        if length == 2:  # nearly all pairs are rare: sums by hash tell which may be frequent before any text is sent
+            sums = _summed(shards.mapInArrow(_phrases(2, known, hashed=True), "phrase long, f long"))
+            own = [_known(_stored(sums.filter(F.col("f") >= least), f"{where}/pairs"), most_known)]
+        level = _summed(shards.mapInArrow(_phrases(length, known + own), "phrase string, f long")).filter(F.col("f") >= least)
         level = _stored(level, f"{where}/{length}")
         frequent = frequent.unionByName(level)
         if length < most_words:
