@@ -8,21 +8,22 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellgrid.operators.quantiles import joined
+
 
 def spread(cells: DataFrame, block: str, total: str, weight: Column) -> DataFrame:
     """Adds allocated: the block's total (the same in all its rows) by weight, evenly where no weight is positive."""
-    w = Window.partitionBy(block)
     sized = cells.withColumn("_w", F.greatest(F.coalesce(weight, F.lit(0.0)), F.lit(0.0)))
-    sums = F.sum("_w").over(w)
-    part = F.when(sums > 0, F.col("_w") / sums).otherwise(1.0 / F.count("*").over(w))
-    return sized.withColumn("allocated", F.col(total) * part).drop("_w")
+    sums = sized.groupBy(block).agg(F.sum("_w").alias("_s"), F.count("*").alias("_n"))
+    part = F.when(F.col("_s") > 0, F.col("_w") / F.col("_s")).otherwise(1.0 / F.col("_n"))
+    return joined(sized, sums, [block]).withColumn("allocated", F.col(total) * part).drop("_w", "_s", "_n")
 
 
 def residual(cells: DataFrame, block: str, total: str, known: str, margin: float, weight: Column) -> DataFrame:
     """What a block's total leaves after (1 + margin) times the known part, not below 0, spread by weight."""
-    w = Window.partitionBy(block)
-    rest = F.greatest(F.col(total) - (1 + margin) * F.sum(known).over(w), F.lit(0.0))
-    return spread(cells.withColumn("_rest", rest), block, "_rest", weight).drop("_rest")
+    sums = cells.groupBy(block).agg(F.sum(known).alias("_known"))
+    rest = F.greatest(F.col(total) - (1 + margin) * F.col("_known"), F.lit(0.0))
+    return spread(joined(cells, sums, [block]).withColumn("_rest", rest), block, "_rest", weight).drop("_rest", "_known")
 
 
 def anchor(cells: DataFrame, targets: DataFrame, kind: str, value: str) -> DataFrame:

@@ -24,7 +24,7 @@ def points_in_zones(points: DataFrame, zones: DataFrame, x: str, y: str, size: f
         step(F.array_min, ys).alias("_y0"), step(F.array_max, ys).alias("_y1"),
     )
     boxes = boxes.withColumn("_by", F.explode(F.sequence("_y0", "_y1"))).drop("_y0", "_y1")
-    keyed = points.withColumns({"_pid": F.monotonically_increasing_id(), "_bx": F.floor(F.col(x) / size), "_by": F.floor(F.col(y) / size)})
+    keyed = points.withColumns({"_pid": F.monotonically_increasing_id(), "_bx": F.floor(F.col(x) / size), "_by": F.floor(F.col(y) / size)}).checkpoint()
     hits = keyed.join(boxes, ["_bx", "_by"]).filter(inside_ring(F.col(x), F.col(y), F.col("ring")))
     first = hits.groupBy("_pid").agg(F.min_by(F.struct("zone_id", "zone_idx"), F.col("_o")).alias("_z"))
     return keyed.join(first, "_pid", "left").select(*points.columns, F.col("_z.zone_id").alias("zone_id"), F.col("_z.zone_idx").alias("zone_idx"))
@@ -112,10 +112,18 @@ def keyed_or_nearest(left: DataFrame, right: DataFrame, key: str, other: str, id
 
 
 def overlap_shares(source: DataFrame, target: DataFrame, lo: str = "lo", hi: str = "hi") -> DataFrame:
-    """source, target, share: the part of each source interval in each target interval; both are edges of one axis."""
+    """source, target, share: the part of each source interval in each target interval; both are edges of one axis.
+
+    Intervals meet in bins as wide as the widest of them, so each lies in two bins at most; a pair counts in the bin where
+    its common part begins."""
     s, t = source.select("source", F.col(lo).alias("_a"), F.col(hi).alias("_b")), target.select("target", F.col(lo).alias("_c"), F.col(hi).alias("_d"))
+    widest = [df.agg(F.max(F.col(b) - F.col(a))).first()[0] or 0.0 for df, a, b in ((s, "_a", "_b"), (t, "_c", "_d"))]
+    size = float(max(*widest, 1e-300))
+    s = s.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("_a") / size), F.floor(F.col("_b") / size))))
+    t = t.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("_c") / size), F.floor(F.col("_d") / size))))
     both = F.least("_b", "_d") - F.greatest("_a", "_c")
-    return s.join(t, (F.col("_a") < F.col("_d")) & (F.col("_c") < F.col("_b"))).select("source", "target", (both / (F.col("_b") - F.col("_a"))).alias("share"))
+    met = s.join(t, "_bin").filter((F.col("_a") < F.col("_d")) & (F.col("_c") < F.col("_b")) & (F.col("_bin") == F.floor(F.greatest("_a", "_c") / size)))
+    return met.select("source", "target", (both / (F.col("_b") - F.col("_a"))).alias("share"))
 
 
 def regrid(cells: DataFrame, rows: DataFrame, cols: DataFrame, value: str) -> DataFrame:
@@ -189,7 +197,9 @@ def merge_contained(areas: DataFrame, points: DataFrame, ident: str, kind: str,
 def inherited(links: DataFrame, decided: DataFrame, ident: str, ends: Sequence[str], verdict: str) -> DataFrame:
     """ident, accepted: a link is accepted if every decided line that shares an endpoint with it is; null without any."""
     at = lambda df, *more: df.select(*more, F.explode(F.array(*ends)).alias("_end"))
-    touching = at(links, ident).join(at(decided, verdict), "_end", "left")
+    # Verdicts are summed up by endpoint first: however many lines meet there, a link meets one row.
+    ends_ = at(decided, verdict).groupBy("_end").agg(F.bool_and(verdict).alias(verdict))
+    touching = at(links, ident).join(ends_, "_end", "left")
     return touching.groupBy(ident).agg(F.bool_and(verdict).alias("accepted"))
 
 

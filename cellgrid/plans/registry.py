@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -497,19 +498,21 @@ def mosaic_priority(spark, sf_dir):
     return joins.first_source(items, ["id"], "value", order).select("id", "source", "value")
 
 
-@query(f"""WITH {D.CELLS}, e AS (SELECT g AS target, g * 7.3 AS lo, (g + 1) * 7.3 AS hi FROM range(0, 7) AS r(g)), f AS (SELECT g AS target, g * 4.6 AS lo, (g + 1) * 4.6 AS hi FROM range(0, 1000) AS r(g)),
+@query(f"""WITH {D.CELLS}, e AS (SELECT g AS target, g * 7.3 AS lo, (g + 1) * 7.3 AS hi FROM (SELECT unnest(range(0, CAST(ceil((max(col) + 1) / 7.3) AS BIGINT))) AS g FROM cells)),
+    f AS (SELECT g AS target, g * 4.6 AS lo, (g + 1) * 4.6 AS hi FROM (SELECT unnest(range(0, CAST(ceil((max(row) + 1) / 4.6) AS BIGINT))) AS g FROM cells)),
     c AS (SELECT col, target, least(col + 1, hi) - greatest(col, lo) AS share FROM (SELECT DISTINCT col FROM cells), e WHERE col < hi AND lo < col + 1),
     r AS (SELECT row, target, least(row + 1, hi) - greatest(row, lo) AS share FROM (SELECT DISTINCT row FROM cells), f WHERE row < hi AND lo < row + 1)
     SELECT r.target AS row, c.target AS col, round(sum(value * r.share * c.share), 4) AS value FROM cells JOIN r USING (row) JOIN c USING (col) GROUP BY 1, 2""")
 def overlap_regrid(spark, sf_dir):
     cells = D.cells(spark, sf_dir).select("row", "col", "value")
 
-    def shares(axis: str, width: float, count: int):
-        edges = spark.range(count).select(F.col("id").alias("target"), (F.col("id") * width).alias("lo"), ((F.col("id") + 1) * width).alias("hi"))
+    def shares(axis: str, width: float):
+        last = cells.agg(F.max(axis)).first()[0]
+        edges = spark.range(math.ceil((last + 1) / width)).select(F.col("id").alias("target"), (F.col("id") * width).alias("lo"), ((F.col("id") + 1) * width).alias("hi"))
         source = cells.select(F.col(axis).alias("source")).distinct().select("source", F.col("source").cast("double").alias("lo"), (F.col("source") + 1.0).alias("hi"))
         return joins.overlap_shares(source, edges)
 
-    return rounded(joins.regrid(cells, shares("row", 4.6, 1000), shares("col", 7.3, 7), "value"), "value")
+    return rounded(joins.regrid(cells, shares("row", 4.6), shares("col", 7.3), "value"), "value")
 
 
 @query()
@@ -574,14 +577,16 @@ def cell_geometry(spark, sf_dir):
     return cells.select("cell_id", F.round(lat, 6).alias("lat"), F.round(lon, 6).alias("lon"), F.round(D.GRID.area_m2(F.col("row")), 4).alias("area"), F.round(km, 6).alias("km"))
 
 
-@query("""WITH h AS (SELECT CAST(g AS DOUBLE) AS hour FROM range(0, 24) AS r(g)), s AS (SELECT hour, 2 * pi() / 365 * (172 - 1 + (hour - 12) / 24) AS g FROM h),
-    d AS (SELECT hour, 0.006918 - 0.399912 * cos(g) + 0.070257 * sin(g) - 0.006758 * cos(2 * g) + 0.000907 * sin(2 * g) AS dec,
+@query("""WITH h AS (SELECT DISTINCT CAST(dayofyear(ts) AS INTEGER) AS day, CAST(hour(ts) AS DOUBLE) AS hour FROM events), s AS (SELECT day, hour, 2 * pi() / 365 * (day - 1 + (hour - 12) / 24) AS g FROM h),
+    d AS (SELECT day, hour, 0.006918 - 0.399912 * cos(g) + 0.070257 * sin(g) - 0.006758 * cos(2 * g) + 0.000907 * sin(2 * g) AS dec,
     229.18 * (0.000075 + 0.001868 * cos(g) - 0.032077 * sin(g) - 0.014615 * cos(2 * g) - 0.040849 * sin(2 * g)) AS eq FROM s),
-    z AS (SELECT hour, sin(radians(4.75)) * sin(dec) + cos(radians(4.75)) * cos(dec) * cos(radians((hour * 60 + eq + 4 * -75.9) / 4 - 180)) AS c FROM d)
-    SELECT hour, round(CASE WHEN c > 0.01 THEN 1098 * c * exp(-0.057 / c) ELSE 0 END, 4) AS ghi FROM z""")
+    z AS (SELECT day, hour, sin(radians(4.75)) * sin(dec) + cos(radians(4.75)) * cos(dec) * cos(radians((hour * 60 + eq + 4 * -75.9) / 4 - 180)) AS c FROM d)
+    SELECT day, hour, round(CASE WHEN c > 0.01 THEN 1098 * c * exp(-0.057 / c) ELSE 0 END, 4) AS ghi FROM z""")
 def clear_sky_radiation(spark, sf_dir):
-    hours = spark.range(24).select(F.col("id").cast("double").alias("hour"))
-    return hours.select("hour", F.round(C.clear_sky(C.cos_zenith(F.lit(172), F.col("hour"), F.lit(4.75), F.lit(-75.9))), 4).alias("ghi"))
+    """Of every hour in which there was an event."""
+    ts = F.col("ts").cast("timestamp_ntz")
+    hours = read_table(spark, sf_dir, "events").select(F.dayofyear(ts).alias("day"), F.hour(ts).cast("double").alias("hour")).distinct()
+    return hours.select("day", "hour", F.round(C.clear_sky(C.cos_zenith(F.col("day"), F.col("hour"), F.lit(4.75), F.lit(-75.9))), 4).alias("ghi"))
 
 
 @query(r"""SELECT p_partkey, trim(regexp_replace(lower(p_name || '  --' || p_brand), '[^a-z0-9]+', ' ', 'g')) AS name,

@@ -68,12 +68,12 @@ def antiparallel(spark, sf_dir):
     return rounded(joins.antiparallel(samples, "place", "way", "kind"), "distance", digits=6)
 
 
-@query(f"""WITH {D.PLACES}, t AS (SELECT place AS other, x AS x2, y AS y2 FROM places WHERE place <= 20), d AS (SELECT place, other, 'key' AS matched FROM places JOIN t ON place * 3 = other),
+@query(f"""WITH {D.PLACES}, t AS (SELECT place AS other, x AS x2, y AS y2 FROM places WHERE place % 4 = 0), d AS (SELECT place, other, 'key' AS matched FROM places JOIN t ON place * 3 = other),
     n AS (SELECT place, other, row_number() OVER (PARTITION BY place ORDER BY sqrt((x - x2) * (x - x2) + (y - y2) * (y - y2)), other) AS k FROM places, t WHERE place * 3 NOT IN (SELECT other FROM t))
     SELECT * FROM d UNION ALL SELECT place, other, 'nearest' FROM n WHERE k = 1""")
 def keyed_or_nearest(spark, sf_dir):
     places = D.places(spark, sf_dir).select("place", "x", "y", (F.col("place") * 3).alias("section"))
-    targets = places.filter("place <= 20").select(F.col("place").alias("other"), F.col("x").alias("x2"), F.col("y").alias("y2"))
+    targets = places.filter("place % 4 = 0").select(F.col("place").alias("other"), F.col("x").alias("x2"), F.col("y").alias("y2"))
     return joins.keyed_or_nearest(places, targets, "section", "other", "place", ("x", "y"), ("x2", "y2"), 100.0)
 
 
