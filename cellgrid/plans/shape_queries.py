@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cellgrid.operators import joins, raster, shapes
+from cellgrid.operators import joins, polygons, raster, shapes
 from cellgrid.plans import adapter as D
 from cellgrid.plans.registry import EDGES, INSIDE, query, rounded
 from cellgrid.session import read_table
@@ -187,3 +187,15 @@ def sampled_borders(spark, sf_dir):
 def zone_centres(spark, sf_dir):
     middle = lambda c: ((F.array_min(F.transform("ring", lambda p: p[c])) + F.array_max(F.transform("ring", lambda p: p[c]))) / 2).alias(c)
     return D.zones(spark, sf_dir).select("zone_idx", "zone_id", middle("x"), middle("y"))
+
+
+@query(f"""WITH {D.PLACES}, r AS (SELECT place, zone, x - (place % 7 + 1) AS x1, x + (place % 7 + 1) AS x2, y - (place % 5 + 1) AS y1, y + (place % 5 + 1) AS y2 FROM places),
+    d AS (SELECT a.place, b.place AS other, round(sqrt(pow(greatest(0, a.x1 - b.x2, b.x1 - a.x2), 2) + pow(greatest(0, a.y1 - b.y2, b.y1 - a.y2), 2)), 9) AS distance FROM r a JOIN r b ON a.zone % 2 = 0 AND b.zone % 2 = 1)
+    SELECT place, other, distance FROM d QUALIFY row_number() OVER (PARTITION BY place ORDER BY distance, other) = 1""")
+def nearest_polygons(spark, sf_dir):
+    """Grounds around the places: of each in an even zone the nearest one in an odd zone."""
+    w, h = (F.col("place") % 7 + 1).cast("double"), (F.col("place") % 5 + 1).cast("double")
+    corner = lambda a, b: F.struct((F.col("x") + a * w).alias("x"), (F.col("y") + b * h).alias("y"))
+    grounds = D.places(spark, sf_dir).select("place", "zone", F.array(corner(-1, -1), corner(1, -1), corner(1, 1), corner(-1, 1)).alias("ring"))
+    odd = grounds.filter("zone % 2 = 1").select(F.col("place").alias("other"), "ring")
+    return polygons.nearest(grounds.filter("zone % 2 = 0"), odd, "place", "other", 20.0)
