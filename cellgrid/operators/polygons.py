@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from cellgrid.operators.graph import components
+
 #: Edges of a packed group.
 PACKED = 16
 #: Bins that one box may lie in; larger boxes make the bins wider.
@@ -142,3 +144,11 @@ def nearest(left: DataFrame, right: DataFrame, ident: str, other: str, radius: f
             return out
         radius *= 2
 
+
+def clusters(shapes: DataFrame, ident: str, closing: float, ring: str = "ring") -> DataFrame:
+    """ident, cluster: polygons that a closing by so much would join, named by their least id: those whose edges come within
+    twice the closing distance, directly or over others. Long shapes join by their edges, however far their middles are."""
+    other = shapes.select(F.col(ident).alias("_other"), F.col(ring).alias(ring))
+    links = within(shapes, other, ident, "_other", 2 * closing, ring).filter(F.col(ident) < F.col("_other"))
+    label = components(links.select(F.col(ident).alias("a"), F.col("_other").alias("b")))
+    return shapes.join(label, F.col(ident) == F.col("node"), "left").select(ident, F.coalesce("label", ident).alias("cluster"))

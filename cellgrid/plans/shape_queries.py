@@ -189,13 +189,28 @@ def zone_centres(spark, sf_dir):
     return D.zones(spark, sf_dir).select("zone_idx", "zone_id", middle("x"), middle("y"))
 
 
-@query(f"""WITH {D.PLACES}, r AS (SELECT place, zone, x - (place % 7 + 1) AS x1, x + (place % 7 + 1) AS x2, y - (place % 5 + 1) AS y1, y + (place % 5 + 1) AS y2 FROM places),
-    d AS (SELECT a.place, b.place AS other, round(sqrt(pow(greatest(0, a.x1 - b.x2, b.x1 - a.x2), 2) + pow(greatest(0, a.y1 - b.y2, b.y1 - a.y2), 2)), 9) AS distance FROM r a JOIN r b ON a.zone % 2 = 0 AND b.zone % 2 = 1)
-    SELECT place, other, distance FROM d QUALIFY row_number() OVER (PARTITION BY place ORDER BY distance, other) = 1""")
-def nearest_polygons(spark, sf_dir):
-    """Grounds around the places: of each in an even zone the nearest one in an odd zone."""
+_GROUNDS = f"{D.PLACES}, r AS (SELECT place, zone, x - (place % 7 + 1) AS x1, x + (place % 7 + 1) AS x2, y - (place % 5 + 1) AS y1, y + (place % 5 + 1) AS y2 FROM places)"
+_APART = "sqrt(pow(greatest(0, a.x1 - b.x2, b.x1 - a.x2), 2) + pow(greatest(0, a.y1 - b.y2, b.y1 - a.y2), 2))"
+
+
+def _grounds(spark, sf_dir):
+    """Rectangles around the places."""
     w, h = (F.col("place") % 7 + 1).cast("double"), (F.col("place") % 5 + 1).cast("double")
     corner = lambda a, b: F.struct((F.col("x") + a * w).alias("x"), (F.col("y") + b * h).alias("y"))
-    grounds = D.places(spark, sf_dir).select("place", "zone", F.array(corner(-1, -1), corner(1, -1), corner(1, 1), corner(-1, 1)).alias("ring"))
+    return D.places(spark, sf_dir).select("place", "zone", F.array(corner(-1, -1), corner(1, -1), corner(1, 1), corner(-1, 1)).alias("ring"))
+
+
+@query(f"""WITH {_GROUNDS}, d AS (SELECT a.place, b.place AS other, round({_APART}, 9) AS distance FROM r a JOIN r b ON a.zone % 2 = 0 AND b.zone % 2 = 1)
+    SELECT place, other, distance FROM d QUALIFY row_number() OVER (PARTITION BY place ORDER BY distance, other) = 1""")
+def nearest_polygons(spark, sf_dir):
+    """Of each place's ground in an even zone the nearest one in an odd zone."""
+    grounds = _grounds(spark, sf_dir)
     odd = grounds.filter("zone % 2 = 1").select(F.col("place").alias("other"), "ring")
     return polygons.nearest(grounds.filter("zone % 2 = 0"), odd, "place", "other", 20.0)
+
+
+@query(f"""WITH RECURSIVE {_GROUNDS}, l AS MATERIALIZED (SELECT a.place AS a, b.place AS b FROM r a JOIN r b ON a.place <> b.place AND {_APART} <= 24),
+    reach(a, b) AS (SELECT place, place FROM r UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a)
+    SELECT a AS place, min(b) AS cluster FROM reach GROUP BY a""")
+def closed_clusters(spark, sf_dir):
+    return polygons.clusters(_grounds(spark, sf_dir), "place", 12.0)
