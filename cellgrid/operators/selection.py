@@ -103,8 +103,16 @@ def _tasks(points: DataFrame) -> DataFrame:
 
 def falling(points: DataFrame, keys: Sequence[str], task: int = TASK_POINTS) -> DataFrame:
     """keys, falling: pairs of points (keys, _x, _y, weight _w) with x below and y above, by weight."""
-    sizes = points.groupBy(*keys).agg(F.count("*").alias("_n")).checkpoint()
+    sizes = points.groupBy(*keys).agg(F.count("*").alias("_n"))
     most = sizes.agg(F.max("_n")).first()[0] or 0
+    if most <= task:  # every series fits one task
+
+        def whole(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+            order = np.lexsort((pdf["_y"].to_numpy(), pdf["_x"].to_numpy()))
+            return pd.DataFrame([[*key, inversions(pdf["_y"].to_numpy()[order], pdf["_w"].to_numpy()[order])]], columns=[*keys, "falling"])
+
+        return points.groupBy(*keys).applyInPandas(whole, f"{_fields(points, keys)}falling long")
+    sizes = sizes.checkpoint()
     cut = _blocked(points, keys, sizes, most, task)
     cut = joined(cut, sizes, keys).withColumn("_long", F.col("_n") > task).drop("_n")
 
@@ -114,17 +122,16 @@ def falling(points: DataFrame, keys: Sequence[str], task: int = TASK_POINTS) ->
         return pd.DataFrame([[*key[:-2], inversions(pdf["_y"].to_numpy()[order], pdf["_w"].to_numpy()[order])]], columns=[*keys, "falling"])
 
     counts = _tasks(cut).groupBy(*keys, "_kind", "_part").applyInPandas(count, f"{_fields(points, keys)}falling long")
-    if most > task:
-        cells = cut.filter("_long").groupBy(*keys, "_a", "_b").agg(F.sum("_w").alias("_w"))
+    cells = cut.filter("_long").groupBy(*keys, "_a", "_b").agg(F.sum("_w").alias("_w"))
 
-        def grid(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-            held = np.zeros((int(pdf["_a"].max()) + 1, int(pdf["_b"].max()) + 1), np.int64)
-            held[pdf["_a"], pdf["_b"]] = pdf["_w"]
-            earlier = np.cumsum(held, 0) - held
-            above = np.cumsum(earlier[:, ::-1], 1)[:, ::-1] - earlier
-            return pd.DataFrame([[*key, int((held * above).sum())]], columns=[*keys, "falling"])
+    def grid(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        held = np.zeros((int(pdf["_a"].max()) + 1, int(pdf["_b"].max()) + 1), np.int64)
+        held[pdf["_a"], pdf["_b"]] = pdf["_w"]
+        earlier = np.cumsum(held, 0) - held
+        above = np.cumsum(earlier[:, ::-1], 1)[:, ::-1] - earlier
+        return pd.DataFrame([[*key, int((held * above).sum())]], columns=[*keys, "falling"])
 
-        counts = counts.unionByName(cells.groupBy(*keys).applyInPandas(grid, f"{_fields(points, keys)}falling long"))
+    counts = counts.unionByName(cells.groupBy(*keys).applyInPandas(grid, f"{_fields(points, keys)}falling long"))
     return counts.groupBy(*keys).agg(F.sum("falling").alias("falling"))
 
 
