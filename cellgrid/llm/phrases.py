@@ -32,7 +32,7 @@ ENDS = b".,;:!?\n\x0b\x0c\r"
 BARRIER = b"\xff"
 TO_BARRIER = bytes(0xFF if c in ENDS else c for c in range(256))
 #: Characters of a shard.
-SHARD_CHARS = 16_000_000
+SHARD_CHARS = 8_000_000
 #: Frequent phrases of one length whose hashes (8 bytes each) may be broadcast; with more of them all of that length may grow.
 MOST_KNOWN = 4_000_000
 PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -159,7 +159,9 @@ def _phrases(length: int, known: list, hashed: bool = False):
 
                 levels = automaton(ids, length, keep)
                 if hashed:
-                    yield pa.RecordBatch.from_arrays([pa.array(hashes[-1][1:].view(np.int64)), pa.array(levels[-1].count[1:])], ["phrase", "f"])
+                    own, times = hashes[-1][1:].view(np.int64), levels[-1].count[1:]
+                    for lo in range(0, len(own), 100_000):
+                        yield pa.RecordBatch.from_arrays([pa.array(own[lo : lo + 100_000]), pa.array(times[lo : lo + 100_000])], ["phrase", "f"])
                     continue
                 bare = pc.replace_substring_regex(names, r"^(?s:.*)\t", "")
                 text = names
