@@ -128,11 +128,13 @@ def dividers(shapes: DataFrame, key: str, roads: DataFrame, step: float, reach:
 
 def clusters(shapes: DataFrame, key: str, x: str, y: str, area: str, gap: float, sizes: Sequence[float]) -> DataFrame:
     """key, cluster (least key), total area, and the number of the size classes it reaches: shapes whose places lie within
-    the gap belong together, through others too."""
-    far = shapes.select(F.col(key).alias("_b"), F.col(x).alias("_x2"), F.col(y).alias("_y2"))
-    edges = within(shapes.select(F.col(key).alias("_a"), x, y), far, (x, y), ("_x2", "_y2"), gap).select("_a", "_b")
+    the gap belong together, through others too. Equal places are one, by their least key."""
+    spots = shapes.groupBy(x, y).agg(F.min(key).alias("_a")).checkpoint()
+    far = spots.select(F.col("_a").alias("_b"), F.col(x).alias("_x2"), F.col(y).alias("_y2"))
+    edges = within(spots, far, (x, y), ("_x2", "_y2"), gap).select("_a", "_b")
     label = graph.components(edges, "_a", "_b").withColumnRenamed("label", "cluster")
-    own = shapes.join(label, F.col(key) == F.col("node")).select(key, "cluster", area)
+    named = spots.join(label, F.col("_a") == F.col("node")).select(x, y, "cluster")
+    own = shapes.join(named, [x, y]).select(key, "cluster", area)
     total = own.groupBy("cluster").agg(F.sum(area).alias("total"))
     reached = sum(((F.col("total") >= s).cast("int") for s in sizes), F.lit(0))
     return own.drop(area).join(total, "cluster").select(key, "cluster", "total", reached.alias("reached"))
