@@ -487,7 +487,7 @@ def nearest_neighbour(spark, sf_dir):
 def radius_mean(spark, sf_dir):
     places = D.places(spark, sf_dir)
     others = places.select(F.col("x").alias("x2"), F.col("y").alias("y2"), F.col("size").alias("other"))
-    return rounded(joins.within(places, others, ("x", "y"), ("x2", "y2"), 150.0).groupBy("place").agg(F.count("*").alias("n"), F.avg("other").alias("mean")), "mean", digits=8)
+    return rounded(joins.mean_within(places, others, "place", ("x", "y"), ("x2", "y2"), "other", 150.0), "mean", digits=8)
 
 
 @query("""WITH k AS (SELECT l_orderkey AS id, l_linenumber AS source, l_extendedprice AS value, row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE WHEN l_returnflag = 'A' THEN 0 ELSE 1 END, l_quantity DESC, l_linenumber, l_extendedprice) AS k
