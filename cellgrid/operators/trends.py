@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from cellgrid.functions.distributions import kendall_exact, normal_two_sided, t_quantile, t_two_sided
 from cellgrid.operators.quantiles import joined
@@ -169,18 +170,39 @@ def scene_bootstrap(stack: DataFrame, sensor: str, scene: str, cell: str, zone:
     smaller), with percentile limits from resampling each sensor's scenes.
 
     A scene's weight in a replica is a Poisson count drawn by hash, so that no list of scenes is gathered; a cell's
-    weighted median is taken over its own observations, which number at most its scenes. Replica 0 is the data itself."""
-    u = (F.pmod(F.xxhash64(F.col("replica"), F.col(sensor), F.col(scene), F.lit(seed)), F.lit(1 << 30)) + 0.5) / (1 << 30)
+    weighted medians are taken over its own observations, equal ones of a scene counted first, sorted once for all
+    replicas: no observation is copied for a replica. Replica 0 is the data itself."""
     steps, total, term = [], 0.0, 0.36787944117144233
     for j in range(8):
         total += term
         steps.append(total)
         term /= j + 1
-    weight = sum((F.when(u > s, 1).otherwise(0) for s in steps), F.lit(0))
-    scenes = stack.select(sensor, scene).distinct().withColumn("replica", F.explode(F.sequence(F.lit(0), F.lit(replicas))))
-    drawn = scenes.withColumn("_w", F.when(F.col("replica") == 0, 1).otherwise(weight)).filter("_w > 0")
-    cells = stack.filter(F.col(value).isNotNull()).join(drawn, [sensor, scene])
-    cells = cells.groupBy("replica", sensor, zone, cell).agg(F.percentile(value, F.lit(0.5), F.col("_w")).alias("_m"))
+
+    def weight(replica: Column) -> Column:
+        u = (F.pmod(F.xxhash64(replica, F.col(sensor), F.col(scene), F.lit(seed)), F.lit(1 << 30)) + 0.5) / (1 << 30)
+        return F.when(replica == 0, 1).otherwise(sum((F.when(u > s, 1).otherwise(0) for s in steps), F.lit(0)))
+
+    keys = [sensor, zone, cell]
+    valid = stack.filter(F.col(value).isNotNull() & F.col(sensor).isNotNull() & F.col(scene).isNotNull())
+    counted = valid.groupBy(*keys, scene, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_c"))
+    drawn = valid.select(*keys, scene).distinct()
+    drawn = drawn.select(*[F.col(k).alias(k) for k in keys], F.col(scene).alias("_scene"), F.transform(F.sequence(F.lit(0), F.lit(replicas)), weight).alias("_w"))
+    kept = [stack.schema[k] for k in keys]
+    schema = StructType([StructField("replica", IntegerType()), *kept, StructField("_m", DoubleType())])
+
+    def medians(key: tuple, seen: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
+        seen = seen.sort_values("_v")
+        v, count = seen["_v"].to_numpy(), seen["_c"].to_numpy()
+        at = pd.Index(marks["_scene"]).get_indexer(seen[scene])
+        found = []
+        for replica, w in enumerate(np.stack(marks["_w"].to_numpy()).T):
+            upto = np.cumsum(w[at] * count)
+            if upto[-1] > 0:
+                low, high = v[np.searchsorted(upto, [(upto[-1] - 1) // 2, upto[-1] // 2], side="right")]
+                found.append((replica, *key, low if low == high else 0.5 * low + 0.5 * high))
+        return pd.DataFrame(found, columns=schema.names)
+
+    cells = counted.groupBy(*keys).cogroup(drawn.groupBy(*keys)).applyInPandas(medians, schema)
     zones = cells.groupBy("replica", sensor, zone).agg(F.median("_m").alias("_z"))
     gaps = zones.groupBy("replica", zone).agg((F.max_by("_z", sensor) - F.min_by("_z", sensor)).alias("_d"), F.count("*").alias("_n")).filter("_n = 2")
     own = F.when(F.col("replica") > 0, F.col("_d"))
