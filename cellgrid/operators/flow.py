@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -81,18 +82,24 @@ def _flood(tile: int):
     return run
 
 
-def descent(cells: DataFrame, value: str) -> DataFrame:
-    """row, col, value, down_row, down_col: the neighbour of steepest fall (first in row-major order of equal ones), null
-    where none is lower."""
-    around = moved(cells.select("row", "col", value), [value], NEIGHBOURS).withColumnsRenamed({value: "_z"})
-    pairs = cells.select("row", "col", value).join(around, ["row", "col"])
-    fall = (F.col(value) - F.col("_z")) / F.hypot(F.col("dr").cast("double"), F.col("dc").cast("double"))
+def descent(cells: DataFrame, value: str, keep: Sequence[str] = ()) -> DataFrame:
+    """row, col, value, the columns to keep, down_row, down_col: the neighbour of steepest fall (first in row-major order of
+    equal ones), null where none is lower.
+
+    Every cell hands its height to its neighbours, which gather them in one aggregate: summed up where the rows are read, and
+    no join whose side could be sent to all."""
+    own = (F.col("dr") == 0) & (F.col("dc") == 0)
     # moved() looks from the neighbour: its place is this cell less the offset.
-    best = pairs.withColumn("_s", fall).filter("_s > 0").groupBy("row", "col").agg(
-        F.max(F.struct("_s", F.col("dr").alias("_a"), F.col("dc").alias("_b"))).alias("_m")
+    seen = moved(cells.select("row", "col", value, *keep), [value, *keep], square(1)).groupBy("row", "col").agg(
+        F.max(own).alias("_there"), F.max(F.when(own, F.col(value))).alias(value), *[F.max(F.when(own, F.col(k))).alias(k) for k in keep],
+        *[F.max(F.when((F.col("dr") == a) & (F.col("dc") == b), F.col(value))).alias(f"_z{k}") for k, (a, b) in enumerate(NEIGHBOURS)],
     )
-    out = cells.select("row", "col", value).join(best, ["row", "col"], "left")
-    return out.select("row", "col", value, (F.col("row") - F.col("_m._a")).alias("down_row"), (F.col("col") - F.col("_m._b")).alias("down_col"))
+    falls = []
+    for k, (a, b) in enumerate(NEIGHBOURS):
+        fall = (F.col(value) - F.col(f"_z{k}")) / F.hypot(F.lit(float(a)), F.lit(float(b)))
+        falls.append(F.when(fall > 0, F.struct(fall.alias("_s"), F.lit(a).alias("_a"), F.lit(b).alias("_b"))))
+    best = seen.filter("_there").withColumn("_m", F.greatest(*falls))
+    return best.select("row", "col", value, *keep, (F.col("row") - F.col("_m._a")).alias("down_row"), (F.col("col") - F.col("_m._b")).alias("down_col"))
 
 
 def _ids(links: DataFrame) -> DataFrame:
@@ -189,8 +196,12 @@ def straight_runs(links: DataFrame, inside: str, least: int = 30) -> DataFrame:
 
 def network(links: DataFrame, inside: str, group: str) -> DataFrame:
     """group, segments: links between flagged cells as pairs of places, in row-major order."""
-    ids = links.filter(F.col(inside))
-    ends = ids.select(F.col("row").alias("down_row"), F.col("col").alias("down_col"))
-    kept = ids.join(ends, ["down_row", "down_col"])
+    # A link's two ends meet at its lower cell, in an aggregate of at most nine rows a place.
     part = F.struct("row", "col", "down_row", "down_col")
-    return kept.groupBy(group).agg(F.array_sort(F.collect_list(part)).alias("segments"))
+    flagged = links.filter(F.col(inside))
+    ends = flagged.select("row", "col", F.lit(True).alias("_there"), F.lit(None).cast(flagged.schema[group].dataType).alias("_g"), F.when(F.lit(False), part).alias("_p"))
+    given = flagged.filter("down_row is not null and down_col is not null")
+    given = given.select(F.col("down_row").alias("row"), F.col("down_col").alias("col"), F.lit(False).alias("_there"), F.col(group).alias("_g"), part.alias("_p"))
+    met = ends.unionByName(given).groupBy("row", "col").agg(F.max("_there").alias("_there"), F.collect_list(F.when(~F.col("_there"), F.struct("_g", "_p"))).alias("_in"))
+    kept = met.filter("_there").select(F.explode("_in").alias("_l")).select(F.col("_l._g").alias(group), F.col("_l._p").alias("_p"))
+    return kept.groupBy(group).agg(F.array_sort(F.collect_list("_p")).alias("segments"))

@@ -307,7 +307,7 @@ def platform_routing(spark, sf_dir):
 @query()
 def least_upstream(spark, sf_dir):
     cells = D.cells(spark, sf_dir).select("row", "col", "value", (F.col("zone") % 4).alias("group"))
-    links = flow.descent(cells, "value").join(cells.select("row", "col", "group"), ["row", "col"]).checkpoint()
+    links = flow.descent(cells, "value", ["group"]).checkpoint()
     return flow.least_upstream(links, "value", "group")
 
 
@@ -319,8 +319,8 @@ def straight_runs(spark, sf_dir):
 
 @query()
 def drainage_network(spark, sf_dir):
-    cells = D.cells(spark, sf_dir)
-    links = flow.descent(cells, "value").join(cells.select("row", "col", "zone", (F.col("dist") < 700).alias("inside")), ["row", "col"])
+    cells = D.cells(spark, sf_dir).select("row", "col", "value", "zone", (F.col("dist") < 700).alias("inside"))
+    links = flow.descent(cells, "value", ["zone", "inside"])
     return flow.network(links, "inside", "zone").select("zone", F.size("segments").alias("n"), F.to_json("segments").alias("segments"))
 
 
