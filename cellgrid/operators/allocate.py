@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Iterator, Mapping, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,18 +72,23 @@ def held_out(cells: DataFrame, block: str, truth: str, weights: Mapping[str, Col
 
 def greedy_pages(items: DataFrame, document: str, order: str, size: str, capacity: float) -> DataFrame:
     """Adds page: items of a document in order, a new page where the next item would pass the capacity (a larger item has a
-    page of its own). Sequential within a document, which is what one report or reply holds; documents run side by side."""
+    page of its own). Sequential within a document: a task streams through its documents, one after the other, and holds
+    a batch of rows."""
     schema = items.select("*", F.lit(0).alias("page")).schema
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        pages, page, used = [], 0, 0.0
-        for value in pdf[size]:
-            value = float(value or 0)
-            if used and used + value > capacity:
-                page, used = page + 1, 0.0
-            pages.append(page)
-            used += value
-        return pdf.assign(page=pages)
-
-    return items.groupBy(document).applyInPandas(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, page, used = object(), 0, 0.0
+        for batch in batches:
+            pages = []
+            for doc, value in zip(batch.column(document).to_pylist(), batch.column(size).to_pylist(), strict=True):
+                if doc != last:
+                    last, page, used = doc, 0, 0.0
+                value = math.nan if value is None else float(value)
+                if used and used + value > capacity:
+                    page, used = page + 1, 0.0
+                pages.append(page)
+                used += value
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pages, pa.int32())], names=[*batch.schema.names, "page"])
+
+    ordered = items.repartition(document).sortWithinPartitions(document, F.asc_nulls_last(order))
+    return ordered.mapInArrow(run, schema)
