@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellgrid.operators.quantiles import joined, percentiles
+from cellgrid.operators.stats import correlation
 
 
 def finite(value: Column) -> Column:
@@ -260,7 +261,7 @@ def against(first: DataFrame, second: DataFrame, keys: Sequence[str], value: str
 def upright(cells: DataFrame, value: str, reference: str, rows: int) -> DataFrame:
     """r, r_flipped, upright: correlation with a reference as it lies and with rows turned upside down; the first must win."""
     turned = cells.select((F.lit(rows - 1) - F.col("row")).cast("int").alias("row"), "col", F.col(value).alias("_f"))
-    out = cells.join(turned, ["row", "col"], "left").agg(F.corr(value, reference).alias("r"), F.corr("_f", reference).alias("r_flipped"))
+    out = cells.join(turned, ["row", "col"], "left").agg(correlation(value, reference).alias("r"), correlation("_f", reference).alias("r_flipped"))
     return out.withColumn("upright", F.col("r") > F.coalesce("r_flipped", F.lit(-2.0)))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cellgrid.operators.quantiles import joined, order_statistics, percentiles
 from cellgrid.operators.series import trailing
+from cellgrid.operators.stats import correlation
 
 #: Standard atmosphere (fixed values): share of pressure lost with height, exponent, reference temperature in kelvin.
 LAPSE, POWER, REFERENCE_K = 2.25577e-5, 5.25588, 298.15
@@ -136,7 +137,7 @@ def station_scores(both: DataFrame, keys: Sequence[str], day: str, a: str, b: st
     """n, bias, r, and r of the anomalies from each series' own mean of the calendar month."""
     w = Window.partitionBy(*keys, F.month(day))
     wide = both.dropna(subset=[a, b]).withColumns({"_a": F.col(a) - F.avg(a).over(w), "_b": F.col(b) - F.avg(b).over(w)})
-    return wide.groupBy(*keys).agg(F.count("*").alias("n"), F.avg(F.col(a) - F.col(b)).alias("bias"), F.corr(a, b).alias("r"), F.corr("_a", "_b").alias("r_anomaly"))
+    return wide.groupBy(*keys).agg(F.count("*").alias("n"), F.avg(F.col(a) - F.col(b)).alias("bias"), correlation(a, b).alias("r"), correlation("_a", "_b").alias("r_anomaly"))
 
 
 def matched_threshold(both: DataFrame, keys: Sequence[str], a: str, b: str, at: float, least: int = 365) -> DataFrame:
@@ -161,7 +162,7 @@ def yearly_frequency_r(both: DataFrame, keys: Sequence[str], day: str, a: Column
     published: whether there are enough years."""
     part = lambda c: 100 * F.avg(c.cast("double"))
     years = both.groupBy(*keys, F.year(day).alias("_y")).agg(F.count("*").alias("_n"), part(a).alias("_a"), part(b).alias("_b")).filter(F.col("_n") >= days)
-    out = years.groupBy(*keys).agg(F.count("*").alias("years"), F.corr("_a", "_b").alias("r")).filter("years >= 4")
+    out = years.groupBy(*keys).agg(F.count("*").alias("years"), correlation("_a", "_b").alias("r")).filter("years >= 4")
     z = F.atanh(F.greatest(F.lit(-0.999999), F.least(F.lit(0.999999), F.col("r"))))
     reach = 1.96 / F.sqrt(F.col("years") - 3)
     return out.withColumns({"low": F.tanh(z - reach), "high": F.tanh(z + reach), "published": F.col("years") >= publish})
@@ -240,7 +241,7 @@ def lag_correlations(wide: DataFrame, keys: Sequence[str], target: str, value: s
     full = wide.dropna(subset=[target, *[f"{value}_{k}" for k in lags]])
     parts = F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"{value}_{k}").alias("_x")) for k in lags], F.struct(F.lit(-1).alias("lag"), (F.col(f"{value}_{lags[0]}") + F.col(f"{value}_{lags[1]}")).alias("_x")))
     long = full.select(*keys, target, F.inline(parts))
-    return long.groupBy(*keys, "lag").agg(F.corr(target, "_x").alias("r"), F.count("*").alias("n"))
+    return long.groupBy(*keys, "lag").agg(correlation(target, "_x").alias("r"), F.count("*").alias("n"))
 
 
 def dry_months(wide: DataFrame, keys: Sequence[str], value: str, share: float = 1 / 3) -> DataFrame:
@@ -259,7 +260,7 @@ def correlation_matrix(df: DataFrame, keys: Sequence[str], columns: Sequence[str
     """first, second, r, n for each pair of columns, over rows that have both; null with fewer rows than least."""
     found = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
     both = lambda a, b: F.count(F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), 1))
-    wide = df.groupBy(*keys).agg(*[F.struct(F.corr(a, b).alias("r"), both(a, b).alias("n")).alias(f"_{k}") for k, (a, b) in enumerate(found)])
+    wide = df.groupBy(*keys).agg(*[F.struct(correlation(a, b).alias("r"), both(a, b).alias("n")).alias(f"_{k}") for k, (a, b) in enumerate(found)])
     rows = F.array(*[F.struct(F.lit(a).alias("first"), F.lit(b).alias("second"), F.when(F.col(f"_{k}.n") >= least, F.col(f"_{k}.r")).alias("r"), F.col(f"_{k}.n").alias("n")) for k, (a, b) in enumerate(found)])
     return wide.select(*keys, F.inline(rows))
 

@@ -15,6 +15,17 @@ from cellgrid.operators.quantiles import joined
 from cellgrid.operators.selection import kendall, slopes
 
 
+
+def correlation(a: Column | str, b: Column | str) -> Column:
+    """Pearson's r over rows with both values: NaN where one side does not vary, where Spark's own corr stops at a division
+    by zero; null for fewer than two rows."""
+    a, b = (F.col(c) if isinstance(c, str) else c for c in (a, b))
+    x, y = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    flat = (F.min(x) == F.max(x)) | (F.min(y) == F.max(y))
+    r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    return F.when(F.count(x) > 1, F.when(flat, F.lit(float("nan"))).otherwise(r))
+
+
 def ols_line(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame:
     """n, slope, intercept, r2."""
     return df.groupBy(*keys).agg(
@@ -142,7 +153,7 @@ def mean_ranks(df: DataFrame, keys: Sequence[str], value: str, name: str) -> Dat
 
 def spearman(df: DataFrame, keys: Sequence[str], a: str, b: str) -> DataFrame:
     ranked = mean_ranks(mean_ranks(df.dropna(subset=[a, b]), keys, a, "_ra"), keys, b, "_rb")
-    return ranked.groupBy(*keys).agg(F.corr("_ra", "_rb").alias("rho"), F.count("*").alias("n"))
+    return ranked.groupBy(*keys).agg(correlation("_ra", "_rb").alias("rho"), F.count("*").alias("n"))
 
 
 def superiority(df: DataFrame, keys: Sequence[str], inside: Column, value: str) -> DataFrame:
@@ -173,7 +184,7 @@ def correlogram(cells: DataFrame, value: str, lags: Sequence[int]) -> DataFrame:
     base = cells.filter(F.col(value).isNotNull()).select("row", "col", F.col(value).alias("a"))
     moved = base.withColumn("lag", F.explode(F.array(*map(F.lit, lags)))).withColumn("_d", F.explode(F.array(F.lit(0), F.lit(1))))
     moved = moved.select("lag", (F.col("row") + F.col("lag") * F.col("_d")).alias("row"), (F.col("col") + F.col("lag") * (1 - F.col("_d"))).alias("col"), F.col("a").alias("b"))
-    return base.join(moved, ["row", "col"]).groupBy("lag").agg(F.corr("a", "b").alias("r"), F.count("*").alias("n"))
+    return base.join(moved, ["row", "col"]).groupBy("lag").agg(correlation("a", "b").alias("r"), F.count("*").alias("n"))
 
 
 def moments(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 from cellgrid.functions.distributions import kendall_exact, normal_two_sided, t_quantile, t_two_sided
 from cellgrid.operators.quantiles import joined
 from cellgrid.operators.selection import kendall, slopes
-from cellgrid.operators.stats import gram, mann_kendall, ols_line, welch
+from cellgrid.operators.stats import correlation, gram, mann_kendall, ols_line, welch
 
 Z95 = 1.959963984540054
 
@@ -43,7 +43,7 @@ def line_errors(df: DataFrame, keys: Sequence[str], x: str, y: str) -> DataFrame
     left = good.join(line, list(keys)).withColumn("_e", error)
     left = left.withColumn("_p", F.lag("_e").over(Window.partitionBy(*keys).orderBy(x)))
     spread = left.groupBy(*keys).agg(
-        F.corr(F.when(F.col("_p").isNotNull(), F.col("_e")), "_p").alias("ar1"), F.sum(F.col("_e") * F.col("_e")).alias("_ss"),
+        correlation(F.when(F.col("_p").isNotNull(), F.col("_e")), "_p").alias("ar1"), F.sum(F.col("_e") * F.col("_e")).alias("_ss"),
         F.regr_sxx(y, x).alias("_sxx"), F.min(x).alias("first"), F.max(x).alias("last"),
     )
     se = F.sqrt(F.try_divide(F.col("_ss") / (F.col("n") - 2), F.col("_sxx")))
