@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cellgrid.functions import clib
 from cellgrid.operators import joins, polygons, raster, shapes
 from cellgrid.plans import adapter as D
 from cellgrid.plans.registry import EDGES, INSIDE, query, rounded
@@ -64,7 +65,7 @@ _SAMPLES = f"WITH {D.PLACES}, s AS (SELECT place, x / 5 AS x, y / 5 AS y, cos(pl
     f AS (SELECT *, row_number() OVER (PARTITION BY place ORDER BY k) AS f FROM r WHERE k <= 8 AND good AND d <= 40 AND bend <= 0.5) SELECT place, other, round(d, 6) AS distance FROM f WHERE f = 1""")
 def antiparallel(spark, sf_dir):
     k = F.col("place")
-    samples = D.places(spark, sf_dir).select("place", (F.col("x") / 5).alias("x"), (F.col("y") / 5).alias("y"), F.cos(k * 7 / 10).alias("ux"), F.sin(k * 7 / 10).alias("uy"), (k % 10).alias("way"), (F.col("zone") % 2).alias("kind"))
+    samples = D.places(spark, sf_dir).select("place", (F.col("x") / 5).alias("x"), (F.col("y") / 5).alias("y"), clib.cos(k * 7 / 10).alias("ux"), clib.sin(k * 7 / 10).alias("uy"), (k % 10).alias("way"), (F.col("zone") % 2).alias("kind"))
     return rounded(joins.antiparallel(samples, "place", "way", "kind"), "distance", digits=6)
 
 

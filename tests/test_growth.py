@@ -58,6 +58,56 @@ def test_antiparallel_headings_and_ties_are_those_of_sql(spark, tmp_path):
     assert got == sorted(db.execute(f"SELECT * FROM ({ORACLE_SQL['antiparallel']})").fetchall())
 
 
+def test_antiparallel_tells_equally_far_samples_apart_by_the_bits_of_sql(spark, tmp_path):
+    import duckdb
+
+    from cellgrid.plans.registry import ORACLE_SQL, QUERIES
+
+    # By symmetry 768 and 1262 are equally far from 1015; the JVM's cosines and powers put the other one first.
+    at, db = str(tmp_path), duckdb.connect()
+    db.execute(f"COPY (SELECT k AS s_suppkey, 0 AS s_nationkey, CAST(k AS DOUBLE) AS s_acctbal FROM (VALUES (1015), (768), (1262)) AS t(k)) TO '{at}/supplier.parquet' (FORMAT parquet)")
+    db.execute(f"CREATE VIEW supplier AS FROM '{at}/supplier.parquet'")
+    got = sorted(tuple(r) for r in QUERIES["antiparallel"](spark, at).collect())
+    assert got == sorted(db.execute(f"SELECT * FROM ({ORACLE_SQL['antiparallel']})").fetchall())
+
+
+def test_antiparallel_widens_its_search_only_where_samples_are_few(spark):
+    import math
+    import random
+
+    import duckdb
+    import pandas as pd
+
+    from cellgrid.operators import joins
+    from cellgrid.plans.registry import ORACLE_SQL
+
+    def samples(n):
+        draw = random.Random(7)
+        place = lambda k: (draw.gauss(50, 0.5), draw.gauss(50, 0.5)) if k < n else (draw.uniform(0, 300), draw.uniform(0, 300))
+        rows = [(k, *place(k), draw.uniform(0, 7), draw.randrange(5), draw.randrange(2)) for k in range(n + 100)]
+        return [(k, x, y, math.cos(a), math.sin(a), w, c) for k, x, y, a, w, c in rows]
+
+    fields = "place long, x double, y double, ux double, uy double, way long, kind long"
+    rows = samples(500)
+    got = sorted((r.place, r.other, round(r.distance, 6)) for r in joins.antiparallel(spark.createDataFrame(rows, fields), "place", "way", "kind").collect())
+    s = pd.DataFrame(rows, columns=["place", "x", "y", "ux", "uy", "way", "kind"])
+    db = duckdb.connect()
+    db.register("s", s)
+    assert got == sorted(db.execute("WITH p AS" + ORACLE_SQL["antiparallel"].split(", p AS")[1]).fetchall())
+
+    def mates(n):
+        four = [(x, y, 100 * u, 100 * v) for _, x, y, u, v, _, _ in samples(n)]
+        df = spark.createDataFrame(four, "a double, b double, c double, d double")
+        width = 2 * joins._first_radius(df, df, 64.0)
+        held = {}
+        for row in four:
+            held.setdefault(tuple(math.floor(v / width) for v in row), []).append(row)
+        return sum(len(b) ** 2 for b in held.values()) / len(four)
+
+    # Four times the samples in one place: each still meets only so many.
+    assert mates(500) <= 40 and mates(2000) <= 40
+
+
 def test_frequencies_that_do_not_vary_have_no_correlation(spark):
     import datetime
     import math
