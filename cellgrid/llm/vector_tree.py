@@ -141,13 +141,39 @@ def _best_rows(scores: np.ndarray, ids: np.ndarray, k: int, slack: np.ndarray) -
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Inner products of the rows of two tables, summed component by component: a pair's product does not depend on what
-    else is multiplied with it, as a matrix product's last bits do, so equal vectors tie wherever they lie."""
+    else is multiplied with it, as a matrix product's last bits do, so equal vectors tie wherever they lie. Sums that leave
+    a double's range on their way are taken again on vectors brought near 1 by powers of two, which rounds nothing away: they
+    are infinite only where the product is beyond that range, and never NaN."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        out = _summed(a, b)
+        beyond = np.flatnonzero(~np.isfinite(out))
+        if len(beyond):
+            (a, e), (b, f) = _near_one(a[beyond]), _near_one(b[beyond])
+            out[beyond] = np.ldexp(_summed(a, b), e + f)
+    return out
+
+
+def _summed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     out = np.zeros(len(a))
     for c in range(a.shape[1]):
         out += a[:, c] * b[:, c]
     return out
 
 
+def _near_one(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows with their largest components between 1/2 and 1, and the powers of two they were divided by."""
+    power = np.frexp(np.abs(x).max(1, initial=0.0))[1]
+    return np.ldexp(x, -power[:, None]), power
+
+
+def _unscaled(scores: np.ndarray, own_scale: np.ndarray, scale: float) -> np.ndarray:
+    """Products of scaled queries (rows) and vectors as those of the original ones: equal where those are, for being beyond a
+    double's range or below its least number."""
+    (m, e), (n, f) = np.frexp(own_scale), np.frexp(scale)
+    with np.errstate(over="ignore"):
+        return np.ldexp(scores * (m * n)[:, None], (e + f)[:, None])
+
+
 def _size(rows: DataFrame) -> int:
     """The vectors' most frequent length (the larger of equally frequent ones); 0 for none."""
     first = rows.groupBy(F.size("vec").alias("size")).count().orderBy(F.desc("count"), F.desc("size")).first()
@@ -168,25 +194,25 @@ def _scales(q: np.ndarray, scale: float) -> np.ndarray:
     return np.maximum(scale, np.abs(q).max(1, initial=0.0))
 
 
-def _exact_leaves(rows: DataFrame, queries: np.ndarray, ids: np.ndarray, tree: Tree, scale: float, longest: float, k: int) -> list[list[int]]:
+def _exact_leaves(rows: DataFrame, queries: np.ndarray, own_scale: np.ndarray, ids: np.ndarray, tree: Tree, scale: float, longest: float, k: int) -> list[list[int]]:
     """The leaves of the true neighbours of a bounded set of (scaled) queries: every task keeps k of each, which are then
     merged."""
     sc = rows.sparkSession.sparkContext
-    shared = sc.broadcast((queries, ids, tree))
+    shared = sc.broadcast((queries, own_scale, ids, tree))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        qs, own, model = shared.value
+        qs, scales, own, model = shared.value
         best: list = [None] * len(qs)
         for batch in batches:
             if not batch.num_rows:
                 continue
             x, vec_ids = _stacked(batch, "vec") / scale, batch.column(0).to_numpy()
             leaf = model.assign(lift(x, longest))
-            scores = qs @ x.T
+            scores = _unscaled(qs @ x.T, scales, scale)
             for q in range(len(qs)):
-                s = np.where(vec_ids == own[q], -np.inf, scores[q])
-                at = _top(s, vec_ids, k)
-                new = (s[at], vec_ids[at], leaf[at])
+                others = np.flatnonzero(vec_ids != own[q])
+                at = others[_top(scores[q, others], vec_ids[others], k)]
+                new = (scores[q, at], vec_ids[at], leaf[at])
                 if best[q] is not None:
                     new = tuple(np.concatenate(p) for p in zip(best[q], new, strict=True))
                     at = _top(new[0], new[1], k)
@@ -199,7 +225,7 @@ def _exact_leaves(rows: DataFrame, queries: np.ndarray, ids: np.ndarray, tree: T
 
     found = rows.select("vec_id", "vec").mapInArrow(run, "q long, score double, vec_id long, leaf long")
     order = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
-    best = found.withColumn("rank", F.row_number().over(order)).filter((F.col("rank") <= k) & (F.col("score") > float("-inf"))).select("q", "leaf").collect()
+    best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("q", "leaf").collect()
     out: list[list[int]] = [[] for _ in queries]
     for q, leaf in best:
         out[q].append(leaf)
@@ -273,9 +299,10 @@ def search(
     if not len(trial):
         return spark.createDataFrame([], out)
     known = np.stack(trial["vec"].to_numpy())
-    known = known / _scales(known, scale)[:, None]
+    known_scale = _scales(known, scale)
+    known = known / known_scale[:, None]
     flat = np.column_stack((known, np.zeros(len(known))))
-    truth = _exact_leaves(rows, known, trial["vec_id"].to_numpy(), tree, scale, longest, k)
+    truth = _exact_leaves(rows, known, known_scale, trial["vec_id"].to_numpy(), tree, scale, longest, k)
     visits = calibrate(tree, flat, truth, recall)
     shared = spark.sparkContext.broadcast(tree)
 
@@ -326,19 +353,21 @@ def search(
             asker, way = np.repeat(np.arange(len(some)), some["leaves"].map(len)), np.concatenate(some["leaves"].to_list())
             own_scale = _scales(vec, scale)
             far = vec / own_scale[:, None]
-            # Beyond this a product of the original vectors is infinite, and so equal to all others there.
-            most = np.finfo(np.float64).max / own_scale / scale
+            # Beyond most a product of the original vectors is infinite, and so equal to all others there; least is how far
+            # apart such products may lie and be equal for being rounded to a double's smallest numbers.
+            with np.errstate(over="ignore"):
+                most = np.finfo(np.float64).max / own_scale / scale
+            least = size * np.finfo(np.float64).smallest_subnormal / scale / own_scale
             scores = np.full((len(some), len(ids)), -np.inf)
             for n, at in own.items():
                 row = asker[way == n]
                 if len(row):
-                    scores[row[:, None], at] = np.minimum(far[row] @ near[at].T, most[row][:, None])
+                    scores[row[:, None], at] = np.clip(far[row] @ near[at].T, -most[row][:, None], most[row][:, None])
             scores[q[:, None] == ids[None]] = -np.inf
             # Matrix products choose, with room for their last bits; the chosen are scored again in one fixed order.
-            slack = 4e-16 * (size + 1) * longest * np.sqrt((far * far).sum(1)) + 1e-300
+            slack = 4e-16 * (size + 1) * longest * np.sqrt((far * far).sum(1)) + least + 1e-300
             row, at = _best_rows(scores, ids, k, slack)
-            with np.errstate(over="ignore", invalid="ignore"):
-                exact = products(vec[row], x[at])
+            exact = np.concatenate([np.empty(0), *(products(vec[row[s : s + 65536]], x[at[s : s + 65536]]) for s in range(0, len(row), 65536))])
             order = np.lexsort((ids[at], -exact, row))
             row, at, exact = row[order], at[order], exact[order]
             place = np.arange(len(row)) - np.searchsorted(row, row)

@@ -185,3 +185,15 @@ def test_vectors_of_any_magnitude_take_part(spark, scale):
             others = [k for k in range(200) if k != q and not np.isnan(score[k])]
             want = sorted(others, key=lambda k: (-score[k], k))[:20]
             assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] == want
+
+
+def test_products_beyond_a_doubles_range_are_infinite_and_tie(spark):
+    big = np.array([[1e200, 1e200], [1e200, -1e200], [1e200, -2e200], [1e200, -1e200], [3.0, 4.0]])
+    other = np.array([[1e200, 1e200], [1e200, -1e200], [1e200, 1e200], [1e200, 1e200], [0.1, 0.7]])
+    assert vector_tree.products(big, other).tolist() == [np.inf, np.inf, -np.inf, 0.0, 3.0 * 0.1 + 4.0 * 0.7]
+    # All products of the one query are beyond the range, so the least ids are nearest, in whatever leaf.
+    x = -np.abs(np.random.default_rng(3).normal(size=(300, 4))) * 1e200
+    x[0] = -x[0]
+    vectors = spark.createDataFrame([(k, row.tolist()) for k, row in enumerate(x)], "vec_id long, embedding array<double>")
+    got = vector_tree.search(vectors, vectors.filter("vec_id = 0"), recall=1.0, leaf_rows=20).collect()
+    assert sorted((r["rank"], r.vec_id, r.score) for r in got) == [(k, k, -np.inf) for k in range(1, 21)]
